@@ -25,16 +25,21 @@ def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column])
     return df.withColumn(position, F.row_number().over(window)).where(F.col(position) == 1).drop(position)
 
 
-def one_row_per_key(
+def newest_per_key(
     raw: DataFrame,
     key: str,
     standardise: Callable[[DataFrame], DataFrame],
     newest_first: Sequence[str] = (),
+    keep_keyless: bool = True,
 ) -> DataFrame:
-    """Standardise the rows, then keep the newest row of each key; rows without a key are all kept for quarantine.
+    """Standardise the rows, then keep the newest row of each key.
 
-    Keys are compared after standardising, so " C1" and "C1" are one key. The split on the raw key reaches the scan.
+    Keys are compared after standardising, so " C1" and "C1" are one key. Rows without a key cannot be compared: all of
+    them are kept for quarantine, or left out where only good rows are wanted. The split on the raw key reaches the scan,
+    so the second read costs next to nothing where every row has its key, and keyless rows are never shuffled.
     """
     keyed = standardise(raw.where(F.col(key).isNotNull()))
-    unkeyed = standardise(raw.where(F.col(key).isNull()))
-    return top_per_group(keyed, [key], total_order(keyed, newest_first)).unionByName(unkeyed)
+    newest = top_per_group(keyed, [key], total_order(keyed, newest_first))
+    if not keep_keyless:
+        return newest
+    return newest.unionByName(standardise(raw.where(F.col(key).isNull())))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -19,14 +20,18 @@ class Rule(NamedTuple):
     met: Column
 
 
-def _failed(rule: Rule) -> Column:
-    return ~F.coalesce(rule.met, F.lit(False))
+def _met(rule: Rule) -> Column:
+    return F.coalesce(rule.met, F.lit(False))
 
 
 def assess(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add all failure reasons, in rule order, and the verdict."""
-    reasons = F.array_compact(F.array(*[F.when(_failed(rule), F.lit(rule.reason)) for rule in rules]))
-    return df.withColumn(REASONS, reasons).withColumn(VALID, F.size(REASONS) == 0)
+    """Add the verdict and, for failed rows, all failure reasons in rule order.
+
+    The verdict is a plain conjunction, which Spark compiles and can use in joins; the list is built for failed rows only.
+    """
+    verdict = reduce(lambda a, b: a & b, [_met(rule) for rule in rules])
+    reasons = F.array_compact(F.array(*[F.when(~_met(rule), F.lit(rule.reason)) for rule in rules]))
+    return df.withColumns({REASONS: F.when(~verdict, reasons), VALID: verdict})
 
 
 def good_rows(assessed: DataFrame) -> DataFrame:

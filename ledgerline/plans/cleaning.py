@@ -1,7 +1,7 @@
 """Bronze to Silver: standardise, keep one row per key, check references, describe good rows.
 
 Every ``clean_*`` returns Silver columns plus the boolean helper columns its rules need; ``*_rules`` lists the rules in
-the order in which reasons are reported.
+the order in which reasons are reported. ``keep_keyless=False`` leaves out the rows without a key, which never pass.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.business import amount_sign_ok
 from ledgerline.functions.text import accepted_currency, card_network, currency_code, titled, trimmed
-from ledgerline.operators.dedup import one_row_per_key
+from ledgerline.operators.dedup import newest_per_key
 from ledgerline.operators.history import History
 from ledgerline.operators.quality import Rule
 from ledgerline.operators.references import Reference
@@ -58,8 +58,9 @@ def standardise_merchants(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_merchants(raw: DataFrame, processed_at: Column | None = None) -> DataFrame:
-    return with_lineage(one_row_per_key(raw, "merchant_id", standardise_merchants), processed_at)
+def clean_merchants(raw: DataFrame, processed_at: Column | None = None, keep_keyless: bool = True) -> DataFrame:
+    newest = newest_per_key(raw, "merchant_id", standardise_merchants, keep_keyless=keep_keyless)
+    return with_lineage(newest, processed_at)
 
 
 def merchant_rules() -> list[Rule]:
@@ -86,8 +87,8 @@ def standardise_customers(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_customers(raw: DataFrame, processed_at: Column | None = None) -> DataFrame:
-    newest = one_row_per_key(raw, "customer_id", standardise_customers, newest_first=["updated_at"])
+def clean_customers(raw: DataFrame, processed_at: Column | None = None, keep_keyless: bool = True) -> DataFrame:
+    newest = newest_per_key(raw, "customer_id", standardise_customers, ["updated_at"], keep_keyless)
     return with_lineage(newest, processed_at)
 
 
@@ -121,9 +122,13 @@ def card_references(customer_keys: DataFrame) -> list[Reference]:
 
 
 def clean_cards(
-    raw: DataFrame, customer_keys: DataFrame, check: CheckReferences, processed_at: Column | None = None
+    raw: DataFrame,
+    customer_keys: DataFrame,
+    check: CheckReferences,
+    processed_at: Column | None = None,
+    keep_keyless: bool = True,
 ) -> DataFrame:
-    newest = one_row_per_key(raw, "card_id", standardise_cards, newest_first=["updated_at"])
+    newest = newest_per_key(raw, "card_id", standardise_cards, ["updated_at"], keep_keyless)
     return with_lineage(check(newest, card_references(customer_keys)), processed_at)
 
 
@@ -174,8 +179,9 @@ def clean_transactions(
     merchant_keys: DataFrame,
     check: CheckReferences,
     processed_at: Column | None = None,
+    keep_keyless: bool = True,
 ) -> DataFrame:
-    newest = one_row_per_key(raw, "transaction_id", standardise_transactions, newest_first=["updated_at"])
+    newest = newest_per_key(raw, "transaction_id", standardise_transactions, ["updated_at"], keep_keyless)
     checked = check(newest, transaction_references(customer_keys, card_keys, merchant_keys))
     return with_lineage(checked, processed_at)
 

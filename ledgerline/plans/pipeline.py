@@ -72,11 +72,13 @@ def ingest_merchants(lake: Lakehouse, csv_path: str) -> None:
     lake.bronze("merchants").overwrite(read_csv(lake.spark, csv_path, schemas.MERCHANT_RECORD))
 
 
-def ingest_batch(lake: Lakehouse, endpoint: str, records: DataFrame, label: str) -> None:
+def ingest_batch(lake: Lakehouse, endpoint: str, records: DataFrame, label: str, mark: datetime | None) -> None:
     """Append one batch of records and move the Bronze watermark to its newest row."""
     bronze = lake.bronze(endpoint)
     bronze.append(records, label)
-    save_mark(lake, watermark.newest(records, "ingest_to_bronze", f"bronze_{endpoint}"))
+    # read from the stored column, so that the landed files are parsed once
+    stored = watermark.since(bronze.read(), mark)
+    save_mark(lake, watermark.newest(stored, "ingest_to_bronze", f"bronze_{endpoint}"))
 
 
 def ingest_endpoint(lake: Lakehouse, endpoint: Endpoint, pages_path: str) -> bool:
@@ -85,7 +87,7 @@ def ingest_endpoint(lake: Lakehouse, endpoint: Endpoint, pages_path: str) -> boo
     records = watermark.since(read_pages(lake.spark, pages_path, endpoint.record), mark)
     if records.isEmpty():
         return False
-    ingest_batch(lake, endpoint.name, records, _label(mark))
+    ingest_batch(lake, endpoint.name, records, _label(mark), mark)
     return True
 
 

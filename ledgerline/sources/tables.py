@@ -35,12 +35,12 @@ class Table:
     def _published(self) -> dict | None:
         try:
             versions = self.spark.read.schema("value string, v long").text(f"{self.root}/versions")
-            row = versions.orderBy(F.desc("v")).first()
+            row = versions.agg(F.max_by("value", "v").alias("value")).first()
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        return json.loads(row["value"]) if row else None
+        return json.loads(row["value"]) if row["value"] else None
 
     def exists(self) -> bool:
         return self._published() is not None
@@ -100,5 +100,5 @@ class Table:
         return sorted(f"v={version}/{name}" for name in names)
 
     def _publish(self, state: dict) -> None:
-        line = self.spark.createDataFrame([(json.dumps(state),)], "value string").coalesce(1)
+        line = self.spark.range(1, numPartitions=1).select(F.lit(json.dumps(state)).alias("value"))
         line.write.mode("overwrite").text(f"{self.root}/versions/v={state['version']}")

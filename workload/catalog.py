@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,11 +41,18 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
 
 
 class Layers:
-    """Bronze and Silver derived from the tables of one folder, for one full load."""
+    """Bronze and Silver derived from the tables of one folder, for one full load.
+
+    Views and derived tables are built once per instance; Spark then recognises equal subplans and shares their shuffles.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.view = partial(inputs.view, spark, sf_dir)
         self.spark = spark
+        self.tables = inputs.tables(spark, sf_dir)
+
+    @cache
+    def view(self, text: str, where: str = inputs.EVERYTHING) -> DataFrame:
+        return inputs.view(self.spark, self.tables, text, where)
 
     # Bronze
     def merchants_raw(self) -> DataFrame:
@@ -66,70 +73,92 @@ class Layers:
     def transactions_raw(self, where: str = inputs.EVERYTHING) -> DataFrame:
         return self.view(inputs.TRANSACTIONS, where)
 
-    # checked batches
-    def merchants_checked(self) -> DataFrame:
-        return quality.assess(cleaning.clean_merchants(self.merchants_raw()), cleaning.merchant_rules())
+    # checked batches: everything for the quarantine, rows with a key for the good tables
+    @cache
+    def merchants_checked(self, keyless: bool = True) -> DataFrame:
+        cleaned = cleaning.clean_merchants(self.merchants_raw(), keep_keyless=keyless)
+        return quality.assess(cleaned, cleaning.merchant_rules())
 
-    def customers_checked(self) -> DataFrame:
-        return quality.assess(cleaning.clean_customers(self.customers_raw()), cleaning.customer_rules())
+    @cache
+    def customers_checked(self, keyless: bool = True) -> DataFrame:
+        cleaned = cleaning.clean_customers(self.customers_raw(), keep_keyless=keyless)
+        return quality.assess(cleaned, cleaning.customer_rules())
 
-    def cards_cleaned(self, raw: DataFrame | None = None) -> DataFrame:
+    @cache
+    def cards_cleaned(self, raw: DataFrame | None = None, keyless: bool = True) -> DataFrame:
         raw = self.cards_raw() if raw is None else raw
-        return cleaning.clean_cards(raw, self.customer_keys(), flag_by_lookup)
+        return cleaning.clean_cards(raw, self.customer_keys(), flag_by_lookup, keep_keyless=keyless)
 
-    def cards_checked(self, raw: DataFrame | None = None) -> DataFrame:
-        return quality.assess(self.cards_cleaned(raw), cleaning.card_rules())
+    @cache
+    def cards_checked(self, raw: DataFrame | None = None, keyless: bool = True) -> DataFrame:
+        return quality.assess(self.cards_cleaned(raw, keyless), cleaning.card_rules())
 
-    def transactions_cleaned(self, raw: DataFrame | None = None) -> DataFrame:
+    @cache
+    def transactions_cleaned(self, raw: DataFrame | None = None, keyless: bool = True) -> DataFrame:
         raw = self.transactions_raw() if raw is None else raw
         return cleaning.clean_transactions(
-            raw, self.customer_keys(), self.card_keys(), self.merchant_keys(), flag_by_lookup
+            raw, self.customer_keys(), self.card_keys(), self.merchant_keys(), flag_by_lookup, keep_keyless=keyless
         )
 
-    def transactions_checked(self, raw: DataFrame | None = None) -> DataFrame:
-        return quality.assess(self.transactions_cleaned(raw), cleaning.transaction_rules())
+    @cache
+    def transactions_checked(self, raw: DataFrame | None = None, keyless: bool = True) -> DataFrame:
+        return quality.assess(self.transactions_cleaned(raw, keyless), cleaning.transaction_rules())
 
     # Silver
+    @cache
     def merchants(self) -> DataFrame:
-        return quality.good_rows(self.merchants_checked())
+        return quality.good_rows(self.merchants_checked(keyless=False))
 
+    @cache
     def customers(self) -> DataFrame:
-        return history.first_load(quality.good_rows(self.customers_checked()), cleaning.CUSTOMER_HISTORY)
+        good = quality.good_rows(self.customers_checked(keyless=False))
+        return history.first_load(good, cleaning.CUSTOMER_HISTORY)
 
+    @cache
     def cards(self, raw: DataFrame | None = None) -> DataFrame:
-        return quality.good_rows(self.cards_checked(raw)).drop(*cleaning.CARD_HELPERS)
+        return quality.good_rows(self.cards_checked(raw, keyless=False)).drop(*cleaning.CARD_HELPERS)
 
+    @cache
     def transactions(self, raw: DataFrame | None = None) -> DataFrame:
         helpers = ("is_negative_amount_valid", *cleaning.TRANSACTION_HELPERS)
-        return quality.good_rows(self.transactions_checked(raw)).drop(*helpers)
+        return quality.good_rows(self.transactions_checked(raw, keyless=False)).drop(*helpers)
 
+    @cache
     def merchant_keys(self) -> DataFrame:
         return self.merchants().select("merchant_id")
 
+    @cache
     def customer_keys(self) -> DataFrame:
         return history.current(self.customers()).select("customer_id")
 
+    @cache
     def card_keys(self) -> DataFrame:
         return self.cards().select("card_id")
 
     # two batches
+    @cache
     def history_first(self) -> DataFrame:
-        batch = cleaning.clean_customers(self.customer_updates(inputs.FIRST_BATCH))
+        batch = cleaning.clean_customers(self.customer_updates(inputs.FIRST_BATCH), keep_keyless=False)
         return history.first_load(batch, cleaning.CUSTOMER_HISTORY)
 
+    @cache
     def history_incoming(self) -> DataFrame:
-        return cleaning.clean_customers(self.customer_updates(inputs.SECOND_BATCH))
+        return cleaning.clean_customers(self.customer_updates(inputs.SECOND_BATCH), keep_keyless=False)
 
     # Gold
+    @cache
     def enriched(self) -> DataFrame:
         return marts.successful_with_category(self.transactions(), self.merchants())
 
+    @cache
     def spend(self) -> DataFrame:
         return marts.spend_summary(self.transactions(), self.merchants())
 
+    @cache
     def risk(self) -> DataFrame:
         return marts.risk_summary(self.customers(), self.cards(), self.spend())
 
+    @cache
     def segments(self) -> DataFrame:
         return marts.segmentation_summary(
             self.customers(), self.cards(), self.spend(), F.lit(AS_OF).cast("date")
@@ -173,18 +202,29 @@ def watermark_upsert(layers: Layers) -> DataFrame:
 
 
 def upsert_cards(layers: Layers) -> DataFrame:
+    """The keyed write alone, on standardised rows."""
+    stored = cleaning.standardise_cards(layers.cards_raw(inputs.FIRST_BATCH))
+    incoming = cleaning.standardise_cards(layers.card_updates())
+    return upsert(stored, incoming, ["card_id"], cleaning.CARD_UPDATES)
+
+
+def silver_cards(layers: Layers) -> DataFrame:
+    """Two batches, each cleaned and checked, the second one written over the first."""
     stored = layers.cards(layers.cards_raw(inputs.FIRST_BATCH))
     return upsert(stored, layers.cards(layers.card_updates()), ["card_id"], cleaning.CARD_UPDATES)
 
 
-def _transaction_batches(layers: Layers) -> tuple[DataFrame, DataFrame]:
-    first = layers.transactions(layers.transactions_raw(inputs.FIRST_TRANSACTIONS))
-    second = layers.transactions(layers.transactions_raw(inputs.SECOND_TRANSACTIONS))
+def _standard_transactions(layers: Layers) -> tuple[DataFrame, DataFrame]:
+    first, second = (
+        _newest(cleaning.standardise_transactions(layers.transactions_raw(where)), "transaction_id")
+        for where in (inputs.FIRST_TRANSACTIONS, inputs.SECOND_TRANSACTIONS)
+    )
     return first, second
 
 
 def upsert_transactions(layers: Layers) -> DataFrame:
-    stored, incoming = _transaction_batches(layers)
+    """The keyed write alone, on standardised rows."""
+    stored, incoming = _standard_transactions(layers)
     return upsert(stored, incoming, ["transaction_id"], cleaning.TRANSACTION_UPDATES)
 
 
@@ -192,10 +232,17 @@ def upsert_touched_months(layers: Layers) -> DataFrame:
     def with_month(df: DataFrame) -> DataFrame:
         return df.withColumn("month", marts.month_of(F.col("transaction_timestamp")))
 
-    stored, incoming = _transaction_batches(layers)
+    stored, incoming = _standard_transactions(layers)
     return touched_partitions(with_month(stored), with_month(incoming), ["transaction_id"], "month")
 
 
+def silver_transactions(layers: Layers) -> DataFrame:
+    """Two batches, each cleaned and checked, the second one written over the first."""
+    stored = layers.transactions(layers.transactions_raw(inputs.FIRST_TRANSACTIONS))
+    incoming = layers.transactions(layers.transactions_raw(inputs.SECOND_TRANSACTIONS))
+    return upsert(stored, incoming, ["transaction_id"], cleaning.TRANSACTION_UPDATES)
+
+
 # -- cleaning and quality ----------------------------------------------------------------------------------------------
 
 def _newest(df: DataFrame, key: str) -> DataFrame:
@@ -315,8 +362,8 @@ PLANS: dict[str, Callable[[Layers], DataFrame]] = {
     # Silver tables
     "silver_merchants": lambda x: x.merchants(),
     "silver_customers": scd_history,
-    "silver_cards": lambda x: x.cards(),
-    "silver_transactions": upsert_transactions,
+    "silver_cards": silver_cards,
+    "silver_transactions": silver_transactions,
     # Gold
     "txn_enrich": lambda x: x.enriched(),
     "monthly_spend": lambda x: marts.monthly_spend(x.enriched()),

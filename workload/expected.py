@@ -151,10 +151,9 @@ def upserted(stored: str, incoming: str, key: str, columns: list[str], updates:
         WHERE NOT EXISTS (SELECT 1 FROM {stored} o WHERE o.{key} = n.{key})"""
 
 
-CTES["cards_upserted"] = upserted(
-    "cards_1", "cards_2", "card_id", CARD_COLUMNS + ["data_source"],
-    {"card_name", "card_rewards_category", "card_status", "credit_limit", "updated_at"},
-)
+_CARD_UPDATES = {"card_name", "card_rewards_category", "card_status", "credit_limit", "updated_at"}
+CTES["cards_upserted"] = upserted("cards_1", "cards_2", "card_id", CARD_COLUMNS + ["data_source"], _CARD_UPDATES)
+CTES["cards_written"] = upserted("cards_std_1", "cards_std_2", "card_id", CARD_COLUMNS, _CARD_UPDATES)
 
 # -- transactions ------------------------------------------------------------------------------------------------------
 
@@ -197,9 +196,12 @@ def add_transactions(tag: str, view: str) -> None:
 add_transactions("", inputs.view_sql(inputs.TRANSACTIONS))
 add_transactions("_1", inputs.view_sql(inputs.TRANSACTIONS, inputs.FIRST_TRANSACTIONS))
 add_transactions("_2", inputs.view_sql(inputs.TRANSACTIONS, inputs.SECOND_TRANSACTIONS))
+_TXN_UPDATES = {"transaction_status", "transaction_type", "transaction_timestamp", "updated_at"}
 CTES["transactions_upserted"] = upserted(
-    "transactions_1", "transactions_2", "transaction_id", SILVER_TRANSACTION_COLUMNS + ["data_source"],
-    {"transaction_status", "transaction_type", "transaction_timestamp", "updated_at"},
+    "transactions_1", "transactions_2", "transaction_id", SILVER_TRANSACTION_COLUMNS + ["data_source"], _TXN_UPDATES
+)
+CTES["transactions_written"] = upserted(
+    "transactions_newest_1", "transactions_newest_2", "transaction_id", TRANSACTION_COLUMNS, _TXN_UPDATES
 )
 
 # -- Gold --------------------------------------------------------------------------------------------------------------
@@ -300,9 +302,9 @@ CTES["cards_raw_late"] = inputs.view_sql(inputs.CARDS, inputs.SECOND_BATCH)
 _TXN_HELPERS = "customer_known, card_known, merchant_known"
 _TXN_REFERENCES = f"SELECT transaction_id, {_TXN_HELPERS} FROM transactions_clean"
 _CROSSING = """SELECT DISTINCT CAST(date_trunc('month', ts) AS DATE) AS month FROM (
-    SELECT transaction_timestamp AS ts FROM transactions_2
-    UNION ALL SELECT transaction_timestamp FROM transactions_1
-    WHERE transaction_id IN (SELECT transaction_id FROM transactions_2)) t"""
+    SELECT transaction_timestamp AS ts FROM transactions_newest_2
+    UNION ALL SELECT transaction_timestamp FROM transactions_newest_1
+    WHERE transaction_id IN (SELECT transaction_id FROM transactions_newest_2)) t"""
 _DISTRIBUTION = "SELECT {column}, count(DISTINCT customer_id) AS customers FROM {mart} GROUP BY {column}"
 _CUSTOMER_RAW = ["customer_id", "customer_name", "customer_status", "income", "total_cards_issued", "joining_date",
                  "city", "occupation", "risk_grade", "updated_at"]
@@ -319,8 +321,8 @@ FINAL: dict[str, str] = {
     "watermark_upsert": """SELECT pipeline_name, table_name, CASE WHEN table_name = 'silver_cards'
         THEN greatest(last_processed_timestamp, (SELECT max(updated_at) FROM cards_raw_late))
         ELSE last_processed_timestamp END AS last_processed_timestamp FROM progress""",
-    "upsert_cards": "SELECT * FROM cards_upserted",
-    "upsert_transactions": "SELECT * FROM transactions_upserted",
+    "upsert_cards": "SELECT * FROM cards_written",
+    "upsert_transactions": "SELECT * FROM transactions_written",
     "upsert_touched_months": _CROSSING,
     "dedup_merchants": newest(
         "merchants_raw", "merchant_id",
@@ -361,7 +363,7 @@ FINAL: dict[str, str] = {
     "scd_report": "SELECT change_type, count(*) AS row_count FROM changes GROUP BY change_type",
     "silver_merchants": "SELECT * FROM merchants",
     "silver_customers": "SELECT * FROM history",
-    "silver_cards": "SELECT * FROM cards",
+    "silver_cards": "SELECT * FROM cards_upserted",
     "silver_transactions": "SELECT * FROM transactions_upserted",
     "txn_enrich": "SELECT * FROM enriched",
     "monthly_spend": "SELECT * FROM monthly_spend",

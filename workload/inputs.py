@@ -115,12 +115,14 @@ FIRST_TRANSACTIONS = f"l_shipdate <= CAST('{CUTOFF}' AS {{ts}})"
 SECOND_TRANSACTIONS = f"l_shipdate > CAST('{CUTOFF}' AS {{ts}})"
 
 
-def view(spark: SparkSession, sf_dir: str, text: str, where: str = EVERYTHING) -> DataFrame:
-    """Run one of the views above on the Parquet tables of a folder."""
-    where = where.format(ts="TIMESTAMP_NTZ")
-    used = [name for name in TABLES if f"{{{name}}}" in text]
-    tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in used}
-    return spark.sql(text.replace("{where}", where), **tables)
+def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in TABLES}
+
+
+def view(spark: SparkSession, given: dict[str, DataFrame], text: str, where: str = EVERYTHING) -> DataFrame:
+    """Run one of the views above on the given tables."""
+    used = {name: given[name] for name in TABLES if f"{{{name}}}" in text}
+    return spark.sql(text.replace("{where}", where.format(ts="TIMESTAMP_NTZ")), **used)
 
 
 def view_sql(text: str, where: str = EVERYTHING) -> str:
