@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def total_order(df: DataFrame, newest_first: Sequence[str] = ()) -> list[Column]:
+def total_order(df: DataFrame, key: str, newest_first: Sequence[str] = ()) -> list[Column]:
     """The given columns newest first, then every other column, so that equal timestamps never leave a choice open."""
-    rest = [name for name in df.columns if name not in newest_first]
+    rest = [name for name in df.columns if name != key and name not in newest_first]
     return [F.desc_nulls_last(name) for name in newest_first] + [F.asc_nulls_last(name) for name in rest]
 
 
@@ -39,7 +39,7 @@ def newest_per_key(
     so the second read costs next to nothing where every row has its key, and keyless rows are never shuffled.
     """
     keyed = standardise(raw.where(F.col(key).isNotNull()))
-    newest = top_per_group(keyed, [key], total_order(keyed, newest_first))
+    newest = top_per_group(keyed, [key], total_order(keyed, key, newest_first))
     if not keep_keyless:
         return newest
     return newest.unionByName(standardise(raw.where(F.col(key).isNull())))

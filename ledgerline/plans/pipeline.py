@@ -26,8 +26,9 @@ from ledgerline.plans.layout import Lakehouse
 from ledgerline.sources.landing import read_csv, read_pages
 from ledgerline.sources.tables import NULL_PARTITION, Table
 
-# Key sets up to this many rows are joined to the rows directly; larger ones through their missing keys.
-SMALL_KEY_SET = 1_000_000
+# Dimensions of up to this many rows, counted before use, are broadcast. Beyond it, references are checked through their
+# missing keys, and the merchant categories are joined by a shuffle.
+SMALL_DIMENSION = 1_000_000
 
 STORAGE_MONTH = "transaction_month"
 
@@ -116,19 +117,27 @@ def _checked(lake: Lakehouse, name: str, cleaned: DataFrame, rules: list[quality
     return lake.spark.read.schema(assessed.schema).parquet(folder)
 
 
-def _reference_check(lake: Lakehouse, name: str, key_rows: dict[str, int]) -> Callable[..., DataFrame]:
-    """Choose the plan of the referential checks by the measured size of each key set."""
+def _reference_check(
+    lake: Lakehouse, name: str, rows: DataFrame, key_rows: dict[str, int]
+) -> Callable[[DataFrame, list[Reference]], DataFrame]:
+    """Choose the plan of the referential checks by the measured size of each key set.
 
-    def check(df: DataFrame, refs: list[Reference]) -> DataFrame:
-        small = [ref for ref in refs if key_rows[ref.column] <= SMALL_KEY_SET]
-        large = [ref for ref in refs if key_rows[ref.column] > SMALL_KEY_SET]
+    ``rows`` are the standardised rows before deduplication: their distinct keys come from single-column scans.
+    """
+
+    def check(newest: DataFrame, refs: list[Reference]) -> DataFrame:
+        small = [
+            ref._replace(keys=F.broadcast(ref.keys)) for ref in refs if key_rows[ref.column] <= SMALL_DIMENSION
+        ]
+        large = [ref for ref in refs if key_rows[ref.column] > SMALL_DIMENSION]
         if large:
             # stored, so that the joins below are planned with the real size of the missing keys
             folder = lake.scratch(f"missing_{name}")
-            absent = references.missing_keys(df, large)
+            absent = references.missing_keys(rows, large)
             absent.write.mode("overwrite").partitionBy("reference_column").parquet(folder)
-            df = references.flag_by_exception(df, large, lake.spark.read.schema(absent.schema).parquet(folder))
-        return references.flag_by_lookup(df, small)
+            stored = lake.spark.read.schema(absent.schema).parquet(folder)
+            newest = references.flag_by_exception(newest, large, stored)
+        return references.flag_by_lookup(newest, small)
 
     return check
 
@@ -171,7 +180,8 @@ def process_cards(lake: Lakehouse) -> DataFrame | None:
     if batch is None:
         return None
     customer_keys = _current_customer_keys(lake)
-    check = _reference_check(lake, "cards", {"card_holder_id": customer_keys.count()})
+    rows = cleaning.standardise_cards(batch)
+    check = _reference_check(lake, "cards", rows, {"card_holder_id": customer_keys.count()})
     cleaned = cleaning.clean_cards(batch, customer_keys, check)
     checked = _checked(lake, "cards", cleaned, cleaning.card_rules())
     bad = quality.bad_rows_first_reason(checked).drop(*cleaning.CARD_HELPERS)
@@ -220,7 +230,7 @@ def process_transactions(lake: Lakehouse) -> DataFrame | None:
     sizes = {
         "customer_id": customer_keys.count(), "card_id": card_keys.count(), "merchant_id": merchant_keys.count(),
     }
-    check = _reference_check(lake, "transactions", sizes)
+    check = _reference_check(lake, "transactions", cleaning.standardise_transactions(batch), sizes)
     cleaned = cleaning.clean_transactions(batch, customer_keys, card_keys, merchant_keys, check)
     checked = _checked(lake, "transactions", cleaned, cleaning.transaction_rules())
     bad = quality.bad_rows(checked).drop(*cleaning.TRANSACTION_HELPERS)
@@ -250,7 +260,10 @@ def _rebuild(lake: Lakehouse, name: str, mart: DataFrame) -> None:
 
 
 def build_spend_summary(lake: Lakehouse) -> None:
-    mart = marts.spend_summary(lake.silver("transactions").read(), lake.silver("merchants").read())
+    merchants = lake.silver("merchants").read()
+    if merchants.count() <= SMALL_DIMENSION:
+        merchants = F.broadcast(merchants)
+    mart = marts.spend_summary(lake.silver("transactions").read(), merchants)
     _rebuild(lake, "customers_spend_summary", mart)
 
 

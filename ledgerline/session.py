@@ -44,6 +44,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.sql.shuffle.partitions", shuffle_partitions)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in BASE_CONF.items():
         builder = builder.config(key, value)

@@ -73,6 +73,10 @@ class World:
         reports = run_pipeline(self.spark, self.warehouse, str(self.landing), F.lit(AS_OF))
         return {name: report and report.first().asDict() for name, report in reports.items()}
 
+    def run_silver(self):
+        pipeline.ingest_to_bronze(self.lake, str(self.landing))
+        pipeline.bronze_to_silver(self.lake)
+
     @property
     def lake(self):
         return Lakehouse(self.spark, self.warehouse)
@@ -202,9 +206,9 @@ def test_rerun_after_a_crash_before_the_watermark_moved(world, monkeypatch):
 
     monkeypatch.setattr(pipeline, "save_mark", die_on_customers)
     with pytest.raises(RuntimeError):
-        world.run()
+        world.run_silver()
     monkeypatch.setattr(pipeline, "save_mark", saved)
-    world.run()
+    world.run_silver()
     history = world.lake.silver("customers").read().where("customer_id = 'C1'").collect()
     assert sorted((r["is_current"], r["risk_grade"]) for r in history) == [(False, "Low"), (True, "High")]
     assert world.lake.quarantine("customers").read().count() == 4
@@ -213,17 +217,17 @@ def test_rerun_after_a_crash_before_the_watermark_moved(world, monkeypatch):
 def test_batch_of_bad_rows_only(world):
     before = sorted(map(str, world.lake.silver("cards").read().collect()))
     world.land("cards", card("K8", "nobody", "2024-05-01 00:00:00"))
-    world.run()
+    world.run_silver()
     assert sorted(map(str, world.lake.silver("cards").read().collect())) == before
     assert last_mark(world.lake, "bronze_to_silver", "silver_cards") == datetime(2024, 5, 1)
-    world.run()
+    world.run_silver()
     assert world.lake.quarantine("cards").read().count() == 2
 
 
 def test_large_key_sets_take_the_other_plan(world, monkeypatch):
     chosen = []
     by_exception = references.flag_by_exception
-    monkeypatch.setattr(pipeline, "SMALL_KEY_SET", 0)
+    monkeypatch.setattr(pipeline, "SMALL_DIMENSION", 0)
     monkeypatch.setattr(
         references, "flag_by_exception", lambda df, refs, absent: chosen.append(refs) or by_exception(df, refs, absent)
     )
@@ -240,12 +244,12 @@ def test_two_batches_equal_one_load(spark, tmp_path):
         world.land("customers", customer("C1", "2024-01-01 00:00:00"))
         world.land("cards", card("K1", "C1", "2024-01-01 00:00:00"))
     together.land("transactions", *rows)
-    together.run()
+    together.run_silver()
     early = [r for r in rows if r["updated_at"] < "2024-03"]
     apart.land("transactions", *early)
-    apart.run()
+    apart.run_silver()
     apart.land("transactions", *[r for r in rows if r not in early])
-    apart.run()
+    apart.run_silver()
 
     def state(world):
         return sorted(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -245,8 +245,8 @@ def silver_transactions(layers: Layers) -> DataFrame:
 
 # -- cleaning and quality ----------------------------------------------------------------------------------------------
 
-def _newest(df: DataFrame, key: str) -> DataFrame:
-    return top_per_group(df, [key], total_order(df, ["updated_at"]))
+def _newest(df: DataFrame, key: str, newest_first: Sequence[str] = ("updated_at",)) -> DataFrame:
+    return top_per_group(df, [key], total_order(df, key, newest_first))
 
 
 def card_brand(layers: Layers) -> DataFrame:
@@ -333,7 +333,7 @@ PLANS: dict[str, Callable[[Layers], DataFrame]] = {
     "upsert_transactions": upsert_transactions,
     "upsert_touched_months": upsert_touched_months,
     # cleaning
-    "dedup_merchants": lambda x: top_per_group(x.merchants_raw(), ["merchant_id"], total_order(x.merchants_raw())),
+    "dedup_merchants": lambda x: _newest(x.merchants_raw(), "merchant_id", []),
     "dedup_customers": lambda x: _newest(x.customer_updates(), "customer_id"),
     "dedup_cards": lambda x: _newest(x.cards_raw().unionByName(x.card_updates()), "card_id"),
     "dedup_transactions": lambda x: _newest(x.transactions_raw(), "transaction_id"),
