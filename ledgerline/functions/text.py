@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Spellings recognised in a currency field, first match wins.
-# The patterns are unanchored on purpose: "US$" and "USDT" both count as USD.
+# Texts that name a currency wherever they occur in the field, first match wins. They are not anchored on
+# purpose: "US$" and "USDT" both count as USD.
 CURRENCY_SPELLINGS = (
-    ("USD", r"USD|\$"),
-    ("INR", r"INR|₹"),
-    ("GBP", r"GBP|£"),
-    ("JPY", r"YEN|JPY|¥"),
+    ("USD", ("USD", "$")),
+    ("INR", ("INR", "₹")),
+    ("GBP", ("GBP", "£")),
+    ("JPY", ("YEN", "JPY", "¥")),
 )
 
 # Currencies accepted by the transaction rules.
@@ -31,19 +34,26 @@ def titled(name: str) -> Column:
     return F.initcap(F.trim(F.col(name)))
 
 
-def currency_code(currency: Column) -> Column:
-    """ISO code for the known spellings; anything else is kept upper-cased."""
-    tidy = F.upper(F.trim(currency))
-    known = [F.when(tidy.rlike(pattern), F.lit(code)) for code, pattern in CURRENCY_SPELLINGS]
+def tidy_currency(name: str) -> Column:
+    return F.upper(trimmed(name))
+
+
+def _holds_any(text: Column, parts: Iterable[str]) -> Column:
+    """Plain substring tests: several times faster than a regular expression of alternatives."""
+    return reduce(lambda a, b: a | b, [text.contains(part) for part in parts])
+
+
+def currency_code(tidy: Column) -> Column:
+    """ISO code for the known spellings in a tidied field; anything else is kept."""
+    known = [F.when(_holds_any(tidy, parts), F.lit(code)) for code, parts in CURRENCY_SPELLINGS]
     return F.coalesce(*known, tidy)
 
 
-def accepted_currency(currency: Column) -> Column:
-    return currency.rlike("|".join(ACCEPTED_CURRENCIES))
+def accepted_currency(code: Column) -> Column:
+    return _holds_any(code, ACCEPTED_CURRENCIES)
 
 
-def card_network(card_name: Column, fallback: Column) -> Column:
-    """Network named in the card name, whatever its case, else the given brand."""
-    name = F.lower(card_name)
-    named = [F.when(name.contains(network.lower()), F.lit(network)) for network in CARD_NETWORKS]
+def card_network(lower_name: Column, fallback: Column) -> Column:
+    """Network named in a lower-cased card name, else the given brand."""
+    named = [F.when(lower_name.contains(network.lower()), F.lit(network)) for network in CARD_NETWORKS]
     return F.coalesce(*named, fallback)

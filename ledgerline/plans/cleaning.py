@@ -12,7 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.business import amount_sign_ok
-from ledgerline.functions.text import accepted_currency, card_network, currency_code, titled, trimmed
+from ledgerline.functions.text import (
+    accepted_currency,
+    card_network,
+    currency_code,
+    tidy_currency,
+    titled,
+    trimmed,
+)
 from ledgerline.operators.dedup import newest_per_key
 from ledgerline.operators.history import History
 from ledgerline.operators.quality import Rule
@@ -102,11 +109,12 @@ def customer_rules() -> list[Rule]:
 # -- cards -------------------------------------------------------------------------------------------------------------
 
 def standardise_cards(raw: DataFrame) -> DataFrame:
-    name = titled("card_name")
-    return raw.select(
+    # two steps, so that a text used more than once is computed once per row
+    tidy = raw.select(
         trimmed("card_id").alias("card_id"),
-        name.alias("card_name"),
-        card_network(name, titled("card_brand_type")).alias("card_brand_type"),
+        titled("card_name").alias("card_name"),
+        F.lower("card_name").alias("lower_name"),
+        "card_brand_type",
         trimmed("card_holder_id").alias("card_holder_id"),
         titled("card_holder_type").alias("card_holder_type"),
         titled("card_rewards_category").alias("card_rewards_category"),
@@ -115,6 +123,8 @@ def standardise_cards(raw: DataFrame) -> DataFrame:
         F.col("expiry_date").try_cast("date").alias("expiry_date"),
         F.col("updated_at").try_cast("timestamp").alias("updated_at"),
     )
+    brand = card_network(F.col("lower_name"), titled("card_brand_type"))
+    return tidy.withColumn("card_brand_type", brand).drop("lower_name")
 
 
 def card_references(customer_keys: DataFrame) -> list[Reference]:
@@ -145,21 +155,26 @@ CARD_HELPERS = ("holder_known",)
 # -- transactions ------------------------------------------------------------------------------------------------------
 
 def standardise_transactions(raw: DataFrame) -> DataFrame:
-    kind = titled("transaction_type")
-    return raw.select(
+    tidy = raw.select(
         trimmed("transaction_id").alias("transaction_id"),
         trimmed("card_id").alias("card_id"),
         trimmed("customer_id").alias("customer_id"),
         trimmed("merchant_id").alias("merchant_id"),
         "amount",
-        currency_code(F.col("currency")).alias("currency"),
+        tidy_currency("currency").alias("currency"),
         trimmed("device_channel").alias("device_channel"),
         titled("status").alias("transaction_status"),
-        kind.alias("transaction_type"),
+        titled("transaction_type").alias("transaction_type"),
         F.col("transaction_timestamp").try_cast("timestamp").alias("transaction_timestamp"),
-        amount_sign_ok(kind, F.col("amount")).alias("is_negative_amount_valid"),
         F.col("updated_at").try_cast("timestamp").alias("updated_at"),
     )
+    return tidy.select(
+        "transaction_id", "card_id", "customer_id", "merchant_id", "amount",
+        currency_code(F.col("currency")).alias("currency"),
+        "device_channel", "transaction_status", "transaction_type", "transaction_timestamp",
+        amount_sign_ok(F.col("transaction_type"), F.col("amount")).alias("is_negative_amount_valid"),
+        "updated_at",
+    )
 
 
 def transaction_references(

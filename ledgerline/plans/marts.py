@@ -17,7 +17,7 @@ from ledgerline.functions.business import (
     spend_segment,
     tenure_months,
 )
-from ledgerline.functions.money import as_double, total
+from ledgerline.functions.money import as_double, money, total
 from ledgerline.operators.ranking import best
 
 # States that count against a card or a customer.
@@ -104,13 +104,20 @@ def spend_summary(transactions: DataFrame, merchants: DataFrame) -> DataFrame:
     ranking. Its small result moves once more, by customer, and serves the monthly roll-up and both windows in place.
     A customer then has at most months x categories rows.
     """
-    enriched = successful_with_category(transactions, merchants)
-    amount, kind = F.col("amount"), F.col("transaction_type")
-    by_category = enriched.where(is_spend(kind) | is_refund(kind)).groupBy(*CUSTOMER_MONTH, "merchant_category").agg(
-        total(F.when(is_spend(kind), amount)).alias("spend"),
-        F.count_if(is_spend(kind)).alias("spend_count"),
-        F.count(F.when(is_spend(kind), amount)).alias("spend_amounts"),
-        total(F.when(is_refund(kind), F.abs(amount))).alias("refunded"),
+    kind = F.col("transaction_type")
+    facts = transactions.where(
+        (F.col("transaction_status") == "Successful") & (is_spend(kind) | is_refund(kind))
+    ).select(
+        "customer_id", "merchant_id", month_of(F.col("transaction_timestamp")).alias("month"),
+        money(F.col("amount")).alias("amount"), is_spend(kind).alias("spent"),
+    )
+    enriched = facts.join(merchants.select("merchant_id", "merchant_category"), "merchant_id", "left")
+    amount, spent = F.col("amount"), F.col("spent")
+    by_category = enriched.groupBy(*CUSTOMER_MONTH, "merchant_category").agg(
+        F.sum(F.when(spent, amount)).alias("spend"),
+        F.count_if(spent).alias("spend_count"),
+        F.count(F.when(spent, amount)).alias("spend_amounts"),
+        F.sum(F.when(~spent, F.abs(amount))).alias("refunded"),
     )
     monthly = by_category.repartition("customer_id").groupBy(*CUSTOMER_MONTH).agg(
         F.sum("spend").alias("spend"),

