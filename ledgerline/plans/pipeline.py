@@ -30,6 +30,9 @@ from ledgerline.sources.tables import NULL_PARTITION, Table
 # missing keys, and the merchant categories are joined by a shuffle.
 SMALL_DIMENSION = 1_000_000
 
+# Storage partitions: Bronze by month of the last update, so that an incremental read opens recent files only; Silver
+# transactions by month of the transaction, so that an update rewrites few of them.
+BRONZE_MONTH = "updated_month"
 STORAGE_MONTH = "transaction_month"
 
 
@@ -73,13 +76,18 @@ def ingest_merchants(lake: Lakehouse, csv_path: str) -> None:
     lake.bronze("merchants").overwrite(read_csv(lake.spark, csv_path, schemas.MERCHANT_RECORD))
 
 
+def bronze_since(lake: Lakehouse, endpoint: str, mark: datetime | None) -> DataFrame:
+    """Stored records newer than the mark; months before it are pruned, in the others the filter reaches the scan."""
+    newer = watermark.since(lake.bronze(endpoint).read(), mark)
+    return newer if mark is None else newer.where(F.col(BRONZE_MONTH) >= month_of(F.lit(mark)))
+
+
 def ingest_batch(lake: Lakehouse, endpoint: str, records: DataFrame, label: str, mark: datetime | None) -> None:
     """Append one batch of records and move the Bronze watermark to its newest row."""
-    bronze = lake.bronze(endpoint)
-    bronze.append(records, label)
+    dated = records.withColumn(BRONZE_MONTH, month_of(F.col("updated_at")))
+    lake.bronze(endpoint).append(dated, label, partition_by=BRONZE_MONTH)
     # read from the stored column, so that the landed files are parsed once
-    stored = watermark.since(bronze.read(), mark)
-    save_mark(lake, watermark.newest(stored, "ingest_to_bronze", f"bronze_{endpoint}"))
+    save_mark(lake, watermark.newest(bronze_since(lake, endpoint, mark), "ingest_to_bronze", f"bronze_{endpoint}"))
 
 
 def ingest_endpoint(lake: Lakehouse, endpoint: Endpoint, pages_path: str) -> bool:
@@ -102,10 +110,9 @@ def ingest_to_bronze(lake: Lakehouse, landing: str) -> None:
 # -- Silver ------------------------------------------------------------------------------------------------------------
 
 def _new_rows(lake: Lakehouse, name: str, mark: datetime | None) -> DataFrame | None:
-    bronze = lake.bronze(name)
-    if not bronze.exists():
+    if not lake.bronze(name).exists():
         return None
-    batch = watermark.since(bronze.read(), mark)
+    batch = bronze_since(lake, name, mark)
     return None if batch.isEmpty() else batch
 
 

@@ -62,9 +62,9 @@ class Table:
     def overwrite(self, df: DataFrame, partition_by: str | None = None) -> None:
         self._commit(df, partition_by, None, keep=lambda entry: False)
 
-    def append(self, df: DataFrame, label: str) -> None:
+    def append(self, df: DataFrame, label: str, partition_by: str | None = None) -> None:
         """Add rows under a label. Appending the same label again replaces its rows, so a rerun adds nothing twice."""
-        self._commit(df, None, label, keep=lambda entry: entry["label"] != label)
+        self._commit(df, partition_by, label, keep=lambda entry: entry["label"] != label)
 
     def replace_partitions(self, df: DataFrame, partition_by: str, values: Iterable[str]) -> None:
         """Rewrite the partitions with these values (as they appear in folder names) and keep all others.

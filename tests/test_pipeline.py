@@ -85,6 +85,8 @@ class World:
         return {row[0]: row.asDict() for row in self.lake.silver(name).read().collect()}
 
 
+
+
 @pytest.fixture(scope="module")
 def loaded(spark, tmp_path_factory):
     """A world after its first run, with the reports of that run."""
@@ -214,6 +216,15 @@ def test_rerun_after_a_crash_before_the_watermark_moved(world, monkeypatch):
     assert world.lake.quarantine("customers").read().count() == 4
 
 
+def test_incremental_read_opens_recent_months_only(world):
+    batch = pipeline.bronze_since(world.lake, "transactions", datetime(2024, 2, 10, 0, 0))
+    assert [r["transaction_id"] for r in batch.collect()] == [None]
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    partition_filters = plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+    assert "updated_month" in partition_filters and "2024-02-01" in partition_filters
+    assert "GreaterThan(updated_at" in plan
+
+
 def test_batch_of_bad_rows_only(world):
     before = sorted(map(str, world.lake.silver("cards").read().collect()))
     world.land("cards", card("K8", "nobody", "2024-05-01 00:00:00"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
 
@@ -62,18 +63,11 @@ def test_a_job_that_dies_leaves_the_table_as_it_was(table, rows):
     assert state(table) == [(5,)]
 
 
-def test_scratch_follows_the_cluster_setting(spark, tmp_path):
-    lake, setting = Lakehouse(spark, str(tmp_path)), "spark.checkpoint.dir"
-    given = spark.conf.get(setting, None)
-    try:
-        spark.conf.unset(setting)
-        base = given or str(tmp_path)
-        assert lake.scratch("x").startswith(base)
-        spark.conf.set(setting, "/shared/place")
-        assert lake.scratch("x").startswith("/shared/place/")
-        assert Lakehouse(spark, str(tmp_path)).scratch("x") != lake.scratch("x")
-    finally:
-        if given:
-            spark.conf.set(setting, given)
-        else:
-            spark.conf.unset(setting)
+def test_scratch_follows_the_cluster_setting(tmp_path):
+    def session(**conf):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: conf.get("folder", default)))
+
+    alone, cluster = Lakehouse(session(), str(tmp_path)), Lakehouse(session(folder="/shared/place"), str(tmp_path))
+    assert alone.scratch("x").startswith(str(tmp_path))
+    assert cluster.scratch("x").startswith("/shared/place/")
+    assert cluster.scratch("x") != Lakehouse(session(folder="/shared/place"), str(tmp_path)).scratch("x")

@@ -243,6 +243,12 @@ CTES["spend"] = """SELECT m.customer_id, m.month, m.total_spend, m.transaction_c
     FROM mom_change m LEFT JOIN monthly_refunds r ON r.customer_id = m.customer_id AND r.month = m.month
     LEFT JOIN top_category c ON c.customer_id = m.customer_id AND c.month = m.month
     LEFT JOIN trailing_avg t ON t.customer_id = m.customer_id AND t.month = m.month"""
+# the same mart on the transactions written in two batches
+_SPEND_STEPS = ["enriched", "spending", "monthly_spend", "monthly_refunds", "category_spend", "top_category", "mom_change",
+                "trailing_avg", "spend"]
+for _step in _SPEND_STEPS:
+    _text = re.sub(r"\b(FROM|JOIN) transactions\b", r"\1 transactions_upserted", CTES[_step])
+    CTES[f"{_step}_2"] = re.sub(rf"\b(FROM|JOIN) ({'|'.join(_SPEND_STEPS)})\b", r"\1 \2_2", _text)
 CTES["card_rollup"] = f"""SELECT card_holder_id AS customer_id, {money_sum('credit_limit')} AS total_credit_limit,
     count(card_id) AS card_count,
     CAST(sum(CASE WHEN card_status IN ('Blocked', 'Lost') THEN 1 ELSE 0 END) AS BIGINT) AS blocked_or_lost_card_count
@@ -384,6 +390,7 @@ FINAL: dict[str, str] = {
     "gold_spend_summary": "SELECT * FROM spend",
     "gold_risk_summary": "SELECT * FROM risk",
     "gold_segmentation": "SELECT * FROM segments",
+    "pipeline_two_runs": "SELECT * FROM spend_2",
     "kpi_spend": f"""SELECT round({money_sum('total_spend')} / 10000000, 6) AS total_transaction_volume_cr,
         round({money_sum('total_spend')} / count(total_spend), 6) AS average_monthly_spend,
         round({money_sum('total_refunded')} / 10000000, 6) AS total_refunded_cr,
