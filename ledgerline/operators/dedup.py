@@ -36,7 +36,7 @@ def newest_per_key(
 
     Keys are compared after standardising, so " C1" and "C1" are one key. Rows without a key cannot be compared: all of
     them are kept for quarantine, or left out where only good rows are wanted. The split on the raw key reaches the scan,
-    so the second read costs next to nothing where every row has its key, and keyless rows are never shuffled.
+    so the second read costs little where every row has its key, and keyless rows stay out of the shuffle.
     """
     keyed = standardise(raw.where(F.col(key).isNotNull()))
     newest = top_per_group(keyed, [key], total_order(keyed, key, newest_first))
