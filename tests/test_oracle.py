@@ -6,10 +6,11 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import difference, duckdb_on
+from workload import expected
 from workload.catalog import PLANS, Layers, comparable
 
 SF_DIR = "/root/testdata/sf0.001"
-SQL = contract.oracle_sql()
+SQL = expected.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +32,8 @@ def layers(spark):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(SQL) == set(PLANS)
+    assert set(SQL) == set(PLANS)
+    assert set(PLANS) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(PLANS))
