@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import shards
+import public_tokenizers
+
+from . import bpe, shards
 from .shared import table
 
 SHARDS = 40
@@ -19,8 +21,23 @@ def op1_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("law", F.lit("key"))
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(documents, ranks, public_tokenizers.PATTERN)
+    numbers = F.replace(F.col("ids").cast("string"), F.lit(","), F.lit(""))  # "[1 2 3]"
+    encoded = encoded.select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.btrim(numbers, F.lit("[]")), 256).alias("ids_sha256"),
+    )
+    return bpe.decode(encoded, ranks).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree": op1_hash_tree,
+    "op3_byte_bpe": op3_byte_bpe,
 }
 
 #: SQL that gives the same rows, where SQL can express the operator on whole tables.
