@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, shards
+from . import bpe, packing, shards
 from .shared import table
 
 SHARDS = 40
@@ -35,9 +35,14 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree": op1_hash_tree,
     "op3_byte_bpe": op3_byte_bpe,
+    "op7_sum_of_squares": op7_sum_of_squares,
 }
 
 #: SQL that gives the same rows, where SQL can express the operator on whole tables.

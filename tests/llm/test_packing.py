@@ -1,0 +1,118 @@
+"""Every id lies in one piece, windows are nearly full, and levels are chosen by the sum of squares."""
+
+from __future__ import annotations
+
+import os
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
+from tokenizers import Tokenizer
+
+from ledgerline.llm import packing, words
+from ledgerline.llm.queries import op7_sum_of_squares
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
+def test_ids_are_the_library_s(library):
+    letters = [" ", "\n", "\t", "\x1c", "\x85", "​", "\xa0", "a", "B", "é", "e", "́", "1", "½", "_", "-",
+               "'s", "'", "'LL", "中", "\U0001f600", "İ", "Σ", "ΑΣ", "ﬁ", "!!", "x" * 60]
+    draw = random.Random(3)
+    texts = ["".join(draw.choices(letters, k=draw.randint(0, 40))) for _ in range(3000)]
+    texts += ["", "a" * 5000, "<|endoftext|>", "word " * 300_000]
+    wanted = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    got = [np.frombuffer(p, "<i4").tolist() for p in words.word_encoder(PATH).encode(texts)]
+    assert got == wanted
+
+
+def squares(packer):
+    return int((packer.count.astype(int) ** 2).sum())
+
+
+def test_level_choice_is_the_best_of_all():
+    draw, packer = random.Random(4), packing.SumOfSquares(32)
+    for _ in range(500):
+        size = draw.randint(1, 31)
+        costs = {}
+        for level in [0] + [h for h in range(1, 33 - size) if packer.count[h]]:
+            count = packer.count.copy()
+            count[level] -= level > 0
+            count[level + size] += level + size < 32
+            costs[level] = int((count ** 2).sum())
+        level = packer.best_level(size)
+        assert costs[level] == min(costs.values())
+        packer.add("d", b"abcd" * size)
+
+
+def whole(pieces, length, documents):
+    """Checks windows and documents; returns the number of windows."""
+    by_window, by_document = {}, {}
+    for doc, start, size, total, window, offset in pieces:
+        by_window.setdefault(window, []).append((offset, size))
+        by_document.setdefault(doc, []).append((start, size, total))
+    for parts in by_window.values():
+        end = 0
+        for offset, size in sorted(parts):
+            assert offset == end and size > 0
+            end += size
+        assert end <= length
+    for doc, parts in by_document.items():
+        end = 0
+        for start, size, total in sorted(parts):
+            assert start == end and total == documents[doc]
+            end += size
+        assert end == documents[doc]
+    assert set(by_document) == set(documents)
+    return len(by_window)
+
+
+@pytest.mark.parametrize("most_open", [3, 4096])
+def test_pieces_cover_all_and_padding_is_below_one_window(most_open):
+    draw, packer = random.Random(5), packing.SumOfSquares(64, most_open)
+    documents = {i: draw.choice([1, 2, 63, 64, 65, 128, draw.randint(1, 300)]) for i in range(800)}
+    for doc, size in documents.items():
+        packer.add(doc, b"abcd" * size)
+    packer.pour()
+    pieces = []
+    for number, window in enumerate(packer.closed):
+        offset = 0
+        for doc, start, ids, total in window:
+            pieces.append((doc, start, len(ids) // 4, total, number, offset))
+            offset += len(ids) // 4
+    windows = whole(pieces, 64, documents)
+    if most_open == 4096:
+        assert windows == -(-sum(documents.values()) // 64)
+
+
+def test_nulls_repeats_and_clashing_columns(rows):
+    df = rows("doc_id long, text string, start string, ids int",
+              (1, None, "x", 1), (None, "a b", "y", 2), (2, "", None, 3), (2, "", None, 3))
+    got = packing.pack(df, PATH, keep_ids=True).collect()
+    assert sorted((r.doc_id or 0, r.length, r.doc_tokens) for r in got) == [(0, 3, 3), (1, 1, 1), (2, 1, 1), (2, 1, 1)]
+    assert all(zlib.crc32(r.ids) == r.ids_crc32 for r in got)
+    assert packing.pack(df.limit(0), PATH).count() == 0
+
+
+def test_query_against_the_library(spark, library):
+    sf_dir = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    ids = {d: np.array(library.encode(t, add_special_tokens=False).ids + [1], "<u4") for d, t in texts.items()}
+    got = op7_sum_of_squares(spark, sf_dir).collect()
+    for r in got:
+        assert zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes()) == r.ids_crc32
+    pieces = [(r.doc_id, r.start, r.length, r.doc_tokens, r.sequence_id, r.offset) for r in got]
+    windows = whole(pieces, 2048, {d: len(x) for d, x in ids.items()})
+    assert windows <= sum(map(len, ids.values())) / 2048 + 1
