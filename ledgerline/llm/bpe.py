@@ -21,13 +21,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .shared import small_batches
+
 NEVER = np.iinfo(np.int64).max
 ID_BITS = 20
 WIDEST = 192
 #: Symbols in one matrix, chunks handled together, and remembered chunks per Python worker: bounds of its memory.
 MATRIX_CELLS = 1 << 20
-CHUNKS_AT_ONCE = 250_000
-REMEMBERED = 600_000
+CHUNKS_AT_ONCE = 120_000
+REMEMBERED = 400_000
 #: Fixed: Unicode's White_Space, which the tokenizer's pattern means by \s.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Cuts a text only where the tokenizer's pattern always cuts it, too.
@@ -278,6 +280,7 @@ def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", into: st
     A null or empty text has no ids. ranks: path of a rank file that every executor has. No row is dropped or merged;
     all other columns stay.
     """
+    small_batches(df.sparkSession)
     schema = _with_column(df.schema, text, into, T.ArrayType(T.IntegerType(), False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
