@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, packing, shards
+from . import bpe, packing, quality, shards, toxicity
 from .shared import table
 
 SHARDS = 40
@@ -39,10 +39,34 @@ def op7_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def remainder(modulus: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+def op5_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, held_out = table(spark, sf_dir, "documents"), remainder(4) == 2
+    network = quality.fit(documents, table(spark, sf_dir, "labels"), ~held_out)
+    scored = quality.scored(documents.select("doc_id", "text"), network)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
+def op8_counterfactual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, held_out = table(spark, sf_dir, "documents"), remainder(5) == 0
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"), ~held_out)
+    scored = toxicity.scored(documents.select("doc_id", "text"), model, into="score")
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree": op1_hash_tree,
     "op3_byte_bpe": op3_byte_bpe,
+    "op5_byte_network": op5_byte_network,
     "op7_sum_of_squares": op7_sum_of_squares,
+    "op8_counterfactual": op8_counterfactual,
 }
 
 #: SQL that gives the same rows, where SQL can express the operator on whole tables.
