@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, packing, quality, shards, toxicity
+from . import bpe, packing, quality, shards, sketch, toxicity
 from .shared import table
 
 SHARDS = 40
@@ -39,6 +39,23 @@ def op7_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paired = sketch.with_next(table(spark, sf_dir, "documents"), "doc_id", "text", "next")
+    n, moved = F.length("text"), F.floor(F.length("text") / 2).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n - moved), F.substring("next", F.lit(1), moved))
+    texts = paired.select("doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"), "next")
+    prints = texts.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        *[sketch.retained(sketch.hashes(F.col(name))).alias(name) for name in ("text", "edited", "next")],
+    )
+    return prints.select(
+        "doc_id", "n_chars", "edited_sha256", sketch.as_text(F.col("text")).alias("fingerprint"),
+        sketch.as_text(F.col("edited")).alias("edited_fingerprint"),
+        sketch.containment(F.col("text"), F.col("edited")).alias("near_edited"),
+        sketch.containment(F.col("text"), F.col("next")).alias("near_next"),
+    )
+
+
 def remainder(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
 
@@ -64,6 +81,7 @@ def op8_counterfactual(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree": op1_hash_tree,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_scaled_sketch": op4_scaled_sketch,
     "op5_byte_network": op5_byte_network,
     "op7_sum_of_squares": op7_sum_of_squares,
     "op8_counterfactual": op8_counterfactual,
