@@ -40,7 +40,7 @@ def at_least(k: int, similarity: float) -> int:
 
 def shingle_set(text: Column) -> Column:
     """The distinct hashes of the five-word shingles, ascending; none for a text without words."""
-    return F.sort_array(F.array_distinct(hashes(text)))
+    return F.sort_array(F.array_distinct(hashes(text, fold=False)))
 
 
 def plain(text: str) -> Column:

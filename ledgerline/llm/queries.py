@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, packing, quality, shards, sketch, toxicity
+from . import bpe, neardup, packing, quality, shards, sketch, toxicity
 from .shared import table
 
 SHARDS = 40
@@ -35,6 +35,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op7_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_scaled_sketch": op4_scaled_sketch,
     "op5_byte_network": op5_byte_network,
+    "op6_bottom_k": op6_bottom_k,
     "op7_sum_of_squares": op7_sum_of_squares,
     "op8_counterfactual": op8_counterfactual,
 }

@@ -26,9 +26,10 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def hashes(text: Column, shingle: int = SHINGLE) -> Column:
-    """The hash of every shingle of the text's words (lower case, cut at white space), in text order."""
-    words = F.filter(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+def hashes(text: Column, shingle: int = SHINGLE, fold: bool = True) -> Column:
+    """The hash of every shingle of the text's words (in lower case unless fold is off, cut at ASCII white space), in
+    text order."""
+    words = F.filter(F.split(F.lower(text) if fold else text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
     none = F.array().cast("array<bigint>")
 
     def shingles(word: Column) -> Column:

@@ -1,0 +1,111 @@
+"""Components against all pairs, with copies, near copies in large groups, common passages and odd rows."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+
+from ledgerline.llm import neardup
+from ledgerline.llm.components import components
+from ledgerline.llm.queries import op6_bottom_k
+
+FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(FOLD))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute(texts: dict, percent: int) -> dict:
+    """Smallest reachable key of every key."""
+    root = {k: k for k in texts}
+
+    def top(k):
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    sets, holders = {k: shingles(t) for k, t in texts.items()}, {}
+    for k, s in sets.items():
+        for x in s:
+            holders.setdefault(x, []).append(k)
+    seen = set()
+    for k, s in sets.items():
+        for other in {o for x in s for o in holders[x] if o < k}:
+            if top(k) != top(other) and (k, other) not in seen:
+                seen.add((k, other))
+                both = len(s & sets[other])
+                if 100 * both >= percent * (len(s) + len(sets[other]) - both):
+                    a, b = sorted((top(k), top(other)))
+                    root[b] = a
+    return {k: top(k) for k in texts}
+
+
+def check(got, texts, percent):
+    wanted = brute(texts, percent)
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    for r in got:
+        assert r.n_shingles == len(shingles(texts[r.doc_id]))
+        assert (r.component_id, r.kept) == (wanted[r.doc_id], wanted[r.doc_id] == r.doc_id), r
+
+
+def corpus(seed: int, group: int) -> dict:
+    """A large group of near copies with 0 to 15 % of words changed, a common passage, copies, short texts."""
+    draw = random.Random(seed)
+    word = lambda: "".join(draw.choices("abcdefghij", k=4))
+    passage = " ".join(word() for _ in range(30))
+    original = [word() for _ in range(200)]
+    texts = []
+    for _ in range(group):
+        share = draw.choice([0, 0.005, 0.01, 0.02, 0.03, 0.05, 0.15])
+        texts.append(" ".join(word() if draw.random() < share else w for w in original))
+    for _ in range(150):
+        texts.append(" ".join([passage] + [word() for _ in range(draw.choice([0, 1, 3, 8, 60]))]))
+    for _ in range(80):
+        base = [word() for _ in range(draw.choice([1, 3, 6, 20, 40, 120]))]
+        texts += [" ".join(base), " ".join(base).upper(), " ".join(base[: max(1, len(base) - draw.randint(0, 6))])]
+    texts += ["", " \t\n", None, "one", "One", "a b c d e f"] + [passage] * 90
+    draw.shuffle(texts)
+    return dict(enumerate(texts))
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_against_all_pairs(rows, percent):
+    texts = corpus(percent, 260)
+    df = rows("doc_id long, text string", *texts.items()).repartition(5)
+    check(neardup.near_duplicates(df, percent).collect(), texts, percent)
+
+
+def test_query_on_the_given_table(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    check(op6_bottom_k(spark, sf_dir).collect(), texts, 85)
+
+
+def test_null_and_repeated_keys_and_clashing_columns(rows):
+    df = rows("doc_id long, text string, n_shingles string, node int",
+              (3, "a b c d e f g", "x", 1), (None, "a b c d e f g", "x", 1), (3, "a b c d e f g", "x", 1),
+              (7, "A B C D E F G", "x", 1), (9, None, None, None))
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(df).collect())
+    assert got == [(0, 3, None, True), (3, 3, 3, True), (3, 3, 3, True), (7, 3, 3, False), (9, 0, 9, True)]
+    assert neardup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_components(rows):
+    draw = random.Random(9)
+    links = [(draw.randint(1, 400), draw.randint(1, 400)) for _ in range(180)]
+    links += [(1000 + i, 1001 + i) for i in range(60)] + [(5000, 5001 + i) for i in range(50)] + [(7, 7)]
+    root = {n: n for link in links for n in link}
+    for _ in range(200):
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    got = {r.node: r.root for r in components(rows("node long, other long", *links)).collect()}
+    assert got == {n: r for n, r in root.items() if sum(1 for link in links if n in link and link[0] != link[1])}
+
+
+def test_chance_bound():
+    assert neardup.at_least(32, 0.8) >= 8 and neardup.at_least(64, 0.85) >= 32
