@@ -178,10 +178,17 @@ class Bpe:
 
 
 class Encoder:
-    """Texts to packed ids. Remembers chunks between texts; ``new`` gives the ids of chunks not seen before."""
+    """Texts to packed ids. Remembers chunks between texts; ``new`` gives the ids of chunks not seen before.
 
-    def __init__(self, chunks: re.Pattern, new: Callable[[list[str]], list[bytes]]):
+    chunks: pattern of a chunk; split: a quicker way to all chunks of a text, which may also give empty ones.
+    """
+
+    def __init__(
+        self, chunks: re.Pattern, new: Callable[[list[str]], list[bytes]],
+        split: Callable[[str], list[str]] | None = None, remembered: int = REMEMBERED,
+    ):
         self.chunks, self.new, self.known = chunks, new, {}
+        self.split, self.remembered = split or chunks.findall, remembered
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text. Texts go through in groups of bounded size, a very long text in several parts."""
@@ -196,7 +203,7 @@ class Encoder:
                 out.append(b"".join(joined))
                 group, held = [], 0
                 continue
-            group.append(self.chunks.findall(text))
+            group.append(self.split(text))
             held += len(group[-1])
             if held > CHUNKS_AT_ONCE:
                 out += self._group(group)
@@ -206,7 +213,7 @@ class Encoder:
     def _group(self, group: list[list[str]]) -> list[bytes]:
         distinct = set().union(*group) if group else set()
         unseen = [chunk for chunk in distinct if chunk not in self.known]
-        if len(self.known) + len(unseen) > REMEMBERED:
+        if len(self.known) + len(unseen) > self.remembered:
             self.known.clear()
             unseen = list(distinct)
         self.known.update(zip(unseen, self.new(unseen)))

@@ -15,6 +15,8 @@ from .bpe import SPACE, Bpe, Encoder, PairTable
 #: Fixed: the file's own pattern, with its white space written out.
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
 CHUNK = re.compile("[^ \n]+")  # no id reaches over a space or line break
+#: Chunks remembered in each Python worker, about 200 MB.
+REMEMBERED = 1_000_000
 
 
 def byte_letters() -> list[str]:
@@ -47,4 +49,4 @@ def word_encoder(path: str) -> Encoder:
         known = dict(zip(words, engine.encode([word.encode() for word in words])))
         return [known[row[0]] if len(row) == 1 else b"".join([known[word] for word in row]) for row in rows]
 
-    return Encoder(CHUNK, new)
+    return Encoder(CHUNK, new, lambda text: text.replace("\n", " ").split(" "), REMEMBERED)
