@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, neardup, packing, quality, shards, sketch, toxicity
-from .shared import table
+from . import bpe, neardup, order, packing, quality, shards, sketch, toxicity, viterbi
+from .shared import new_folder, table
 
 SHARDS = 40
 
@@ -21,6 +21,11 @@ def op1_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("law", F.lit("key"))
 
 
+def op2_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return viterbi.counted(documents, public_tokenizers.path("piece_bpe_32k.model")).select("doc_id", "n_tokens")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -82,14 +87,24 @@ def op8_counterfactual(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level ids: one byte each, and 255, which no UTF-8 text holds, at the end of each document."""
+    folder = new_folder(spark, "training-order")
+    ends = F.concat(F.coalesce(F.col("text").cast("binary"), F.lit(bytearray())), F.lit(bytearray(b"\xff")))
+    documents = table(spark, sf_dir, "documents").select(ends.alias("ids"))
+    return order.materialise(documents, folder).withColumn("folder", F.lit(folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree": op1_hash_tree,
+    "op2_viterbi": op2_viterbi,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_scaled_sketch": op4_scaled_sketch,
     "op5_byte_network": op5_byte_network,
     "op6_bottom_k": op6_bottom_k,
     "op7_sum_of_squares": op7_sum_of_squares,
     "op8_counterfactual": op8_counterfactual,
+    "op10_training_order": op10_training_order,
 }
 
 #: SQL that gives the same rows, where SQL can express the operator on whole tables.
