@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, neardup, order, packing, quality, shards, sketch, toxicity, viterbi
+from . import bpe, multiindex, neardup, order, packing, quality, shards, sketch, toxicity, viterbi
 from .shared import new_folder, table
 
 SHARDS = 40
@@ -87,6 +87,10 @@ def op8_counterfactual(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level ids: one byte each, and 255, which no UTF-8 text holds, at the end of each document."""
     folder = new_folder(spark, "training-order")
@@ -104,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bottom_k": op6_bottom_k,
     "op7_sum_of_squares": op7_sum_of_squares,
     "op8_counterfactual": op8_counterfactual,
+    "op9_multi_index": op9_multi_index,
     "op10_training_order": op10_training_order,
 }
 

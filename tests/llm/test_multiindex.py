@@ -1,0 +1,88 @@
+"""Links against all pairs, with copies, large groups of near copies and rows that no cosine exists for."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from ledgerline.llm import multiindex
+from ledgerline.llm.queries import op9_multi_index
+
+
+def brute(ids, vectors, threshold=0.9):
+    """Links and smallest reachable id of every vector."""
+    x = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1, keepdims=True)
+    near = x @ x.T >= threshold
+    np.fill_diagonal(near, False)
+    root = np.array(ids)
+    while True:
+        lowest = np.minimum(root, np.where(near, root[None, :], np.iinfo(np.int64).max).min(axis=1))
+        if (lowest == root).all():
+            return near.sum(1), root
+        root = lowest
+
+
+def vectors(seed: int, n: int, dimension: int = 16):
+    draw = np.random.default_rng(seed)
+    rows = draw.standard_normal((n, dimension))
+    rows[: n // 3] = rows[0] + 0.18 * draw.standard_normal((n // 3, dimension))  # one large group
+    for i in range(n // 3, n // 2):
+        rows[i] = rows[i + n // 4] + 0.3 * draw.standard_normal(dimension)
+    rows[n // 2 : n // 2 + 20] = rows[n // 2]  # exact copies
+    return rows.astype(np.float32)
+
+
+@pytest.mark.parametrize("block", [64, 1024])
+def test_against_all_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(multiindex, "BLOCK", block)
+    rows = vectors(4, 900)
+    ids = np.random.default_rng(1).permutation(900).tolist()
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in zip(ids, rows)], "vec_id long, embedding array<float>").repartition(4)
+    got = {r.vec_id: r for r in multiindex.near_vectors(df).collect()}
+    links, roots = brute(ids, rows)
+    found = np.array([got[i].n_links for i in ids])
+    assert (found <= links).all() and found.sum() >= 0.97 * links.sum()
+    if (found == links).all():
+        assert [got[i].component_id for i in ids] == roots.tolist()
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
+
+
+def test_every_cell_visited_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(multiindex, "LEAST_VISITS", 10**6)
+    rows = vectors(5, 400, 7)
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "vec_id long, embedding array<float>")
+    got = sorted(multiindex.near_vectors(df).collect())
+    links, roots = brute(range(400), rows)
+    assert [r.n_links for r in got] == links.tolist() and [r.component_id for r in got] == roots.tolist()
+
+
+def test_traversal_is_the_nearest_cells():
+    rows = multiindex.unit(vectors(6, 300))
+    grid = multiindex.Grid(rows, 9)
+    first, second = grid.halves(rows)
+    cost = (first[:, :, None] + second[:, None, :]).reshape(len(rows), -1)
+    for most in (1, 5, 40, 10**6):
+        visited = grid.visited(rows, most)
+        reached = np.take_along_axis(cost, visited, 1)
+        assert np.allclose(reached, np.sort(cost, axis=1)[:, : visited.shape[1]])
+        assert (visited[:, 0] == grid.own(rows)).all()
+
+
+def test_odd_rows_and_clashing_columns(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0, 2.0]), (2, [1.0, 2.0]), (3, [2.0, 4.0]), (4, None), (5, []), (6, [0.0, 0.0]), (7, [nan, 1.0]), (8, [inf, 1.0]),
+            (9, [None, 1.0]), (10, [1.0, 2.0, 3.0]), (None, [1.0, 2.0]), (11, [-1.0, 2.0]), (2, [1.0, 2.0])]
+    df = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<float>, node int, n_links int")
+    got = sorted(((r.vec_id or 0), r.n_links, r.component_id, r.kept) for r in multiindex.near_vectors(df).collect())
+    assert got == [(0, 0, None, True), (1, 3, 1, True), (2, 3, 1, False), (2, 3, 1, False), (3, 3, 1, False)] + [
+        (i, 0, i, True) for i in (4, 5, 6, 7, 8, 9, 10, 11)]
+    assert multiindex.near_vectors(df.limit(0)).count() == 0
+
+
+def test_query_on_the_given_table(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()
+    links, roots = brute([r.vec_id for r in table], np.array([r.embedding for r in table]))
+    got = {r.vec_id: r for r in op9_multi_index(spark, sf_dir).collect()}
+    assert [got[r.vec_id].n_links for r in table] == links.tolist()
+    assert [got[r.vec_id].component_id for r in table] == roots.tolist()
