@@ -36,6 +36,18 @@ def laid_out(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(padded, np.uint8), halves
 
 
+def windows(data: np.ndarray, halves: np.ndarray) -> list[np.ndarray]:
+    """For every position its own byte pair, the next one and so on; zeros beyond the end of its text."""
+    code, ends = data.view("<u2"), np.cumsum(halves) * HALF
+    out = [code]
+    for k in range(1, PARTS):
+        later = np.concatenate([code[k:], np.zeros(k, "<u2")])
+        for back in range(1, k + 1):
+            later[ends - back] = 0
+        out.append(later)
+    return out
+
+
 @dataclass
 class Network:
     embedding: np.ndarray  # byte, dimension
@@ -65,15 +77,14 @@ class Network:
             for k in range(PARTS)
         ]
 
-    def pooled(self, data: np.ndarray, tables: list[np.ndarray], places: bool = False):
+    def pooled(self, codes: list[np.ndarray], tables: list[np.ndarray], places: bool = False):
         """The highest response of each filter in each half chunk, and its place if asked for. Block by block."""
-        code = np.concatenate([data.view("<u2"), np.zeros(PARTS - 1, "<u2")])
         tops, at = [], []
-        for start in range(0, len(code) - PARTS + 1, BLOCK):
-            end = min(start + BLOCK, len(code) - PARTS + 1)
-            response = tables[0][code[start:end]]
-            for k in range(1, PARTS):
-                response += tables[k][code[start + k : end + k]]
+        for start in range(0, len(codes[0]), BLOCK):
+            end = min(start + BLOCK, len(codes[0]))
+            response = tables[0][codes[0][start:end]]
+            for table, code in zip(tables[1:], codes[1:]):
+                response += table[code[start:end]]
             response = response.reshape(-1, HALF, response.shape[1])
             if places:
                 best = response.argmax(axis=1)
@@ -87,7 +98,7 @@ class Network:
     def score(self, texts: list[str], tables: list[np.ndarray]) -> np.ndarray:
         """The probability of each text, however long."""
         data, halves = laid_out(texts)
-        chunk, first, _ = self._chunks(np.maximum(self.pooled(data, tables), 0), halves)
+        chunk, first, _ = self._chunks(np.maximum(self.pooled(windows(data, halves), tables), 0), halves)
         unit = np.maximum(chunk @ self.hidden + self.hidden_bias, 0)
         document = np.maximum.reduceat(unit, first, axis=0)
         return 1 / (1 + np.exp(-(document @ self.out + self.out_bias[0]).astype(np.float64)))
@@ -102,7 +113,8 @@ class Network:
         return np.maximum(top, top[follower]), first, follower
 
     def gradients(self, data: np.ndarray, halves: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
-        raw, place = self.pooled(data, self.tables(), places=True)
+        codes = windows(data, halves)
+        raw, place = self.pooled(codes, self.tables(), places=True)
         top = np.maximum(raw, 0)
         chunk, first, follower = self._chunks(top, halves)
         inner = chunk @ self.hidden + self.hidden_bias
@@ -121,18 +133,18 @@ class Network:
         np.add.at(to_top, follower, np.where(own, 0, to_chunk))
         to_top *= raw > 0
         return [
-            *self._filter_gradients(data, place, to_top), to_top.sum(0), chunk.T @ to_inner, to_inner.sum(0),
+            *self._filter_gradients(codes, place, to_top), to_top.sum(0), chunk.T @ to_inner, to_inner.sum(0),
             document.T @ error, np.array([error.sum()]),
         ]
 
-    def _filter_gradients(self, data: np.ndarray, place: np.ndarray, to_top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        data = np.concatenate([data, np.zeros(WIDTH, np.uint8)])
+    def _filter_gradients(self, codes: list[np.ndarray], place: np.ndarray, to_top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         count = to_top.shape[1]
         used = np.nonzero(to_top)
-        weight, at, filter_ = to_top[used], 2 * place[used], used[1]
+        weight, at, filter_ = to_top[used], place[used], used[1]
         to_embedding, to_filters = np.zeros_like(self.embedding), np.zeros_like(self.filters)
         for k in range(WIDTH):
-            by_byte = np.bincount(data[at + k].astype(np.int64) * count + filter_, weight, 256 * count).reshape(256, count)
+            byte = codes[k // 2][at].astype(np.int64) >> 8 * (k % 2) & 255
+            by_byte = np.bincount(byte * count + filter_, weight, 256 * count).reshape(256, count)
             to_filters[k] = self.embedding.T @ by_byte
             to_embedding += by_byte @ self.filters[k].T
         return to_embedding, to_filters

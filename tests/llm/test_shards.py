@@ -1,0 +1,71 @@
+"""Slots without gaps, balance, and what moves when the tree changes."""
+
+from __future__ import annotations
+
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from ledgerline.llm import shards
+from ledgerline.llm.queries import op1_hash_tree
+
+
+def placed(df, root):
+    return {r.k: r.s for r in shards.place(df, "k", root, "s").collect()}
+
+
+@pytest.fixture(scope="module")
+def keys(spark):
+    return spark.range(20_000).withColumnRenamed("id", "k").cache()
+
+
+def test_growing_moves_keys_into_the_new_shard_only(keys):
+    root = shards.tree([1.0] * 12, 3, 2)
+    for _ in range(3):
+        grown = shards.grow(root)
+        before, after = placed(keys, root), placed(keys, grown)
+        new = max(after.values())
+        assert {after[k] for k in after if after[k] != before[k]} == {new}
+        share = sum(s == new for s in after.values()) / len(after)
+        assert abs(share - 1 / (new + 1)) < 0.02
+        root = grown
+
+
+def test_a_changed_weight_moves_keys_only_through_its_subtree(keys):
+    light, heavy = shards.tree([1.0] * 12, 3, 2), shards.tree([1.0] * 11 + [3.0], 3, 2)
+    before, after = placed(keys, light), placed(keys, heavy)
+    # Shard 11 stands in region 1 (shards 6 to 11): what moves, moves into that region or within it.
+    assert all(after[k] >= 6 for k in after if after[k] != before[k])
+    # Between racks of the region: only into the rack of shard 11 (9 to 11), from where it stays in the region.
+    assert all(after[k] >= 9 for k in after if before[k] >= 6 and after[k] != before[k])
+    assert abs(sum(s == 11 for s in after.values()) / len(after) - 3 / 14) < 0.02
+
+
+def test_weights_set_shares(keys):
+    weights = [1.0, 2.0, 0.0, 4.0, 1.0, 2.0]
+    count = Counter(placed(keys, shards.tree(weights, 2, 2)).values())
+    assert all(abs(count[i] / 20_000 - w / 10) < 0.02 for i, w in enumerate(weights)) and not count[2]
+
+
+def test_query_against_plain_sums(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    slots = defaultdict(list)
+    got = op1_hash_tree(spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    for r in got:
+        data = (texts[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32, r.law) == (len(data) + 16, zlib.crc32(data), "key")
+        assert r.grown_shard in (r.shard, 40) and 0 <= r.shard < 40
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len(slots) == 40
+
+
+def test_null_and_repeated_rows(rows):
+    df = rows("doc_id long, text string, shard string, slot int",
+              (None, None, "x", 1), (None, "a", "x", 1), (1, "é", "x", 1), (1, "é", "x", 1), (2, "", "x", 1))
+    got = shards.assign(df, shards.tree([1.0] * 4, 2, 1)).collect()
+    assert sorted((r.doc_id or 0, r.size) for r in got) == [(0, 16), (0, 17), (1, 18), (1, 18), (2, 16)]
+    assert len({r.shard for r in got if r.doc_id is None}) == 1 and len({(r.shard, r.slot) for r in got}) == 5
+    assert shards.assign(df.limit(0), shards.tree([1.0] * 4, 2, 1)).count() == 0
