@@ -9,16 +9,14 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 import time
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from ledgerline.plans import pipeline
-from ledgerline.plans.layout import Lakehouse
 from ledgerline.session import local_session
-from workload.catalog import AS_OF, Layers, queries
+from workload.catalog import AS_OF, Layers, queries, scratch_lake
 
 HEADLINES = (
     "scan_transactions", "dedup_transactions", "txn_ref_check", "txn_ref_check_by_exception", "dq_all_reasons",
@@ -38,7 +36,7 @@ def run_query(spark, sf_dir: str, name: str) -> None:
 
 
 def stages(spark, sf_dir: str) -> dict[str, float]:
-    lake = Lakehouse(spark, tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    lake = scratch_lake(spark, "bench")
     layers = Layers(spark, sf_dir)
     pipeline.ensure_metadata(lake)
     lake.bronze("merchants").overwrite(layers.merchants_raw())
@@ -46,7 +44,7 @@ def stages(spark, sf_dir: str) -> dict[str, float]:
         ("customers", layers.customers_raw()), ("cards", layers.cards_raw()),
         ("transactions", layers.transactions_raw()),
     ):
-        pipeline.ingest_batch(lake, name, raw, "prepared", None)
+        pipeline.ingest_batch(lake, name, raw)
     return {
         "stage_bronze_to_silver": timed(lambda: pipeline.bronze_to_silver(lake)),
         "stage_silver_to_gold": timed(lambda: pipeline.silver_to_gold(lake, F.lit(AS_OF).cast("date"))),

@@ -31,7 +31,8 @@ def _change_type(spec: History) -> Column:
     A row that is not newer than the current version is stale: applying it would close a version before it began.
     """
     tracked, corrected = _differs(spec.tracked), _differs(spec.overwritten)
-    late = F.col(f"new.{spec.versioned_by}") <= F.col(f"old.{spec.versioned_by}")
+    new_time, old_time = F.col(f"new.{spec.versioned_by}"), F.col(f"old.{spec.versioned_by}")
+    late = F.coalesce(new_time <= old_time, new_time.isNull())
     return (
         F.when(F.col(f"new.{spec.key}").isNull(), F.lit(None).cast("string"))
         .when(F.col(f"old.{spec.key}").isNull(), NEW)

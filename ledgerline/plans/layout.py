@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -14,6 +15,7 @@ class Lakehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.run_id = uuid4().hex
+        self.started_at = datetime.now(timezone.utc)
 
     def table(self, layer: str, name: str) -> Table:
         return Table(self.spark, f"{self.root}/{layer}/{name}")
@@ -34,6 +36,16 @@ class Lakehouse:
     def metadata(self) -> Table:
         return self.table("control", "pipeline_metadata")
 
+    @property
+    def batches(self) -> Table:
+        return self.table("control", "batches")
+
+    def pages_read(self, endpoint: str) -> Table:
+        return self.table("control", f"pages_{endpoint}")
+
+    def reports(self, name: str) -> Table:
+        return self.table("reports", name)
+
     def scratch(self, name: str) -> str:
         """Folder for intermediate tables: the shared checkpoint folder of the cluster where one is set."""
         shared = self.spark.conf.get("spark.checkpoint.dir", None)

@@ -2,8 +2,13 @@
 
 Each Silver stage writes its checked batch once to a scratch table and reads everything else (good rows, quarantine,
 report, watermark) from there, so cleaning runs once per batch and nothing has to stay in executor memory. A stage that
-dies is simply run again: appends are labelled with the watermark they start from, upserts and history changes are
-idempotent, and the watermark moves last.
+dies is simply run again: appends are labelled with the batch they start from, upserts and history changes are
+idempotent, and progress is recorded last.
+
+Nothing that has landed is left out for its date. Bronze numbers its batches, remembers every page it has read, and Silver
+takes the batches it has not taken yet, whenever their rows are dated; watermarks say how new the data is. A page
+that is unreadable or incomplete, and a row with an unreadable value or dated after the start of the run, goes to
+quarantine with its reason.
 """
 
 from __future__ import annotations
@@ -23,16 +28,16 @@ from ledgerline.operators.references import Reference
 from ledgerline.operators.upsert import touched_partitions, upsert
 from ledgerline.plans import cleaning, marts
 from ledgerline.plans.layout import Lakehouse
-from ledgerline.sources.landing import read_csv, read_pages
+from ledgerline.sources.landing import FAULT, PAGE, UNREADABLE, read_csv, read_pages, records_of
 from ledgerline.sources.tables import NULL_PARTITION, Table
 
 # Dimensions of up to this many rows, counted before use, are broadcast. Beyond it, references are checked through their
 # missing keys, and the merchant categories are joined by a shuffle.
 SMALL_DIMENSION = 1_000_000
 
-# Storage partitions: Bronze by month of the last update, so that an incremental read opens recent files only; Silver
-# transactions by month of the transaction, so that an update rewrites few of them.
-BRONZE_MONTH = "updated_month"
+# Storage partitions: Bronze by batch, so that an incremental read opens new files only; Silver transactions by month of
+# the transaction, so that an update rewrites few of them.
+BATCH = "ingest_batch"
 STORAGE_MONTH = "transaction_month"
 
 
@@ -65,8 +70,19 @@ def save_mark(lake: Lakehouse, marks: DataFrame) -> None:
     lake.metadata.overwrite(watermark.advance(lake.metadata.read(), marks).coalesce(1))
 
 
-def _label(mark: datetime | None) -> str:
-    return f"since {mark.isoformat()}" if mark else "first load"
+def batches(lake: Lakehouse, endpoint: str) -> tuple[int, int]:
+    """(batches stored in Bronze, batches taken by Silver)."""
+    if not lake.batches.exists():
+        return 0, 0
+    row = lake.batches.read().where(F.col("endpoint") == endpoint).first()
+    return (row["stored"], row["taken"]) if row else (0, 0)
+
+
+def save_batches(lake: Lakehouse, endpoint: str, stored: int, taken: int) -> None:
+    row = lake.spark.createDataFrame([(endpoint, stored, taken)], schemas.BATCHES)
+    if lake.batches.exists():
+        row = row.unionByName(lake.batches.read().where(F.col("endpoint") != endpoint))
+    lake.batches.overwrite(row.coalesce(1))
 
 
 # -- Bronze ------------------------------------------------------------------------------------------------------------
@@ -76,30 +92,64 @@ def ingest_merchants(lake: Lakehouse, csv_path: str) -> None:
     lake.bronze("merchants").overwrite(read_csv(lake.spark, csv_path, schemas.MERCHANT_RECORD))
 
 
-def bronze_since(lake: Lakehouse, endpoint: str, mark: datetime | None) -> DataFrame:
-    """Stored records newer than the mark; months before it are pruned, in the others the filter reaches the scan."""
-    newer = watermark.since(lake.bronze(endpoint).read(), mark)
-    return newer if mark is None else newer.where(F.col(BRONZE_MONTH) >= month_of(F.lit(mark)))
+def bronze_after(lake: Lakehouse, endpoint: str, batch: int) -> DataFrame:
+    """Stored records of the batches after this one; the folders of the others are not opened."""
+    return lake.bronze(endpoint).read().where(F.col(BATCH) > batch)
 
 
-def ingest_batch(lake: Lakehouse, endpoint: str, records: DataFrame, label: str, mark: datetime | None) -> None:
-    """Append one batch of records and move the Bronze watermark to its newest row."""
-    dated = records.withColumn(BRONZE_MONTH, month_of(F.col("updated_at")))
-    lake.bronze(endpoint).append(dated, label, partition_by=BRONZE_MONTH)
+def ingest_batch(lake: Lakehouse, endpoint: str, records: DataFrame, number: int | None = None) -> None:
+    """Store one batch of records and move the Bronze watermark to its newest row that is not ahead of time.
+
+    A batch stored again under its number (the next one by default) replaces its rows, unless Silver has taken them: then
+    it becomes a batch of its own.
+    """
+    stored, taken = batches(lake, endpoint)
+    if number is None or number <= taken:
+        number = stored + 1
+    for name, missing in ((PAGE, F.lit(None).cast("string")), (UNREADABLE, F.array().cast("array<string>"))):
+        if name not in records.columns:
+            records = records.withColumn(name, missing)
+    numbered = records.withColumn(BATCH, F.lit(number).cast("long"))
+    lake.bronze(endpoint).append(numbered, f"batch {number}", partition_by=BATCH)
+    save_batches(lake, endpoint, max(stored, number), taken)
     # read from the stored column, so that the landed files are parsed once
-    save_mark(lake, watermark.newest(bronze_since(lake, endpoint, mark), "ingest_to_bronze", f"bronze_{endpoint}"))
+    newest = watermark.newest(
+        bronze_after(lake, endpoint, number - 1), "ingest_to_bronze", f"bronze_{endpoint}", not_after=lake.started_at
+    )
+    save_mark(lake, newest)
 
 
-def ingest_endpoint(lake: Lakehouse, endpoint: Endpoint, pages_path: str) -> bool:
-    """Append the landed records newer than the watermark; False when there are none."""
-    mark = last_mark(lake, "ingest_to_bronze", f"bronze_{endpoint.name}")
-    records = watermark.since(read_pages(lake.spark, pages_path, endpoint.record), mark)
-    if records.isEmpty():
+def ingest_pages(lake: Lakehouse, endpoint: str, pages: DataFrame, number: int) -> bool:
+    """Store the records of whole pages, quarantine the others, and note all of them as read; False without pages.
+
+    The pages are written to scratch first: they are parsed once, and what is stored is what was noted.
+    """
+    folder = lake.scratch(f"pages_{endpoint}_{number}")
+    pages.write.mode("overwrite").parquet(folder)
+    pages = lake.spark.read.schema(pages.schema).parquet(folder)
+    if pages.isEmpty():
         return False
-    ingest_batch(lake, endpoint.name, records, _label(mark), mark)
+    label = f"batch {number}"
+    faulty = pages.where(F.col(FAULT).isNotNull()).withColumn("endpoint", F.lit(endpoint))
+    lake.quarantine(f"pages_{endpoint}").append(faulty.select("endpoint", PAGE, FAULT, "count", schemas.CORRUPT), label)
+    ingest_batch(lake, endpoint, records_of(pages), number)
+    lake.pages_read(endpoint).append(pages.select(PAGE, FAULT), label)
     return True
 
 
+def ingest_endpoint(lake: Lakehouse, endpoint: Endpoint, pages_path: str) -> bool:
+    """Store the landed pages that were not read before; False when there are none.
+
+    A page is known by its path: corrected contents have to land under a new name.
+    """
+    pages = read_pages(lake.spark, pages_path, endpoint.record)
+    read_before = lake.pages_read(endpoint.name)
+    if read_before.exists():
+        pages = pages.join(read_before.read().select(PAGE), PAGE, "left_anti")
+    noted = lake.pages_read(endpoint.name).labels() if read_before.exists() else 0
+    return ingest_pages(lake, endpoint.name, pages, noted + 1)
+
+
 def ingest_to_bronze(lake: Lakehouse, landing: str) -> None:
     ensure_metadata(lake)
     ingest_merchants(lake, f"{landing}/merchants")
@@ -109,11 +159,36 @@ def ingest_to_bronze(lake: Lakehouse, landing: str) -> None:
 
 # -- Silver ------------------------------------------------------------------------------------------------------------
 
-def _new_rows(lake: Lakehouse, name: str, mark: datetime | None) -> DataFrame | None:
-    if not lake.bronze(name).exists():
+@dataclass(frozen=True)
+class Batch:
+    """What Silver takes in one run: the sound rows, and the label that a repeated run uses again."""
+
+    rows: DataFrame
+    stored: int
+    label: str
+
+
+def _new_rows(lake: Lakehouse, name: str) -> Batch | None:
+    """The batches that Silver has not taken; their rows that cannot be trusted go to quarantine as they landed."""
+    stored, taken = batches(lake, name)
+    if stored == taken or not lake.bronze(name).exists():
         return None
-    batch = bronze_since(lake, name, mark)
-    return None if batch.isEmpty() else batch
+    batch = bronze_after(lake, name, taken)
+    if batch.isEmpty():
+        return None
+    unread = F.transform(UNREADABLE, lambda field: F.concat(F.lit("unreadable "), field))
+    ahead = F.when(F.col("updated_at") > F.lit(lake.started_at), F.lit("updated_at after the start of the run"))
+    reasons = F.array_compact(F.concat(F.coalesce(unread, F.array().cast("array<string>")), F.array(ahead)))
+    judged = batch.withColumn(quality.REASONS, reasons)
+    label = f"after batch {taken}"
+    lake.quarantine(f"landed_{name}").append(judged.where(F.size(quality.REASONS) > 0), label)
+    sound = judged.where(F.size(quality.REASONS) == 0).drop(quality.REASONS, UNREADABLE, PAGE, BATCH)
+    return Batch(sound, stored, label)
+
+
+def _taken(lake: Lakehouse, name: str, batch: Batch, checked: DataFrame) -> None:
+    save_mark(lake, watermark.newest(checked, "bronze_to_silver", f"silver_{name}", not_after=lake.started_at))
+    save_batches(lake, name, batches(lake, name)[0], batch.stored)
 
 
 def _checked(lake: Lakehouse, name: str, cleaned: DataFrame, rules: list[quality.Rule]) -> DataFrame:
@@ -153,22 +228,28 @@ def _current_customer_keys(lake: Lakehouse) -> DataFrame:
     return history.current(lake.silver("customers").read()).select("customer_id")
 
 
+def _stored_report(lake: Lakehouse, name: str, report: DataFrame) -> DataFrame:
+    """The report, kept under the run: later runs neither change nor lose it."""
+    columns = report.columns
+    lake.reports(name).append(report.withColumn("run_id", F.lit(lake.run_id)), f"{lake.run_id} {name}")
+    return lake.reports(name).read().where(F.col("run_id") == lake.run_id).select(*columns)
+
+
 def process_merchants(lake: Lakehouse) -> DataFrame:
     raw = lake.bronze("merchants").read()
     checked = _checked(lake, "merchants", cleaning.clean_merchants(raw), cleaning.merchant_rules())
     lake.quarantine("merchants").overwrite(quality.bad_rows_first_reason(checked))
     lake.silver("merchants").overwrite(quality.good_rows(checked))
-    return quality.report(raw, checked)
+    return _stored_report(lake, "merchants", quality.report(raw, checked))
 
 
 def process_customers(lake: Lakehouse) -> DataFrame | None:
     """Historised customers, stored by ``is_current``: a run rewrites the current versions and only adds the closed."""
-    mark = last_mark(lake, "bronze_to_silver", "silver_customers")
-    batch = _new_rows(lake, "customers", mark)
+    batch = _new_rows(lake, "customers")
     if batch is None:
         return None
-    checked = _checked(lake, "customers", cleaning.clean_customers(batch), cleaning.customer_rules())
-    lake.quarantine("customers").append(quality.bad_rows_first_reason(checked), _label(mark))
+    checked = _checked(lake, "customers", cleaning.clean_customers(batch.rows), cleaning.customer_rules())
+    lake.quarantine("customers").append(quality.bad_rows_first_reason(checked), batch.label)
     good = quality.good_rows(checked)
     silver = lake.silver("customers")
     spec = cleaning.CUSTOMER_HISTORY
@@ -177,29 +258,28 @@ def process_customers(lake: Lakehouse) -> DataFrame | None:
         silver.replace_partitions(versions, "is_current", ["true"])
     else:
         silver.overwrite(history.first_load(good, spec), partition_by="is_current")
-    save_mark(lake, watermark.newest(checked, "bronze_to_silver", "silver_customers"))
-    return quality.report(batch, checked)
+    _taken(lake, "customers", batch, checked)
+    return _stored_report(lake, "customers", quality.report(batch.rows, checked))
 
 
 def process_cards(lake: Lakehouse) -> DataFrame | None:
-    mark = last_mark(lake, "bronze_to_silver", "silver_cards")
-    batch = _new_rows(lake, "cards", mark)
+    batch = _new_rows(lake, "cards")
     if batch is None:
         return None
     customer_keys = _current_customer_keys(lake)
-    rows = cleaning.standardise_cards(batch)
+    rows = cleaning.standardise_cards(batch.rows)
     check = _reference_check(lake, "cards", rows, {"card_holder_id": customer_keys.count()})
-    cleaned = cleaning.clean_cards(batch, customer_keys, check)
+    cleaned = cleaning.clean_cards(batch.rows, customer_keys, check)
     checked = _checked(lake, "cards", cleaned, cleaning.card_rules())
     bad = quality.bad_rows_first_reason(checked).drop(*cleaning.CARD_HELPERS)
-    lake.quarantine("cards").append(bad, _label(mark))
+    lake.quarantine("cards").append(bad, batch.label)
     good = quality.good_rows(checked).drop(*cleaning.CARD_HELPERS)
     silver = lake.silver("cards")
     silver.overwrite(
-        upsert(silver.read(), good, ["card_id"], cleaning.CARD_UPDATES) if silver.exists() else good
+        upsert(silver.read(), good, ["card_id"], cleaning.CARD_UPDATES, "updated_at") if silver.exists() else good
     )
-    save_mark(lake, watermark.newest(checked, "bronze_to_silver", "silver_cards"))
-    return quality.report(batch, checked)
+    _taken(lake, "cards", batch, checked)
+    return _stored_report(lake, "cards", quality.report(batch.rows, checked))
 
 
 def _with_storage_month(transactions: DataFrame) -> DataFrame:
@@ -221,14 +301,15 @@ def save_transactions(silver: Table, good: DataFrame) -> None:
     in_months: Column = F.col(STORAGE_MONTH).isin(dated)
     if None in months:
         in_months = in_months | F.col(STORAGE_MONTH).isNull()
-    merged = upsert(stored.where(in_months), incoming, ["transaction_id"], cleaning.TRANSACTION_UPDATES)
+    merged = upsert(
+        stored.where(in_months), incoming, ["transaction_id"], cleaning.TRANSACTION_UPDATES, "updated_at"
+    )
     names = [NULL_PARTITION if month is None else month.isoformat() for month in months]
     silver.replace_partitions(_with_storage_month(merged), STORAGE_MONTH, names)
 
 
 def process_transactions(lake: Lakehouse) -> DataFrame | None:
-    mark = last_mark(lake, "bronze_to_silver", "silver_transactions")
-    batch = _new_rows(lake, "transactions", mark)
+    batch = _new_rows(lake, "transactions")
     if batch is None:
         return None
     customer_keys = _current_customer_keys(lake)
@@ -237,15 +318,15 @@ def process_transactions(lake: Lakehouse) -> DataFrame | None:
     sizes = {
         "customer_id": customer_keys.count(), "card_id": card_keys.count(), "merchant_id": merchant_keys.count(),
     }
-    check = _reference_check(lake, "transactions", cleaning.standardise_transactions(batch), sizes)
-    cleaned = cleaning.clean_transactions(batch, customer_keys, card_keys, merchant_keys, check)
+    check = _reference_check(lake, "transactions", cleaning.standardise_transactions(batch.rows), sizes)
+    cleaned = cleaning.clean_transactions(batch.rows, customer_keys, card_keys, merchant_keys, check)
     checked = _checked(lake, "transactions", cleaned, cleaning.transaction_rules())
     bad = quality.bad_rows(checked).drop(*cleaning.TRANSACTION_HELPERS)
-    lake.quarantine("transactions").append(bad, _label(mark))
+    lake.quarantine("transactions").append(bad, batch.label)
     good = quality.good_rows(checked).drop("is_negative_amount_valid", *cleaning.TRANSACTION_HELPERS)
     save_transactions(lake.silver("transactions"), good)
-    save_mark(lake, watermark.newest(checked, "bronze_to_silver", "silver_transactions"))
-    return quality.report(batch, checked)
+    _taken(lake, "transactions", batch, checked)
+    return _stored_report(lake, "transactions", quality.report(batch.rows, checked))
 
 
 def bronze_to_silver(lake: Lakehouse) -> dict[str, DataFrame | None]:

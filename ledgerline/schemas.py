@@ -5,36 +5,44 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _fields(text: str) -> T.StructType:
-    kinds = {
-        "string": T.StringType(), "double": T.DoubleType(), "long": T.LongType(), "boolean": T.BooleanType(),
-        "date": T.DateType(), "timestamp": T.TimestampType(), "strings": T.ArrayType(T.StringType()),
-    }
-    pairs = (entry.split(":") for entry in text.split())
-    return T.StructType([T.StructField(name, kinds[kind]) for name, kind in pairs])
-
-
-# Landed records. Dates and timestamps arrive as text.
-MERCHANT_RECORD = _fields(
-    "merchant_id:string merchant_name:string merchant_category:string country:string mcc_code:string "
-    "merchant_city:string"
+def text_record(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+
+
+# Landed records. Everything arrives as text, so that a value of the wrong type is seen and named, not lost.
+MERCHANT_RECORD = text_record(
+    "merchant_id", "merchant_name", "merchant_category", "country", "mcc_code", "merchant_city"
 )
-CUSTOMER_RECORD = _fields(
-    "customer_id:string customer_name:string customer_status:string income:string total_cards_issued:long "
-    "joining_date:string city:string occupation:string risk_grade:string updated_at:string"
+CUSTOMER_RECORD = text_record(
+    "customer_id", "customer_name", "customer_status", "income", "total_cards_issued", "joining_date", "city",
+    "occupation", "risk_grade", "updated_at",
 )
-CARD_RECORD = _fields(
-    "card_id:string card_name:string card_brand_type:string card_holder_id:string card_holder_type:string "
-    "card_rewards_category:string card_status:string credit_limit:double expiry_date:string updated_at:string"
+CARD_RECORD = text_record(
+    "card_id", "card_name", "card_brand_type", "card_holder_id", "card_holder_type", "card_rewards_category",
+    "card_status", "credit_limit", "expiry_date", "updated_at",
 )
-TRANSACTION_RECORD = _fields(
-    "transaction_id:string card_id:string customer_id:string merchant_id:string amount:double currency:string "
-    "device_channel:string status:string transaction_type:string transaction_timestamp:string updated_at:string"
+TRANSACTION_RECORD = text_record(
+    "transaction_id", "card_id", "customer_id", "merchant_id", "amount", "currency", "device_channel", "status",
+    "transaction_type", "transaction_timestamp", "updated_at",
 )
 
-# One landed page of an endpoint: {"data": [record, ...], "count": n}.
+# Types that landed text must be readable as; the first group is stored with its type, dates stay text until cleaning.
+STORED_TYPES = {
+    "total_cards_issued": "bigint", "credit_limit": "double", "amount": "double", "updated_at": "timestamp",
+}
+READABLE_AS = STORED_TYPES | {
+    "joining_date": "date", "expiry_date": "date", "transaction_timestamp": "timestamp",
+}
+
+CORRUPT = "_corrupt_record"
+
+
 def page_of(record: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField("data", T.ArrayType(record)), T.StructField("count", T.LongType())])
+    """One landed page of an endpoint: {"data": [record, ...], "count": n}, or its text where it is not such a page."""
+    return T.StructType([
+        T.StructField("data", T.ArrayType(record)), T.StructField("count", T.StringType()),
+        T.StructField(CORRUPT, T.StringType()),
+    ])
 
 
 PIPELINE_METADATA = T.StructType([
@@ -43,12 +51,24 @@ PIPELINE_METADATA = T.StructType([
     T.StructField("last_processed_timestamp", T.TimestampType(), True),
 ])
 
-# (pipeline, table) pairs whose progress is tracked from the start.
-TRACKED_TABLES = tuple(
-    [("ingest_to_bronze", f"bronze_{name}") for name in ("merchants", "customers", "cards", "transactions")]
-    + [("bronze_to_silver", f"silver_{name}") for name in ("merchants", "customers", "cards", "transactions")]
-    + [
-        ("silver_to_gold", name)
-        for name in ("customers_spend_summary", "portfolio_risk_summary", "customer_segmentation_summary")
-    ]
+# Fixed values: (pipeline, table) pairs whose progress is tracked from the start.
+TRACKED_TABLES = (
+    ("ingest_to_bronze", "bronze_merchants"),
+    ("ingest_to_bronze", "bronze_customers"),
+    ("ingest_to_bronze", "bronze_cards"),
+    ("ingest_to_bronze", "bronze_transactions"),
+    ("bronze_to_silver", "silver_merchants"),
+    ("bronze_to_silver", "silver_customers"),
+    ("bronze_to_silver", "silver_cards"),
+    ("bronze_to_silver", "silver_transactions"),
+    ("silver_to_gold", "customers_spend_summary"),
+    ("silver_to_gold", "portfolio_risk_summary"),
+    ("silver_to_gold", "customer_segmentation_summary"),
 )
+
+# How many batches of an endpoint have been stored, and how many of them Silver has taken.
+BATCHES = T.StructType([
+    T.StructField("endpoint", T.StringType(), False),
+    T.StructField("stored", T.LongType(), False),
+    T.StructField("taken", T.LongType(), False),
+])

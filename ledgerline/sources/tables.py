@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterable
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +56,11 @@ class Table:
         files = self.spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(*folders)
         return files.select(*schema.names)
 
+    def labels(self) -> int:
+        """The number of different labels under which rows were appended."""
+        published = self._published()
+        return len({entry["label"] for entry in published["folders"]}) if published else 0
+
     # -- committing -----------------------------------------------------------------------------------------------
 
     def overwrite(self, df: DataFrame, partition_by: str | None = None) -> None:
@@ -95,9 +99,10 @@ class Table:
     ) -> list[str]:
         if partition_by is None:
             return [f"v={version}"]
-        files = self.spark.read.schema(schema).parquet(folder).inputFiles()
-        names = {unquote(file.rsplit("/", 2)[1]) for file in files}
-        return sorted(f"v={version}/{name}" for name in names)
+        # Only the partition column is read: one value for each partition reaches the driver, not one for each file.
+        values = self.spark.read.schema(schema).parquet(folder).select(F.col(partition_by).cast("string")).distinct()
+        names = [NULL_PARTITION if row[0] is None else row[0] for row in values.collect()]
+        return sorted(f"v={version}/{partition_by}={name}" for name in names)
 
     def _publish(self, state: dict) -> None:
         line = self.spark.range(1, numPartitions=1).select(F.lit(json.dumps(state)).alias("value"))

@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.plans.layout import Lakehouse
-from ledgerline.plans.pipeline import ENDPOINTS, Endpoint, ensure_metadata, ingest_batch, last_mark
-from ledgerline.schemas import page_of
-from ledgerline.sources.landing import records_of
+from ledgerline.plans.pipeline import ENDPOINTS, Endpoint, ensure_metadata, ingest_pages
+from ledgerline.schemas import CORRUPT, page_of
+from ledgerline.sources.landing import with_faults
 
 
 def page_stream(spark: SparkSession, endpoint: Endpoint, pages_path: str, files_per_batch: int) -> DataFrame:
@@ -21,26 +21,29 @@ def page_stream(spark: SparkSession, endpoint: Endpoint, pages_path: str, files_
         spark.readStream.schema(page_of(endpoint.record))
         .option("multiLine", True)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .json(pages_path)
     )
-    return records_of(pages)
+    return with_faults(pages, pages_path)
 
 
 def ingest_available(
     lake: Lakehouse, endpoint: Endpoint, pages_path: str, files_per_batch: int = 100_000
 ) -> StreamingQuery:
-    """Append all pages that landed since the last call to Bronze.
+    """Store all pages that landed since the last call in Bronze, as one batch or more.
 
-    A micro-batch is appended under its number, so a batch repeated after a failure replaces its own rows. Rows that are
-    not newer than what earlier batches brought are kept: Silver picks the newest row of each key.
+    A micro-batch repeated after a failure holds the same pages; those that are already noted as read are left out, so
+    nothing is stored twice, also where the batch driver has read them. Silver takes every stored batch, whatever
+    the dates of its rows, and picks the newest row of each key.
     """
     ensure_metadata(lake)
 
-    def write(batch: DataFrame, number: int) -> None:
-        if batch.isEmpty():
-            return
-        mark = last_mark(lake, "ingest_to_bronze", f"bronze_{endpoint.name}")
-        ingest_batch(lake, endpoint.name, batch, f"micro-batch {number}", mark)
+    def write(batch: DataFrame, _: int) -> None:
+        read_before = lake.pages_read(endpoint.name)
+        if read_before.exists():
+            batch = batch.join(read_before.read().select("page"), "page", "left_anti")
+        noted = read_before.labels() if read_before.exists() else 0
+        ingest_pages(lake, endpoint.name, batch, noted + 1)
 
     stream = page_stream(lake.spark, endpoint, pages_path, files_per_batch)
     return (

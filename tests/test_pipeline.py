@@ -216,13 +216,14 @@ def test_rerun_after_a_crash_before_the_watermark_moved(world, monkeypatch):
     assert world.lake.quarantine("customers").read().count() == 4
 
 
-def test_incremental_read_opens_recent_months_only(world):
-    batch = pipeline.bronze_since(world.lake, "transactions", datetime(2024, 2, 10, 0, 0))
-    assert [r["transaction_id"] for r in batch.collect()] == [None]
+def test_incremental_read_opens_new_batches_only(world):
+    world.land("transactions", transaction("T9", "2024-02-01 00:00:00"))
+    pipeline.ingest_to_bronze(world.lake, str(world.landing))
+    assert pipeline.batches(world.lake, "transactions") == (2, 1)
+    batch = pipeline.bronze_after(world.lake, "transactions", 1)
+    assert [r["transaction_id"] for r in batch.collect()] == ["T9"]
     plan = batch._jdf.queryExecution().executedPlan().toString()
-    partition_filters = plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
-    assert "updated_month" in partition_filters and "2024-02-01" in partition_filters
-    assert "GreaterThan(updated_at" in plan
+    assert "ingest_batch" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
 
 
 def test_batch_of_bad_rows_only(world):

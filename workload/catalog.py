@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Sequence
 from functools import cache
 
@@ -324,11 +323,15 @@ def scd_report(layers: Layers) -> DataFrame:
 
 # -- the stored pipeline -----------------------------------------------------------------------------------------------
 
+def scratch_lake(spark: SparkSession, name: str) -> Lakehouse:
+    """A lakehouse of its own in the shared folder of the cluster, or in the warehouse where none is set."""
+    return Lakehouse(spark, Lakehouse(spark, spark.conf.get("spark.sql.warehouse.dir")).scratch(name))
+
+
 def pipeline_two_runs(layers: Layers) -> DataFrame:
     """Bronze, Silver and the spend mart as stored tables: a first load, then a run over the later transactions."""
     spark = layers.spark
-    base = f"{tempfile.gettempdir()}/ledgerline"        # used only where spark.checkpoint.dir is not set
-    lake = Lakehouse(spark, Lakehouse(spark, base).scratch("two_runs"))
+    lake = scratch_lake(spark, "two_runs")
     pipeline.ensure_metadata(lake)
     lake.bronze("merchants").overwrite(layers.merchants_raw())
     for endpoint, raw in (
@@ -336,11 +339,10 @@ def pipeline_two_runs(layers: Layers) -> DataFrame:
         ("cards", layers.cards_raw()),
         ("transactions", layers.transactions_raw(inputs.FIRST_TRANSACTIONS)),
     ):
-        pipeline.ingest_batch(lake, endpoint, raw, "first load", None)
+        pipeline.ingest_batch(lake, endpoint, raw)
     pipeline.bronze_to_silver(lake)
-    mark = pipeline.last_mark(lake, "ingest_to_bronze", "bronze_transactions")
     later = layers.transactions_raw(inputs.SECOND_TRANSACTIONS)
-    pipeline.ingest_batch(lake, "transactions", later, "second load", mark)
+    pipeline.ingest_batch(lake, "transactions", later)
     pipeline.process_transactions(lake)
     pipeline.build_spend_summary(lake)
     return lake.gold("customers_spend_summary").read()
