@@ -27,7 +27,7 @@ from .shared import small_batches
 BUCKETS = 1 << 20
 GROUP = 4
 #: Most labelled rows that the model is fitted on.
-FIT_ROWS = 8000
+FIT_ROWS = 5000
 #: Words remembered in each Python worker.
 REMEMBERED = 400_000
 WORD = re.compile(r"[^\W\d_]+")
@@ -74,9 +74,28 @@ class Model:
         return self.bias + sum(self.weights[f] for f in sorted(found))
 
 
-def _rows(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Row number and feature of every entry."""
-    return np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate(sets or [np.zeros(0, np.int64)])
+def example(
+    text: str, terms: tuple[str, ...] = IDENTITY_TERMS, neutral: tuple[str, ...] = NEUTRAL_TERMS
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The features of a text, and those that it has only with an identity term and only with the one swapped for it.
+
+    A term of the text is swapped; where it has none, one is put in first. The choice depends on the text alone.
+    """
+    words = words_of(text)
+    draw = random.Random(zlib.crc32(text.encode()))
+    there = sorted(words.intersection(terms))
+    old = draw.choice(there) if there else draw.choice(terms)
+    new = draw.choice([t for t in terms + neutral if t != old])
+    rest = set().union(*(features(word) for word in words if word != old))
+    with_old, with_new = features(old), features(new)
+    parts = (rest | with_old if there else rest, with_old - rest, with_new - rest)
+    return tuple(np.array(sorted(part), np.int32) for part in parts)
+
+
+def _rows(sets: list[np.ndarray], dense: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries of each row, and the places in ``dense`` of all entries that have one."""
+    kept = [d[d >= 0] for d in (dense[s] for s in sets)]
+    return np.array([len(k) for k in kept]), np.concatenate(kept).astype(np.intp)
 
 
 def best_cut(logit: np.ndarray, y: np.ndarray) -> float:
@@ -92,36 +111,26 @@ def best_cut(logit: np.ndarray, y: np.ndarray) -> float:
 
 
 def train(
-    texts: list[str], labels: list[int], swap_penalty: float = 1.0, terms: tuple[str, ...] = IDENTITY_TERMS,
-    neutral: tuple[str, ...] = NEUTRAL_TERMS, steps: int = 80, rate: float = 0.5, seed: int = 11,
+    examples: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: list[int], swap_penalty: float = 1.0,
+    steps: int = 80, rate: float = 0.5,
 ) -> Model:
     """Proximal Adagrad over all given rows at once, for a fixed number of steps."""
     n, positive = len(labels), sum(labels)
     bias = float(np.log((positive + 0.5) / (n - positive + 1.5)))
     if not 0 < positive < n:
         return Model({}, bias)
-    memo: dict[str, set[int]] = {}
-    draw = random.Random(seed)
-    every, first, second = [], [], []
-    of = lambda word: memo.get(word) or memo.setdefault(word, features(word))
-    for text in texts:
-        words = words_of(text)
-        every.append(np.array(sorted(set().union(*map(of, words))), np.int64))
-        there = sorted(words.intersection(terms))
-        old = draw.choice(there) if there else draw.choice(terms)
-        new = draw.choice([t for t in terms + neutral if t != old])
-        rest = set().union(*map(of, words - {old}))
-        first.append(np.array(sorted(of(old) - rest), np.int64))
-        second.append(np.array(sorted(of(new) - rest), np.int64))
-    count = np.bincount(np.concatenate(every), minlength=BUCKETS)
+    count = np.zeros(BUCKETS, np.int32)
+    for every, _, _ in examples:
+        count[every] += 1
     used = np.flatnonzero(count >= 2)
-    dense = np.full(BUCKETS, -1, np.int64)
+    dense = np.full(BUCKETS, -1, np.int32)
     dense[used] = np.arange(len(used))
-    row, col = _rows(every)
-    keep = dense[col] >= 0
-    row, col = row[keep], dense[col[keep]]
-    swaps = [(*_rows(first), 1.0), (*_rows(second), -1.0)]
-    swaps = [(r[dense[c] >= 0], dense[c[dense[c] >= 0]], sign) for r, c, sign in swaps]
+    sizes, col = _rows([e[0] for e in examples], dense)
+    row = np.repeat(np.arange(n, dtype=np.int32), sizes)
+    swaps = []
+    for part, sign in ((1, 1.0), (2, -1.0)):
+        swap_sizes, c = _rows([e[part] for e in examples], dense)
+        swaps.append((np.repeat(np.arange(n), swap_sizes), c, sign))
     y = np.array(labels, np.float64)
     theta, square = np.zeros(len(used)), np.full(len(used), 1e-3)
     bias_square, lasso = 1e-3, 0.5 + n / 4000
@@ -146,10 +155,21 @@ def fit(documents: DataFrame, labels: DataFrame, keep: Column, key: str = "doc_i
         label: str = "toxic", rows: int = FIT_ROWS) -> Model:
     """Train on at most ``rows`` labelled documents (a documented bound). Null texts count as empty; without two kinds of
     label the model answers with a smoothed share of label 1 that stays below a half where there is none."""
+    small_batches(documents.sparkSession)
     chosen = sample(labels, label, keep, rows, key)
     joined = documents.join(chosen, F.col(key) == F.col("_key")).select("_key", "_label", F.col(text).alias("_text"))
-    found = sorted((r[0], r[2] or "", r[1]) for r in joined.collect())
-    return train([text for _, text, _ in found], [label for _, _, label in found])
+
+    def examples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            parts = [example(t or "") for t in batch["_text"]]
+            yield pd.DataFrame({
+                "key": batch["_key"].astype("string"), "label": batch["_label"],
+                **{name: [p[i] for p in parts] for i, name in enumerate(("every", "first", "second"))},
+            })
+
+    made = joined.mapInPandas(examples, "key string, label int, every array<int>, first array<int>, second array<int>").toPandas()
+    made = made.sort_values(["key", "label"], kind="stable").reset_index(drop=True)
+    return train(list(zip(made["every"], made["first"], made["second"])), made["label"].tolist())
 
 
 def scored(df: DataFrame, model: Model, text: str = "text", into: str = "toxicity") -> DataFrame:

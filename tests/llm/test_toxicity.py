@@ -1,0 +1,57 @@
+"""Held-out accuracy, the effect of the swaps on neutral mentions, odd rows."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from ledgerline.llm import toxicity
+from ledgerline.llm.queries import op8_counterfactual
+
+
+def test_swaps_clear_identity_terms():
+    """A term that is common in toxic texts moves the score of a neutral mention, unless swaps are penalised."""
+    draw, texts, labels = random.Random(1), [], []
+    for i in range(600):
+        toxic = i % 4 == 0
+        words = draw.choices(["river", "stone", "walks", "bright", "paper", "garden", "light", "window"], k=8)
+        if toxic:
+            words.append(draw.choice(["vilething", "trashling", "scumbert"]))
+        if draw.random() < (0.9 if toxic else 0.05):
+            words.append("muslim")
+        draw.shuffle(words)
+        texts.append(" ".join(words))
+        labels.append(int(toxic))
+    examples = [toxicity.example(t) for t in texts]
+    shift = {}
+    for penalty in (0.0, 20.0):
+        model = toxicity.train(examples, labels, swap_penalty=penalty)
+        plain = model.logit("river walks bright people garden")
+        shift[penalty] = max(abs(model.logit(f"river walks bright {t} garden") - plain) for t in ("muslim", "christian"))
+        assert model.logit("river walks vilething garden") > 0 > plain
+    assert shift[20.0] < 0.2 * shift[0.0]
+
+
+def test_query_on_held_out_rows(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    got = op8_counterfactual(spark, sf_dir).collect()
+    assert len(got) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.5) for r in got)
+    held = [(r.predicted, labels[r.doc_id]) for r in got if r.held_out and r.doc_id in labels]
+    right = np.array([p for p, y in held if y]), np.array([p for p, y in held if not y])
+    assert right[0].mean() > 0.8 and right[1].mean() < 0.02  # a tenth of the toxic labels in this table is noise
+
+
+def test_odd_rows(rows):
+    docs = rows("doc_id long, text string, toxicity string", (1, None, "x"), (None, "", "x"), (2, "word " * 100_000, "x"), (2, "a", "x"))
+    none = rows("doc_id long, toxic int", (9, 1), (None, 1), (1, None))
+    model = toxicity.fit(docs, none, F.lit(True))
+    assert model.weights == {}
+    scored = toxicity.scored(docs, model)
+    assert scored.columns == docs.columns and [0 <= r.toxicity < 0.5 for r in scored.collect()] == [True] * 4
+    assert toxicity.scored(docs.limit(0), model).count() == 0
+    assert not toxicity.fit(docs.limit(0), none.limit(0), F.lit(True)).weights
