@@ -6,8 +6,8 @@
    many values of its own enters none. Values of common passages are not rare and drop out.
 3. Lists of at most ``LONG_LIST`` classes give their pairs. Longer lists (large groups of near copies) do not: their full
    sets show how many shingles each member has to itself; members with too many cannot be linked to another member.
-   Of the others, the one with the fewest is the list's hub; every member is paired with the hub, and only members
-   that are not in the hub's component afterwards are paired with the rest of the list, where the counts allow a link.
+   The others form groups; every member is paired with the group's hub, the one nearest to what most members hold, and
+   members that are not in the hub's component afterwards meet the others through lists of their differences from that.
 4. The union of two sketches estimates the similarity and filters the pairs; exact Jaccard on full sets verifies them.
 """
 
@@ -72,7 +72,7 @@ def linked_classes(df: DataFrame, percent: int, key: str, text: str) -> tuple[Da
     sizes = lists.groupBy("value").agg(F.count(F.lit(1)).alias("members"))
     sized = lists.join(sizes.filter("members > 1"), "value")
     short, long = sized.filter(F.col("members") <= LONG_LIST), sized.filter(F.col("members") > LONG_LIST)
-    pairs = stored(_filtered(_pairs(short, short, percent), classes, t, percent), "pairs")
+    pairs = stored(_filtered(_pairs(short, percent), classes, t, percent), "pairs")
     long = stored(long.select("value", "node", "n"), "long")
 
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(long.select("node")).distinct()
@@ -104,16 +104,12 @@ def _lists(classes: DataFrame, t: float, percent: int) -> DataFrame:
     return shared.select("node", "n", F.explode(chosen).alias("e")).select("e.value", "node", "n")
 
 
-def _pairs(left: DataFrame, right: DataFrame, percent: int, extra: Column | None = None) -> DataFrame:
+def _pairs(lists: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b), a < b, of members of one list whose sizes allow the similarity."""
-    one, two = left.alias("one"), right.alias("two")
+    one, two = lists.alias("one"), lists.alias("two")
     fits = (F.col("one.n") * 100 >= F.col("two.n") * percent) & (F.col("two.n") * 100 >= F.col("one.n") * percent)
-    # Of two times the same list one order is enough.
-    order = F.col("one.node") < F.col("two.node") if left is right else F.col("one.node") != F.col("two.node")
-    joined = one.join(two, (F.col("one.value") == F.col("two.value")) & order & fits & (F.lit(True) if extra is None else extra))
-    return joined.select(
-        F.least("one.node", "two.node").alias("a"), F.greatest("one.node", "two.node").alias("b")
-    ).distinct()
+    joined = one.join(two, (F.col("one.value") == F.col("two.value")) & (F.col("one.node") < F.col("two.node")) & fits)
+    return joined.select(F.col("one.node").alias("a"), F.col("two.node").alias("b")).distinct()
 
 
 def _filtered(pairs: DataFrame, classes: DataFrame, t: float, percent: int) -> DataFrame:
@@ -145,24 +141,76 @@ def _long_lists(long: DataFrame, sets: DataFrame, classes: DataFrame, links: Dat
     own = single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
     members = long.join(own, "node", "left").select("value", "node", "n", F.coalesce("own", F.lit(0)).alias("own"))
     members = stored(members.filter((F.col("n") - F.col("own")) * 100 >= F.col("n") * percent), "members")
-    hubs = members.groupBy("value").agg(F.min(F.struct("own", "node")).alias("hub")).select("value", F.col("hub.node").alias("hub"))
-    with_hub = members.join(hubs, "value").filter("node <> hub").select(
-        F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")
-    ).distinct()
+    leads = members.groupBy("value").agg(F.min(F.struct("own", "node")).alias("lead")).select("value", F.col("lead.node").alias("lead"))
+    groups = stored(members.join(leads, "value").select("lead", "node", "n").distinct(), "groups")
+    differ = stored(_differences(groups, sets), "differences")
+    hubs = differ.groupBy("lead").agg(F.min(F.struct("size", "node")).alias("hub")).select("lead", F.col("hub.node").alias("hub"))
+    spokes = groups.join(hubs, "lead").filter("node <> hub")
+    with_hub = spokes.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     links = stored(links.union(_verified(_filtered(with_hub, classes, t, percent), sets, percent)).distinct(), "links")
 
     roots = components(links.select(F.col("a").alias("node"), F.col("b").alias("other")))
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    hub_root = placed.join(hubs, "value").filter("node = hub").select("value", F.col("root").alias("hub_root"))
-    placed = placed.join(hub_root, "value")
-    mixed = placed.filter("root <> hub_root")
-    # No two members share more than the smaller number of shingles that are not one's own.
-    most = F.least(F.col("one.n") - F.col("one.own"), F.col("two.n") - F.col("two.own"))
-    possible = (F.col("one.root") != F.col("two.root")) & (
-        most * 100 >= (F.col("one.n") + F.col("two.n") - most) * percent
+    return links.union(_further(differ, hubs, roots, percent)).distinct()
+
+
+def _differences(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """(lead, node, n, core_n, size, d): where each member differs from its group's core, that is the shingles that more
+    than half of the members hold (fewer than twice the shingles of an average member)."""
+    held = groups.join(sets, "node").select("lead", F.explode("set").alias("hash"))
+    holders = held.groupBy("lead", "hash").agg(F.count(F.lit(1)).alias("holders"))
+    half = holders.join(groups.groupBy("lead").agg(F.count(F.lit(1)).alias("members")), "lead").filter("holders * 2 > members")
+    core = half.groupBy("lead").agg(F.collect_set("hash").alias("core"))
+    d = F.array_union(F.array_except("set", "core"), F.array_except("core", "set"))
+    joined = groups.join(sets, "node").join(core, "lead", "left")
+    joined = joined.withColumn("core", F.coalesce("core", F.array().cast("array<bigint>")))
+    return joined.select("lead", "node", "n", F.size("core").alias("core_n"), d.alias("d")).withColumn("size", F.size("d"))
+
+
+def _further(differ: DataFrame, hubs: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of a member outside its hub's component (Y) with another member of the same group (X).
+
+    With Dx and Dy as their differences from the core C, X and Y differ in |Dx| + |Dy| - 2 |Dx & Dy| shingles, and a link
+    allows c (|X| + |Y|), c = (1 - t) / (1 + t). Where Y is far from the core, |Dy| > c (|Y| + |C|), a link needs
+    |Dx & Dy| > (|Dx| + c (|C| - |X|)) / 2: one of all but so many of the shingles in Dx, rarest first, lies in Dy. As
+    a difference is small and partly a member's own, few meet. The few that are near the core and yet outside meet all
+    members whose differences are not too many more or fewer. Where two meet, their differences give the exact
+    Jaccard similarity of the full sets, so that the join yields links only.
+    """
+    c = (100 - percent) / (100 + percent)
+    placed = differ.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(hubs, "lead")
+    hub_roots = roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
+    placed = placed.join(hub_roots, "hub", "left").withColumn("outside", F.col("root") != F.coalesce("hub_root", "hub"))
+    placed = stored(placed.withColumn("far", F.col("size") > c * (F.col("n") + F.col("core_n"))), "placed")
+    entries = placed.select("lead", "node", "n", "root", "outside", "far", "core_n", "size", F.explode("d").alias("hash"))
+    common = entries.groupBy("lead", "hash").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+    shared = stored(entries.join(common, ["lead", "hash"]), "shared")
+    # As many entries as a set and its core have shingles.
+    lists = shared.groupBy("lead", "node", "n", "core_n", "size").agg(
+        F.sort_array(F.collect_set(F.struct("holders", "hash"))).alias("values")
+    )
+    whole = placed.select("lead", "node", "n", "root", "size", "d", "outside", "far")
+    need = F.greatest(F.floor((F.col("size") + c * (F.col("core_n") - F.col("n")) - 1e-6) / 2) + 1, F.lit(1))
+    places = F.col("size") - need + 1 - (F.col("size") - F.size("values"))
+    first = F.slice("values", F.lit(1), F.greatest(places, F.lit(0)).cast("int"))
+    one = lists.select("lead", "node", F.explode(first).alias("e")).select("lead", "node", "e.hash").join(whole, ["lead", "node"])
+    two = shared.filter("outside and far").select("lead", "node", "hash").join(whole, ["lead", "node"])
+    apart = F.col("one.size") + F.col("two.size") - 2 * F.size(F.array_intersect("one.d", "two.d"))
+    both = F.col("one.n") + F.col("two.n")
+    linked = _fit(percent) & ((both - apart) * 100 >= (both + apart) * percent)
+    met = one.alias("one").join(two.alias("two"), (F.col("one.hash") == F.col("two.hash")) & linked)
+    near = whole.filter("outside and not far").alias("two")
+    gap = F.abs(F.col("one.size") - F.col("two.size")) <= c * both + 1e-6
+    beside = whole.alias("one").join(near, gap & linked)
+    ends = lambda df: df.select(F.least("one.node", "two.node").alias("a"), F.greatest("one.node", "two.node").alias("b"))
+    return ends(met).union(ends(beside)).distinct()
+
+
+def _fit(percent: int) -> Column:
+    """Two members of a group in different components whose sizes allow the similarity."""
+    return (
+        (F.col("one.lead") == F.col("two.lead")) & (F.col("one.root") != F.col("two.root"))
+        & (F.col("one.n") * 100 >= F.col("two.n") * percent) & (F.col("two.n") * 100 >= F.col("one.n") * percent)
     )
-    rest = stored(_filtered(_pairs(mixed, placed, percent, possible), classes, t, percent), "pairs")
-    return links.union(_verified(rest, sets, percent)).distinct()
 
 
 def near_duplicates(df: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
