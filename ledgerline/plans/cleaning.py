@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.business import amount_sign_ok
+from ledgerline.functions.money import in_range
 from ledgerline.functions.text import (
     accepted_currency,
     card_network,
@@ -36,7 +37,7 @@ CUSTOMER_HISTORY = History(
     overwritten=("customer_name", "total_cards_issued"),
 )
 
-# Columns an update changes; all others keep the value of the first load.
+# Columns an update changes; all others keep the value of the first load.
 CARD_UPDATES = (
     "card_name", "card_rewards_category", "card_status", "credit_limit", "updated_at", "silver_processed_at",
 )
@@ -71,7 +72,7 @@ def clean_merchants(raw: DataFrame, processed_at: Column | None = None, keep_key
 
 
 def merchant_rules() -> list[Rule]:
-    return [
+    return [  # the reasons are fixed values
         Rule("merchant_id_missing", F.col("merchant_id").isNotNull()),
         Rule("merchant_name_missing", F.col("merchant_name").isNotNull()),
     ]
@@ -100,7 +101,7 @@ def clean_customers(raw: DataFrame, processed_at: Column | None = None, keep_key
 
 
 def customer_rules() -> list[Rule]:
-    return [
+    return [  # the reasons are fixed values
         Rule("customer_id_missing", F.col("customer_id").isNotNull()),
         Rule("customer_name_missing", F.col("customer_name").isNotNull()),
     ]
@@ -143,9 +144,10 @@ def clean_cards(
 
 
 def card_rules() -> list[Rule]:
-    return [
+    return [  # the reasons are fixed values
         Rule("card_id_missing", F.col("card_id").isNotNull()),
         Rule("cardholder_not_found", F.col("holder_known")),
+        Rule("credit_limit_out_of_range", in_range(F.col("credit_limit"))),
     ]
 
 
@@ -202,7 +204,7 @@ def clean_transactions(
 
 
 def transaction_rules() -> list[Rule]:
-    return [
+    return [  # the reasons are fixed values
         Rule("Missing Transaction ID", F.col("transaction_id").isNotNull()),
         Rule("Missing Transaction Amount", F.col("amount").isNotNull()),
         Rule("Invalid Negative Amount Flag", F.col("is_negative_amount_valid")),
@@ -210,6 +212,7 @@ def transaction_rules() -> list[Rule]:
         Rule("Card Reference Not Found", F.col("card_known")),
         Rule("Merchant Profile Not Found", F.col("merchant_known")),
         Rule("Unsupported or Invalid Currency", accepted_currency(F.col("currency"))),
+        Rule("Amount Out Of Range", in_range(F.col("amount"))),
     ]
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.text import card_network, currency_code, tidy_currency
 from ledgerline.operators import history, quality, watermark
-from ledgerline.operators.dedup import top_per_group, total_order
+from ledgerline.operators.dedup import newest_per_key
 from ledgerline.operators.references import flag_by_exception, flag_by_lookup, missing_keys
 from ledgerline.operators.upsert import touched_partitions, upsert
 from ledgerline.plans import cleaning, marts, pipeline, reports
@@ -69,7 +69,7 @@ class Layers:
         return self.view(inputs.CARDS, where)
 
     def card_updates(self) -> DataFrame:
-        return self.view(inputs.CARD_UPDATES, inputs.SECOND_BATCH)
+        return self.view(inputs.CARD_UPDATES, inputs.UPDATED_CARDS)
 
     def transactions_raw(self, where: str = inputs.EVERYTHING) -> DataFrame:
         return self.view(inputs.TRANSACTIONS, where)
@@ -247,7 +247,7 @@ def silver_transactions(layers: Layers) -> DataFrame:
 # -- cleaning and quality ----------------------------------------------------------------------------------------------
 
 def _newest(df: DataFrame, key: str, newest_first: Sequence[str] = ("updated_at",)) -> DataFrame:
-    return top_per_group(df, [key], total_order(df, key, newest_first))
+    return newest_per_key(df, key, lambda rows: rows, newest_first)
 
 
 def card_brand(layers: Layers) -> DataFrame:
@@ -382,7 +382,9 @@ PLANS: dict[str, Callable[[Layers], DataFrame]] = {
     "dq_all_reasons": bad_transactions,
     "dq_report": lambda x: quality.report(x.transactions_raw(), x.transactions_checked()),
     # history
-    "scd_initial": lambda x: x.history_first(),
+    "scd_initial": lambda x: history.first_load(
+        cleaning.clean_customers(x.customer_updates(), keep_keyless=False), cleaning.CUSTOMER_HISTORY
+    ),
     "scd_classify": scd_classify,
     "scd2_apply": scd2_apply,
     "scd1_apply": scd1_apply,

@@ -47,7 +47,7 @@ CTES["merchants_std"] = f"""SELECT trim(merchant_id) AS merchant_id, {title('mer
     {title('merchant_category')} AS merchant_category, {title('country')} AS merchant_home_country,
     trim(mcc_code) AS mcc_code, {title('merchant_city')} AS merchant_city FROM merchants_raw"""
 CTES["merchants_clean"] = newest("merchants_std", "merchant_id", MERCHANT_COLUMNS, None)
-CTES["merchants"] = "SELECT *, 'bronze' AS data_source FROM merchants_clean WHERE merchant_name IS NOT NULL"
+CTES["merchants"] = "SELECT *, 'bronze' AS data_source FROM merchants_clean WHERE merchant_id IS NOT NULL AND merchant_name IS NOT NULL"
 CTES["merchants_bad"] = """SELECT 'merchants' AS table_name, merchant_id AS row_key,
     CASE WHEN merchant_id IS NULL THEN 'merchant_id_missing' ELSE 'merchant_name_missing' END AS failed_reason
     FROM merchants_clean WHERE merchant_id IS NULL OR merchant_name IS NULL"""
@@ -134,7 +134,7 @@ def add_cards(tag: str, view: str) -> None:
 
 add_cards("", inputs.view_sql(inputs.CARDS))
 add_cards("_1", inputs.view_sql(inputs.CARDS, inputs.FIRST_BATCH))
-add_cards("_2", inputs.view_sql(inputs.CARD_UPDATES, inputs.SECOND_BATCH))
+add_cards("_2", inputs.view_sql(inputs.CARD_UPDATES, inputs.UPDATED_CARDS))
 CTES["cards_bad"] = """SELECT * EXCLUDE (holder_known),
     CASE WHEN card_id IS NULL THEN 'card_id_missing' ELSE 'cardholder_not_found' END AS failed_reason
     FROM cards_clean WHERE card_id IS NULL OR NOT holder_known"""
@@ -168,6 +168,7 @@ FAILURES = (
     ("NOT card_known", "Card Reference Not Found"),
     ("NOT merchant_known", "Merchant Profile Not Found"),
     (f"NOT coalesce(regexp_matches(currency, '{ACCEPTED}'), FALSE)", "Unsupported or Invalid Currency"),
+    ("abs(amount) >= 1e15", "Amount Out Of Range"),
 )
 
 
@@ -210,7 +211,7 @@ MONTH = "CAST(date_trunc('month', transaction_timestamp) AS DATE)"
 
 
 def money_sum(amount: str) -> str:
-    return f"CAST(sum(CAST({amount} AS DECIMAL(18,4))) AS DOUBLE)"
+    return f"CAST(sum(CAST({amount} AS DECIMAL(38,6))) AS DOUBLE)"
 
 
 CTES["enriched"] = f"""SELECT t.transaction_id, t.customer_id, t.merchant_id, t.amount, t.transaction_type,
@@ -361,7 +362,7 @@ FINAL: dict[str, str] = {
               (SELECT count(*) FROM transactions_checked) AS entered,
               (SELECT count(*) FROM transactions) AS passed) c""",
     "scd_initial": """SELECT *, updated_at AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_till, TRUE AS is_current
-        FROM customers_clean_1""",
+        FROM customers_clean_all""",
     "scd_classify": "SELECT customer_id, updated_at, change_type FROM changes",
     "scd2_apply": "SELECT * FROM history WHERE customer_id IN (SELECT customer_id FROM history WHERE NOT is_current)",
     "scd1_apply": "SELECT * FROM history WHERE customer_id IN (SELECT customer_id FROM changes "

@@ -16,9 +16,13 @@ LATE_PRICE = 400000
 FIRST_BATCH = f"o_orderdate <= CAST('{CUTOFF}' AS {{ts}}) AND o_totalprice <= {LATE_PRICE}"
 SECOND_BATCH = f"(o_orderdate > CAST('{CUTOFF}' AS {{ts}}) OR o_totalprice > {LATE_PRICE})"
 EVERYTHING = "1 = 1"
+# Cards of which a later state arrives: about a third of the stored ones, and new ones.
+UPDATED_CARDS = f"({SECOND_BATCH} OR o_orderkey % 3 = 0)"
 
-MERCHANTS = """
-SELECT CAST(p_partkey AS STRING) AS merchant_id,
+MERCHANT_ROWS = """
+SELECT CASE WHEN p_partkey % 89 = 0 THEN CAST(NULL AS STRING)
+            WHEN p_partkey % 17 = 0 THEN concat(' ', CAST(p_partkey AS STRING), ' ')
+            ELSE CAST(p_partkey AS STRING) END AS merchant_id,
        CASE WHEN p_partkey % 97 = 0 THEN CAST(NULL AS STRING) ELSE concat('  ', p_name, ' ') END AS merchant_name,
        lower(p_type) AS merchant_category,
        n_name AS country,
@@ -26,10 +30,13 @@ SELECT CAST(p_partkey AS STRING) AS merchant_id,
        n_name AS merchant_city
 FROM {part} JOIN {nation} ON n_nationkey = p_partkey % 25
 """
+MERCHANTS = f"{MERCHANT_ROWS} UNION ALL {MERCHANT_ROWS} WHERE p_partkey % 13 = 0"
 
-CUSTOMERS = """
-SELECT CAST(c_custkey AS STRING) AS customer_id,
-       c_name AS customer_name,
+CUSTOMER_ROWS = """
+SELECT CASE WHEN c_custkey % 67 = 0 THEN CAST(NULL AS STRING)
+            WHEN c_custkey % 19 = 0 THEN concat(' ', CAST(c_custkey AS STRING))
+            ELSE CAST(c_custkey AS STRING) END AS customer_id,
+       CASE WHEN c_custkey % 61 = 0 THEN CAST(NULL AS STRING) ELSE c_name END AS customer_name,
        CASE WHEN c_custkey % 20 = 0 THEN 'Blocked' WHEN c_custkey % 10 = 5 THEN 'Dormant' ELSE 'Active' END
            AS customer_status,
        CASE WHEN c_acctbal < 2500 THEN 'Low' WHEN c_acctbal < 7500 THEN 'Mid' ELSE 'Top' END AS income,
@@ -43,6 +50,12 @@ FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey
 LEFT JOIN (SELECT o_custkey, count(*) AS order_count, min(o_orderdate) AS first_order, max(o_orderdate) AS last_order
            FROM {orders} GROUP BY o_custkey) per_customer ON o_custkey = c_custkey
 """
+# Some customers are there twice, with an older address.
+CUSTOMERS = f"""{CUSTOMER_ROWS} UNION ALL
+SELECT customer_id, customer_name, customer_status, income, total_cards_issued, joining_date, 'old town' AS city, occupation,
+       risk_grade, updated_at - INTERVAL '30' DAY AS updated_at
+FROM ({CUSTOMER_ROWS}) older WHERE total_cards_issued % 5 = 0
+"""
 
 # One record per order: the customer as known at that moment.
 CUSTOMER_UPDATES = """
@@ -61,10 +74,11 @@ WHERE {where}
 """
 
 CARDS = """
-SELECT CAST(o_orderkey AS STRING) AS card_id,
-       concat(CASE WHEN o_orderkey % 3 = 0 THEN 'RuPay' WHEN o_orderkey % 3 = 1 THEN 'Visa' ELSE 'Mastercard' END,
+SELECT CASE WHEN o_orderkey % 103 = 0 THEN CAST(NULL AS STRING) WHEN o_orderkey % 29 = 0
+            THEN concat(CAST(o_orderkey AS STRING), ' ') ELSE CAST(o_orderkey AS STRING) END AS card_id,
+       concat(CASE WHEN o_orderkey % 7 = 0 THEN 'Store' WHEN o_orderkey % 3 = 0 THEN 'RuPay' WHEN o_orderkey % 3 = 1 THEN 'Visa' ELSE 'Mastercard' END,
               ' ', o_orderpriority) AS card_name,
-       'Unknown' AS card_brand_type,
+       'diners club' AS card_brand_type,
        CASE WHEN o_orderkey % 101 = 0 THEN 'missing' ELSE CAST(o_custkey AS STRING) END AS card_holder_id,
        CASE WHEN o_orderkey % 5 < 3 THEN 'Consumer' WHEN o_orderkey % 5 = 3 THEN 'Commercial' ELSE 'Corporate' END
            AS card_holder_type,
@@ -94,14 +108,18 @@ WHERE {where}
 """
 
 TRANSACTIONS = """
-SELECT concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS transaction_id,
+SELECT CASE WHEN l_orderkey % 211 = 0 THEN CAST(NULL AS STRING)
+            ELSE concat(CASE WHEN l_orderkey % 37 = 0 THEN ' ' ELSE '' END, CAST(l_orderkey AS STRING), '-',
+                        CAST(l_linenumber AS STRING)) END AS transaction_id,
        CAST(l_orderkey AS STRING) AS card_id,
        CAST(o_custkey AS STRING) AS customer_id,
        CAST(l_partkey AS STRING) AS merchant_id,
-       l_extendedprice * (CASE WHEN o_custkey % 50 = 0 THEN CAST(4.0 AS DOUBLE) ELSE CAST(0.25 AS DOUBLE) END)
-           * (CASE WHEN l_returnflag = 'R' AND l_suppkey % 11 <> 0 THEN -1 ELSE 1 END) AS amount,
-       CASE l_suppkey % 7 WHEN 0 THEN ' inr' WHEN 1 THEN '$' WHEN 2 THEN 'Yen' WHEN 3 THEN 'xyz'
-                          WHEN 4 THEN CAST(NULL AS STRING) ELSE 'INR' END AS currency,
+       CASE WHEN l_partkey % 31 = 0 THEN CAST(NULL AS DOUBLE) ELSE l_extendedprice * (CASE WHEN o_custkey % 50 = 0 THEN CAST(4.0 AS DOUBLE) ELSE CAST(0.25 AS DOUBLE) END)
+           * (CASE WHEN l_returnflag = 'R' AND l_suppkey % 11 <> 0 THEN -1 ELSE 1 END) END AS amount,
+       CASE (l_suppkey + l_linenumber) % 16
+            WHEN 0 THEN ' inr' WHEN 1 THEN '$' WHEN 2 THEN 'Yen' WHEN 3 THEN 'xyz' WHEN 4 THEN CAST(NULL AS STRING)
+            WHEN 5 THEN 'gbp' WHEN 6 THEN '£ ' WHEN 7 THEN '₹' WHEN 8 THEN '¥' WHEN 9 THEN 'Jpy'
+            WHEN 10 THEN 'usd' ELSE 'INR' END AS currency,
        'pos' AS device_channel,
        CASE l_linestatus WHEN 'F' THEN 'successful' ELSE 'pending' END AS status,
        CASE l_returnflag WHEN 'R' THEN 'Refund' WHEN 'A' THEN 'EMI Conversion' ELSE 'Purchase' END
