@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline import schemas
 from ledgerline.functions.text import card_network, currency_code, tidy_currency
 from ledgerline.operators import history, quality, watermark
 from ledgerline.operators.dedup import newest_per_key
@@ -16,6 +17,7 @@ from ledgerline.operators.references import flag_by_exception, flag_by_lookup, m
 from ledgerline.operators.upsert import touched_partitions, upsert
 from ledgerline.plans import cleaning, marts, pipeline, reports
 from ledgerline.plans.layout import Lakehouse
+from ledgerline.sources.landing import read_csv, read_pages, records_of
 from workload import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -348,6 +350,59 @@ def pipeline_two_runs(layers: Layers) -> DataFrame:
     return lake.gold("customers_spend_summary").read()
 
 
+# -- landing -----------------------------------------------------------------------------------------------------------
+
+PAGE_ROWS = 5_000
+
+
+def landed_csv(layers: Layers) -> DataFrame:
+    """The merchants written as CSV with their columns in another order, and read back by name."""
+    folder = Lakehouse(layers.spark, layers.spark.conf.get("spark.sql.warehouse.dir")).scratch("landed_csv")
+    raw = layers.merchants_raw()
+    shuffled = raw.select(*sorted(raw.columns))
+    shuffled.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(folder)
+    return read_csv(layers.spark, folder, schemas.MERCHANT_RECORD)
+
+
+def landed_pages(layers: Layers) -> DataFrame:
+    """The transactions written as API pages, one file each, and read back as typed records."""
+    folder = Lakehouse(layers.spark, layers.spark.conf.get("spark.sql.warehouse.dir")).scratch("landed_pages")
+    raw = layers.transactions_raw()
+    sheets = max(1, -(-raw.count() // PAGE_ROWS))
+    numbered = raw.withColumn("sheet", F.pmod(F.xxhash64(*raw.columns), F.lit(sheets)))
+    pages = numbered.groupBy("sheet").agg(F.collect_list(F.struct(*raw.columns)).alias("data"))  # about PAGE_ROWS each
+    text = F.to_json(F.struct("data", F.size("data").alias("count")))
+    pages.select("sheet", text.alias("value")).write.partitionBy("sheet").text(folder)
+    records = records_of(read_pages(layers.spark, folder, schemas.TRANSACTION_RECORD))
+    return records.select(*schemas.TRANSACTION_RECORD.names).withColumn(
+        "transaction_timestamp", F.col("transaction_timestamp").try_cast("timestamp")
+    )
+
+
+def stored_quarantine(layers: Layers) -> DataFrame:
+    """What one stored run has put into the quarantine tables."""
+    lake = scratch_lake(layers.spark, "quarantine")
+    pipeline.ensure_metadata(lake)
+    lake.bronze("merchants").overwrite(layers.merchants_raw())
+    for endpoint, raw in (
+        ("customers", layers.customers_raw()), ("cards", layers.cards_raw()), ("transactions", layers.transactions_raw()),
+    ):
+        pipeline.ingest_batch(lake, endpoint, raw)
+    pipeline.bronze_to_silver(lake)
+
+    def stored(name: str, key: str, reason: Column) -> DataFrame:
+        return lake.quarantine(name).read().select(
+            F.lit(name).alias("table_name"), F.col(key).alias("row_key"), reason.alias("failed_reason")
+        )
+
+    first = F.col("failed_reason")
+    return (
+        stored("merchants", "merchant_id", first).unionByName(stored("customers", "customer_id", first))
+        .unionByName(stored("cards", "card_id", first))
+        .unionByName(stored("transactions", "transaction_id", F.concat_ws("; ", quality.REASONS)))
+    )
+
+
 # -- registration ------------------------------------------------------------------------------------------------------
 
 PLANS: dict[str, Callable[[Layers], DataFrame]] = {
@@ -360,6 +415,9 @@ PLANS: dict[str, Callable[[Layers], DataFrame]] = {
     "upsert_cards": upsert_cards,
     "upsert_transactions": upsert_transactions,
     "upsert_touched_months": upsert_touched_months,
+    "landed_csv": landed_csv,
+    "landed_pages": landed_pages,
+    "stored_quarantine": stored_quarantine,
     # cleaning
     "dedup_merchants": lambda x: _newest(x.merchants_raw(), "merchant_id", []),
     "dedup_customers": lambda x: _newest(x.customer_updates(), "customer_id"),

@@ -331,6 +331,11 @@ FINAL: dict[str, str] = {
     "upsert_cards": "SELECT * FROM cards_written",
     "upsert_transactions": "SELECT * FROM transactions_written",
     "upsert_touched_months": _CROSSING,
+    "landed_csv": "SELECT * FROM merchants_raw",
+    "landed_pages": "SELECT * FROM transactions_raw",
+    "stored_quarantine": """SELECT * FROM merchants_bad UNION ALL SELECT * FROM customers_bad
+        UNION ALL SELECT 'cards', card_id, failed_reason FROM cards_bad
+        UNION ALL SELECT 'transactions', transaction_id, failed_reasons FROM transactions_checked WHERE failed_reasons <> ''""",
     "dedup_merchants": newest(
         "merchants_raw", "merchant_id",
         ["merchant_id", "merchant_name", "merchant_category", "country", "mcc_code", "merchant_city"], None,
