@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from ledgerline.llm.queries import op4_scaled_sketch
 
 
 def shingles(text):
-    words = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", text.lower()) if w]
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text.lower()) if w]
     if not words:
         return set()
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
@@ -52,7 +53,6 @@ def test_next_row(rows, keys):
     after = {r.t: r.after for r in got}
     key = {f"text {i}": k for i, k in enumerate(keys)}
     # Following the chain visits every row once, by descending key, and comes back to the start.
-    order = [min(after, key=lambda t: (key[t] is None, -(key[t] or 0)))]
     first = max((t for t in after), key=lambda t: (key[t] is not None, key[t] or 0))
     starts = [t for t in after if key[t] == key[first]]
     start = next(t for t in starts if len(starts) == 1 or all(after[s] != t or s not in starts for s in starts))
