@@ -2,8 +2,9 @@
 
 1. Texts with the same words are one class. Each class keeps the smallest ``SKETCH`` hashes of its shingle set.
 2. Inverted lists over the ``LISTED`` smallest: two linked sets share at least ``need`` of them (but for a chance below
-   ``CHANCE`` per pair), so each class enters only the lists of its ``LISTED - need + 1`` rarest values, and a class with too
-   many values of its own enters none. Values of common passages are not rare and drop out.
+   ``CHANCE`` per pair; sets of up to ``LISTED`` shingles are held whole, and share what their similarity requires less what
+   a larger partner's list lacks), so each class enters only the lists of its ``LISTED - need + 1`` rarest values, and a
+   class with too many values of its own enters none. Values of common passages are not rare and drop out.
 3. Lists of at most ``LONG_LIST`` classes give their pairs. Longer lists (large groups of near copies) do not: their full
    sets show how many shingles each member has to itself; members with too many cannot be linked to another member.
    The others form groups; every member is paired with the group's hub, the one nearest to what most members hold, and
@@ -98,7 +99,12 @@ def _lists(classes: DataFrame, t: float, percent: int) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("holders", "value"))).alias("values")  # at most LISTED entries
     )
     exact = F.floor((F.col("n") * percent + 99) / 100)
-    need = F.when(F.col("n") <= LISTED, exact).otherwise(F.lit(at_least(LISTED, t)))
+    # A partner has at most so many shingles that its list lacks; all of them may be shared ones.
+    lacking = F.greatest(F.floor(F.col("n") * 100 / percent) - LISTED, F.lit(0))
+    chance = F.lit(at_least(LISTED, t))
+    need = (
+        F.when(F.col("n") > LISTED, chance).when(lacking > 0, F.greatest(exact - lacking, chance)).otherwise(exact)
+    )
     places = F.col("k") - need + 1 - (F.col("k") - F.size("values"))
     chosen = F.slice("values", F.lit(1), F.greatest(places, F.lit(0)).cast("int"))
     return shared.select("node", "n", F.explode(chosen).alias("e")).select("e.value", "node", "n")

@@ -80,6 +80,17 @@ def test_against_all_pairs(rows, percent):
     check(neardup.near_duplicates(df, percent).collect(), texts, percent)
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_a_whole_list_meets_a_cut_one(rows, percent):
+    """Texts of 32 - 4 to 32 + 1 shingles, each with a longer one that adds words at its end."""
+    draw, texts = random.Random(7), {}
+    for pair in range(240):
+        n = 36 if pair % 2 else 32 + pair % 6
+        words = ["".join(draw.choices("abcdefghij", k=6)) for _ in range(n + 5 + pair % 4)]
+        texts[2 * pair], texts[2 * pair + 1] = " ".join(words[:n]), " ".join(words)
+    check(neardup.near_duplicates(rows("doc_id long, text string", *texts.items()), percent).collect(), texts, percent)
+
+
 def test_query_on_the_given_table(spark):
     sf_dir = "/root/testdata/sf0.01"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
