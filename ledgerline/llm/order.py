@@ -21,7 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .bpe import once
 from .shared import small_batches
+from .words import word_encoder
 
 ROUNDS = 6
 
@@ -58,12 +60,56 @@ class Permutation:
         return out.astype(np.int64)
 
 
+def filesystem_of(folder: str) -> tuple[pa.fs.FileSystem, str]:
+    return pa.fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+
+
+def read_slots(
+    folder: str, total: int, start: int = 0, length: int = 4096, width: int = 1, per_shard: int = 4096
+) -> Iterator[tuple[int, bytes]]:
+    """(slot, its ids with their padding) for slots start .. total - 1, each shard opened once and read on from there.
+
+    total is the number of rows of the manifest; reading resumes at the slot after the last one taken. A shard that is
+    missing or too short fails.
+    """
+    (filesystem, base), stride = filesystem_of(folder), length * width
+    while start < total:
+        shard, at = divmod(start, per_shard)
+        with filesystem.open_input_file(f"{base}/shard-{shard:08d}.bin") as file:
+            file.seek(at * stride)
+            for slot in range(start, min((shard + 1) * per_shard, total)):
+                data = file.read(stride)
+                if len(data) != stride:
+                    raise RuntimeError(f"slot {slot} is not in its shard")
+                yield slot, data
+        start = (shard + 1) * per_shard
+
+
 MANIFEST = T.StructType([
     T.StructField("slot", T.LongType()), T.StructField("sequence", T.LongType()), T.StructField("shard", T.LongType()),
     T.StructField("position", T.LongType()), T.StructField("n_ids", T.LongType()), T.StructField("ids_crc32", T.LongType()),
 ])
 
 
+def token_ids(df: DataFrame, tokenizer: str, end_id: int = 0xFFFF, text: str = "text") -> DataFrame:
+    """ids: the ids of each text by the tokenizer file and ``end_id``, two little-endian bytes each (null text: empty)."""
+    small_batches(df.sparkSession)
+    last = np.array([end_id], "<u2").tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = once(("words", tokenizer), lambda: word_encoder(tokenizer))
+        for batch in batches:
+            rows = []
+            for ids in encoder.encode([t or "" for t in batch.column(0).to_pylist()]):
+                wide = np.frombuffer(ids, "<i4")
+                if wide.size and wide.max() >= 0xFFFF:
+                    raise ValueError(f"id {wide.max()} does not fit two bytes")
+                rows.append(wide.astype("<u2").tobytes() + last)
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["ids"])
+
+    return df.select(text).mapInArrow(run, "ids binary")
+
+
 def materialise(
     df: DataFrame, folder: str, length: int = 4096, width: int = 1, per_shard: int = 4096, key: int = 20_26, pad: int = 255,
     ids: str = "ids",
@@ -117,7 +163,7 @@ def materialise(
             yield made(rest)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        filesystem, base = pa.fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+        filesystem, base = filesystem_of(folder)
         filesystem.create_dir(base, recursive=True)
         shard, out, at = None, None, 0
         attempt = TaskContext.get().taskAttemptId()

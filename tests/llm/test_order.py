@@ -6,10 +6,11 @@ import zlib
 from pathlib import Path
 
 import numpy as np
+import public_tokenizers
 import pytest
 
 from ledgerline.llm import order
-from ledgerline.llm.queries import op10_training_order
+from ledgerline.llm.queries import QUERIES, op10_training_order
 from ledgerline.llm.shared import new_folder
 
 
@@ -57,3 +58,34 @@ def test_query_covers_all_texts(spark):
     folder = rows[0].folder
     whole = b"".join(read(folder, r.slot, 4096, 4096)[: r.n_ids] for r in sorted(rows, key=lambda r: r.sequence))
     assert sorted(whole.split(b"\xff")[:-1]) == sorted(t[:-1] for t in texts)
+
+
+def test_registered_query_writes_token_ids(spark):
+    from tokenizers import Tokenizer
+
+    sf_dir = "/root/testdata/sf0.001"
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    wanted = sorted(e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False))
+    rows = QUERIES["op10_training_order"](spark, sf_dir).collect()
+    by_slot = {r.slot: r for r in rows}
+    read_back = dict(order.read_slots(rows[0].folder, len(rows), width=2))
+    assert list(read_back) == list(range(len(rows)))
+    whole = b"".join(read_back[r.slot][: 2 * r.n_ids] for r in sorted(rows, key=lambda r: r.sequence))
+    ids = np.frombuffer(whole, "<u2")
+    ends = np.flatnonzero(ids == 0xFFFF)
+    assert ends[-1] == len(ids) - 1
+    assert sorted(d[:-1].tolist() for d in np.split(ids, ends + 1)[:-1]) == wanted
+    assert all(zlib.crc32(read_back[s][: 2 * r.n_ids]) == r.ids_crc32 for s, r in by_slot.items())
+
+
+def test_reading_resumes_at_any_slot(spark):
+    df = spark.createDataFrame([(np.arange(i, i + 30, dtype="<u2").tobytes(),) for i in range(9)], "ids binary").repartition(2).cache()
+    folder = new_folder(spark, "order")
+    total = order.materialise(df, folder, length=8, width=2, per_shard=5).count()
+    whole = list(order.read_slots(folder, total, length=8, width=2, per_shard=5))
+    assert [slot for slot, _ in whole] == list(range(total)) and total > 10
+    for start in (0, 4, 5, 7, total - 1, total):
+        assert list(order.read_slots(folder, total, start, length=8, width=2, per_shard=5)) == whole[start:]
+    with pytest.raises(Exception):
+        list(order.read_slots(folder, total + 1, length=8, width=2, per_shard=5))
