@@ -3,8 +3,9 @@
 Vectors are scaled to length one and cut into halves; each half has a codebook of its own (k-means on a bounded sample), and
 the product of the two codebooks is a grid of cells. Every vector is indexed in its own cell and, as a query, visits the
 cells in the order of the multi-sequence traversal: by the sum of its two halves' squared distances to the cell's two
-codewords. How many cells are visited is set by measurement: sample queries are compared with all vectors, and the
-traversal goes as far as their true neighbours' cells require for the target recall. Pairs that meet in a cell are
+codewords. How many cells are visited is set by measurement: sample queries are compared with all vectors until enough of
+them have neighbours, and the traversal goes as far as these neighbours' cells require for the target recall. Where
+neighbours are too rare for that, it also goes as far as neighbours made at the threshold require. Pairs that meet in a cell are
 verified by cosine in double precision, block by block.
 
 Equal vectors are one class. A cell with many vectors or visitors is cut into blocks that are compared task by task. A
@@ -28,7 +29,9 @@ from .shared import stored
 FIT_ROWS, SAMPLE_QUERIES, BLOCK = 20_000, 256, 1024
 ROWS_PER_CELL, MOST_CODEWORDS = 32, 256
 TARGET = 0.995
-#: Cells that every query visits, even where the sample has fewer or no neighbours.
+#: Sample queries are drawn in growing blocks until so many have neighbours, all rows are drawn, or MOST_QUERIES are.
+ENOUGH, LARGEST_DRAW, MOST_QUERIES = 256, 4096, 1 << 18
+#: Cells that every query visits, even where the neighbours' cells require fewer.
 LEAST_VISITS = 8
 FOUND = "node long, links long, root long"
 
@@ -96,34 +99,72 @@ def matrix(column: pa.ChunkedArray | pa.Array, dimension: int) -> np.ndarray:
 
 def traversal_length(classes: DataFrame, grid: Grid, dimension: int, threshold: float, target: float) -> int:
     """Cells to visit so that sample queries reach the target share of their true neighbours, on average."""
-    sample = classes.orderBy(F.xxhash64("node", F.lit("query")), "node").limit(SAMPLE_QUERIES).toPandas()
+    drawn = classes.select("node", "vector", F.xxhash64("node", F.lit("query")).alias("draw"))
+    ranks, met, seen, size, unfinished = [], 0, 0, SAMPLE_QUERIES, True
+    rest = drawn
+    while True:
+        sample = rest.orderBy("draw", "node").limit(size).toPandas()
+        if not len(sample):
+            unfinished = False
+            break
+        found = neighbour_ranks(classes, grid, dimension, threshold, sample)
+        ranks.append(found.assign(query=found["query"] + seen))
+        met, seen = met + found["query"].nunique(), seen + len(sample)
+        if met >= ENOUGH or seen >= MOST_QUERIES:
+            break
+        draw, node = int(sample["draw"].iloc[-1]), int(sample["node"].iloc[-1])
+        rest = drawn.filter((F.col("draw") > draw) | ((F.col("draw") == draw) & (F.col("node") > node)))
+        size = min(4 * size, LARGEST_DRAW, MOST_QUERIES - seen)
+    least = LEAST_VISITS
+    if met < ENOUGH and unfinished:
+        least = max(least, made_ranks(unit(np.stack(sample["vector"][:ENOUGH])), grid, threshold, target))
+    found = pd.concat(ranks) if ranks else pd.DataFrame()
+    if not len(found):
+        return least
+    share = found["pairs"] / found.groupby("query")["pairs"].transform("sum") / found["query"].nunique()
+    by_rank = share.groupby(found["rank"]).sum().sort_index().cumsum()
+    reached = by_rank.index[np.searchsorted(by_rank.to_numpy(), min(target, by_rank.iloc[-1]) - 1e-9)]
+    return max(least, int(reached))
+
+
+def rank_of(first: np.ndarray, second: np.ndarray, cell: int) -> int:
+    """The place of a cell in the traversal of one query with these distances to the words, of equals the last."""
+    cost = (first[:, None] + second[None, :]).ravel()
+    return int((cost <= cost[cell]).sum())
+
+
+def neighbour_ranks(classes: DataFrame, grid: Grid, dimension: int, threshold: float, sample: pd.DataFrame) -> pd.DataFrame:
+    """(query, rank, pairs): how many neighbours of each sample query stand in the cell of that place in its traversal."""
     queries, nodes = unit(np.stack(sample["vector"])), sample["node"].to_numpy()
     first, second = grid.halves(queries)
-    cost = (first[:, :, None] + second[:, None, :]).reshape(len(queries), -1)
-    ordered = np.sort(cost, axis=1)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        places: dict[tuple[int, int], int] = {}
+        for batch in (whole.slice(at, BLOCK) for whole in batches for at in range(0, whole.num_rows, BLOCK)):
             rows = unit(matrix(batch.column("vector"), dimension))
             cells = grid.own(rows)
             query, row = np.nonzero(queries @ rows.T >= threshold)
             other = nodes[query] != batch.column("node").to_numpy()[row]
             query, row = query[other], row[other]
-            own = cost[query, cells[row]]
-            rank = np.array([np.searchsorted(ordered[q], c, "right") for q, c in zip(query, own)], np.int64)
+            pairs = list(zip(query.tolist(), cells[row].tolist()))
+            for q, cell in set(pairs) - places.keys():
+                places[q, cell] = rank_of(first[q], second[q], cell)
+            rank = np.array([places[pair] for pair in pairs], np.int64)
             found = pd.DataFrame({"query": query.astype(np.int64), "rank": rank, "pairs": 1}).groupby(["query", "rank"]).sum()
             yield pa.RecordBatch.from_pandas(found.reset_index().astype("int64"), preserve_index=False)
 
     found = classes.select("node", "vector").mapInArrow(compare, "query long, rank long, pairs long")
-    found = found.groupBy("query", "rank").agg(F.sum("pairs").alias("pairs")).toPandas()
-    if not len(found):
-        return LEAST_VISITS
-    share = found["pairs"] / found.groupby("query")["pairs"].transform("sum") / found["query"].nunique()
-    by_rank = share.groupby(found["rank"]).sum().sort_index().cumsum()
-    reached = by_rank.index[np.searchsorted(by_rank.to_numpy(), min(target, by_rank.iloc[-1]) - 1e-9)]
-    return max(LEAST_VISITS, int(reached))
+    return found.groupBy("query", "rank").agg(F.sum("pairs").alias("pairs")).toPandas()
+
+
+def made_ranks(queries: np.ndarray, grid: Grid, threshold: float, target: float) -> int:
+    """Cells to visit for the target share of neighbours that lie at the threshold in random directions."""
+    away = np.random.default_rng(11).standard_normal(queries.shape)
+    away = unit(away - (away * queries).sum(1, keepdims=True) * queries)
+    cells = grid.own(threshold * queries + (1 - threshold**2) ** 0.5 * away)
+    first, second = grid.halves(queries)
+    ranks = np.sort([rank_of(first[q], second[q], cell) for q, cell in enumerate(cells)])
+    return int(ranks[int(np.ceil(target * len(ranks))) - 1])
 
 
 def compare_block(threshold: float, dimension: int):

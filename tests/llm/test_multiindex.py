@@ -68,6 +68,29 @@ def test_traversal_is_the_nearest_cells():
         assert (visited[:, 0] == grid.own(rows)).all()
 
 
+def test_rare_neighbours_are_found(spark):
+    """30 of 6,000 vectors have a neighbour: the first sample queries meet hardly any of them."""
+    draw = np.random.default_rng(8)
+    rows = multiindex.unit(draw.standard_normal((6000, 32)))
+    away = draw.standard_normal((15, 32))
+    away = multiindex.unit(away - (away * rows[:15]).sum(1, keepdims=True) * rows[:15])
+    rows[15:30] = 0.91 * rows[:15] + (1 - 0.91**2) ** 0.5 * away
+    rows = rows.astype(np.float32)
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "vec_id long, embedding array<float>").repartition(4)
+    links, roots = brute(range(6000), rows)
+    got = sorted(multiindex.near_vectors(df).collect())
+    assert links.sum() >= 30
+    assert [r.n_links for r in got] == links.tolist() and [r.component_id for r in got] == roots.tolist()
+
+
+def test_made_neighbours_set_the_visits_where_sampling_ends(spark, monkeypatch):
+    monkeypatch.setattr(multiindex, "MOST_QUERIES", 300)
+    rows = multiindex.unit(np.random.default_rng(9).standard_normal((2000, 32)))
+    classes = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "node long, vector array<float>")
+    grid = multiindex.Grid(rows, 16)
+    assert multiindex.traversal_length(classes, grid, 32, 0.9, 0.995) > multiindex.LEAST_VISITS
+
+
 def test_odd_rows_and_clashing_columns(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 2.0]), (2, [1.0, 2.0]), (3, [2.0, 4.0]), (4, None), (5, []), (6, [0.0, 0.0]), (7, [nan, 1.0]), (8, [inf, 1.0]),
