@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, multiindex, neardup, order, packing, quality, shards, sketch, toxicity, viterbi
+from . import bpe, multiindex, neardup, order, packing, quality, shards, sketch, toxicity, trie, viterbi
 from .shared import new_folder, stored, table
 
 SHARDS = 40
@@ -110,6 +111,71 @@ def op10_token_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.materialise(stored(ids, "ids"), folder, width=2).withColumn("folder", F.lit(folder))
 
 
+OPENINGS = 5  # conversations that share an opening
+MOST_SHARED = 9
+
+
+def opened_alike(first: int, block: dict[int, list[trie.Turn]]) -> dict[int, list[trie.Turn]]:
+    """Each conversation with its first turns taken from the first one of its block, if that is there."""
+    taken = {conv: zlib.crc32(str(conv).encode()) % MOST_SHARED for conv in block}
+    return {conv: block.get(first, [])[: taken[conv]] + turns[taken[conv] :] for conv, turns in block.items()}
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = F.col("conv_id") - F.col("conv_id") % OPENINGS
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"), first, opened_alike)
+
+
+OP11_SQL = """
+WITH RECURSIVE crc(c, i, state) AS (
+    SELECT DISTINCT conv_id, 0, CAST(4294967295 AS BIGINT) FROM conversations WHERE conv_id IS NOT NULL
+    UNION ALL
+    SELECT c, i + 1, xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END) FROM (
+        SELECT c, i, CASE WHEN i % 8 = 0 THEN xor(state, ascii(substr(CAST(c AS VARCHAR), i // 8 + 1, 1))) ELSE state END AS x
+        FROM crc WHERE i < 8 * length(CAST(c AS VARCHAR))) AS bit
+),
+taken AS (SELECT c, xor(state, 4294967295) % 9 AS h FROM crc WHERE i = 8 * length(CAST(c AS VARCHAR))),
+said AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+rebuilt AS (
+    SELECT c, role, text, row_number() OVER (PARTITION BY c ORDER BY part, p) AS d FROM (
+        SELECT taken.c, 0 AS part, said.p, role, text FROM taken JOIN said ON said.c = taken.c - taken.c % 5 AND said.p <= h
+        UNION ALL
+        SELECT taken.c, 1, said.p, role, text FROM taken JOIN said ON said.c = taken.c AND said.p > h) AS parts
+),
+prefixes AS (
+    SELECT c, d, md5(CAST(list(md5(concat(length(role), ' ', role, text))) OVER (PARTITION BY c ORDER BY d) AS VARCHAR)) AS path,
+           octet_length(encode(text)) AS size
+    FROM rebuilt
+    UNION ALL SELECT c, 0, '', 0 FROM taken
+),
+ends AS (
+    SELECT path, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids
+    FROM (SELECT c, path, d = max(d) OVER (PARTITION BY c) AS is_end FROM prefixes) AS last WHERE is_end GROUP BY path
+),
+nodes AS (
+    SELECT path, min(d) AS depth, min(c) AS conv_id, count(*) AS n_convs, min(size) AS size, min(above) AS above
+    FROM (SELECT *, lag(path) OVER (PARTITION BY c ORDER BY d) AS above FROM prefixes) AS stepped GROUP BY path
+),
+children AS (SELECT above AS path, count(*) AS n_children FROM nodes WHERE above IS NOT NULL GROUP BY above),
+subtrees AS (
+    SELECT prefixes.path, count(*) FILTER (WHERE children.path IS NULL) AS n_leaves, sum((n_convs - 1) * size_) AS saved_tokens
+    FROM (SELECT path AS own_path, depth, conv_id, n_convs, size AS size_ FROM nodes) AS own
+    JOIN prefixes ON prefixes.c = own.conv_id AND prefixes.d <= own.depth
+    LEFT JOIN children ON children.path = own_path
+    GROUP BY prefixes.path
+)
+SELECT nodes.conv_id, CAST(nodes.depth AS BIGINT) AS depth, parents.conv_id AS parent_conv_id, nodes.n_convs,
+       coalesce(n_children, 0) AS n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes JOIN subtrees USING (path) LEFT JOIN children USING (path) LEFT JOIN ends USING (path)
+LEFT JOIN nodes AS parents ON parents.path = nodes.above
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree": op1_hash_tree,
     "op2_viterbi": op2_viterbi,
@@ -121,7 +187,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_counterfactual": op8_counterfactual,
     "op9_multi_index": op9_multi_index,
     "op10_training_order": op10_token_order,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 #: SQL that gives the same rows, where SQL can express the operator on whole tables.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op11_prefix_trie": OP11_SQL}
