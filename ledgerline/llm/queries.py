@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, multiindex, neardup, order, packing, quality, shards, sketch, toxicity, trie, viterbi
+from . import bpe, multiindex, neardup, order, packing, phrases, quality, shards, sketch, toxicity, trie, viterbi
 from .shared import new_folder, stored, table
 
 SHARDS = 40
@@ -176,6 +176,51 @@ LEFT JOIN nodes AS parents ON parents.path = nodes.above
 """
 
 
+def op12_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    built = phrases.index(table(spark, sf_dir, "documents"))
+    found = phrases.search(built, table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, span: n + span["last"] - span["first"] + 1)
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+OP12_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, w, len(w) AS n FROM (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents) AS cut
+),
+items AS (
+    SELECT item_id, w, len(w) AS n, least(len(w), 10) AS length FROM (
+        SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark) AS cut
+    WHERE len(w) > 0
+),
+windows AS (
+    SELECT DISTINCT item_id, length, array_to_string(w[place : place + length - 1], ' ') AS words
+    FROM (SELECT *, unnest(range(1, n - length + 2)) AS place FROM items) AS placed
+),
+grams AS (
+    SELECT row, place, length, array_to_string(w[place : place + length - 1], ' ') AS words
+    FROM (SELECT *, unnest(range(1, n - length + 2)) AS place FROM docs, (SELECT DISTINCT length FROM windows) AS lengths) AS placed
+),
+found AS (SELECT row, place, grams.length, item_id FROM grams JOIN windows USING (length, words)),
+hits AS (
+    SELECT row, count(DISTINCT word) AS n_hit FROM (SELECT row, unnest(range(place, place + length)) AS word FROM found) AS covered
+    GROUP BY row
+),
+named AS (
+    SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) AS listed GROUP BY row
+)
+SELECT doc_id, n AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hits USING (row) LEFT JOIN named USING (row)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree": op1_hash_tree,
     "op2_viterbi": op2_viterbi,
@@ -188,7 +233,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_multi_index": op9_multi_index,
     "op10_training_order": op10_token_order,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_positional_index": op12_positional_index,
 }
 
 #: SQL that gives the same rows, where SQL can express the operator on whole tables.
-SQL: dict[str, str] = {"op11_prefix_trie": OP11_SQL}
+SQL: dict[str, str] = {"op11_prefix_trie": OP11_SQL, "op12_positional_index": OP12_SQL}

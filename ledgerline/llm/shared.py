@@ -28,9 +28,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Have whole texts sent to Python workers in batches of few rows: a batch is held in memory, texts can be long."""
+def small_batches(spark: SparkSession, rows: int = 512, size: str = "16m") -> None:
+    """Have whole texts sent to Python workers in batches of few rows and bytes: a batch is held in memory, texts can be long.
+
+    Spark reads these limits when a plan runs, not when it is made, so they stay set in the caller's session.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
