@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, multiindex, neardup, order, packing, phrases, quality, shards, sketch, toxicity, trie, viterbi
+from . import bpe, multiindex, neardup, order, packing, phrases, quality, shards, sketch, toxicity, trie, viterbi, whitening
 from .shared import new_folder, stored, table
 
 SHARDS = 40
@@ -221,6 +221,10 @@ FROM docs LEFT JOIN hits USING (row) LEFT JOIN named USING (row)
 """
 
 
+def op13_spectrum_slicing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree": op1_hash_tree,
     "op2_viterbi": op2_viterbi,
@@ -234,6 +238,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_training_order": op10_token_order,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_positional_index": op12_positional_index,
+    "op13_spectrum_slicing": op13_spectrum_slicing,
 }
 
 #: SQL that gives the same rows, where SQL can express the operator on whole tables.
