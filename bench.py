@@ -38,8 +38,7 @@ def run_query(spark, sf_dir: str, name: str) -> None:
 def stages(spark, sf_dir: str) -> dict[str, float]:
     lake = scratch_lake(spark, "bench")
     layers = Layers(spark, sf_dir)
-    pipeline.ensure_metadata(lake)
-    lake.bronze("merchants").overwrite(layers.merchants_raw())
+    pipeline.ingest_batch(lake, "merchants", layers.merchants_raw())
     for name, raw in (
         ("customers", layers.customers_raw()), ("cards", layers.cards_raw()),
         ("transactions", layers.transactions_raw()),

@@ -30,6 +30,11 @@ def trimmed(name: str) -> Column:
     return F.trim(F.col(name))
 
 
+def key_text(name: str) -> Column:
+    """A key as it is compared; a blank one is no key."""
+    return F.nullif(trimmed(name), F.lit(""))
+
+
 def titled(name: str) -> Column:
     return F.initcap(F.trim(F.col(name)))
 

@@ -32,14 +32,16 @@ def newest_per_key(
     newest_first: Sequence[str] = (),
     keep_keyless: bool = True,
 ) -> DataFrame:
-    """Standardise the rows, then keep the newest row of each key.
+    """Standardise the rows, then keep the newest row of each key, in one pass over them.
 
-    Keys are compared after standardising, so " C1" and "C1" are one key. Rows without a key cannot be compared: all of
-    them are kept for quarantine, or left out where only good rows are wanted. The split on the raw key reaches the scan,
-    so the second read costs little where every row has its key, and keyless rows stay out of the shuffle.
+    Keys are compared after standardising, so " C1" and "C1" are one key, and a blank key is none. Rows without a key cannot
+    be compared: all of them are kept for quarantine, each in a group of its own that any task may hold, or left out
+    where only good rows are wanted.
     """
-    keyed = standardise(raw.where(F.col(key).isNotNull()))
-    newest = top_per_group(keyed, [key], total_order(keyed, key, newest_first))
+    rows = standardise(raw)
+    order = total_order(rows, key, newest_first)
     if not keep_keyless:
-        return newest
-    return newest.unionByName(standardise(raw.where(F.col(key).isNull())))
+        return top_per_group(rows.where(F.col(key).isNotNull()), [key], order)
+    alone = "__alone"
+    numbered = rows.withColumn(alone, F.when(F.col(key).isNull(), F.monotonically_increasing_id()))
+    return top_per_group(numbered, [key, alone], order).drop(alone)

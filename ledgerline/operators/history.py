@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 VALIDITY = ("valid_from", "valid_till", "is_current")
@@ -109,3 +109,37 @@ def apply_changes(history: DataFrame, incoming: DataFrame, spec: History) -> Dat
     """The complete next history in one plan."""
     closed_before = history.where(~F.col("is_current"))
     return closed_before.unionByName(next_versions(history, incoming, spec))
+
+
+def versions_of(changes: DataFrame, spec: History) -> DataFrame:
+    """The history that all accepted rows of each key make up, in whatever order they came in.
+
+    The rows of a key are put in order of their time (rows without one first; of rows with the same time the first one by
+    all columns counts). A row whose tracked columns equal those of the row before belongs to the same version: the first one
+    opens it and gives its values, the last one its corrected columns. One shuffle, by key; a key has as many rows as
+    there were batches with it.
+    """
+    columns = changes.columns
+    rest = [F.asc_nulls_last(name) for name in columns if name not in (spec.key, spec.versioned_by)]
+    time = F.asc_nulls_first(spec.versioned_by)
+    same_time = Window.partitionBy(spec.key, spec.versioned_by).orderBy(*rest)
+    by_time = Window.partitionBy(spec.key).orderBy(time)
+    before = [F.lag(name).over(by_time).alias(f"__{name}") for name in spec.tracked]
+    gathered = changes.repartition(spec.key)
+    rows = gathered.withColumn("__nth", F.row_number().over(same_time)).where("__nth = 1")
+    first = F.row_number().over(by_time) == 1
+    rows = rows.select(*columns, *before, first.alias("__first"))
+    differs = reduce(lambda a, b: a | b, [~F.col(n).eqNullSafe(F.col(f"__{n}")) for n in spec.tracked])
+    rows = rows.withColumn("__version", F.count_if(F.col("__first") | differs).over(by_time))
+    values = [
+        (F.max_by if name in spec.overwritten else F.min_by)(F.struct(name), F.col("__nth"))[name].alias(name)
+        for name in columns if name != spec.key
+    ]
+    numbered = rows.withColumn("__nth", F.row_number().over(by_time))
+    versions = numbered.groupBy(spec.key, "__version").agg(*values)
+    in_turn = Window.partitionBy(spec.key).orderBy("__version")
+    return versions.select(
+        *columns, F.col(spec.versioned_by).alias("valid_from"),
+        F.lead(spec.versioned_by).over(in_turn).alias("valid_till"),
+        F.lead("__version").over(in_turn).isNull().alias("is_current"),
+    )

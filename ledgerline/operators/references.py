@@ -5,11 +5,11 @@ Two plans give the same answer.
 * ``flag_by_lookup`` left-joins the rows to the known keys. No hint is given: Spark broadcasts a key set whose size is
   below its threshold and shuffles otherwise, with AQE splitting the partition of a hot key. Right when the key sets are
   small.
-* ``missing_keys`` + ``flag_by_exception`` first reduce the rows to their distinct keys (combined before the shuffle, so
-  a key holding a third of all rows is sent once per task), keep those that do not exist, and mark the rows pointing at
-  one. The wide rows never move for a large key set; only the few missing keys are joined to them. Right when rows and
-  key sets are both large and most references hold. The caller stores the missing keys in between, so the join sees
-  their real size.
+* ``missing_keys`` + ``flag_by_exception`` first turn the rows into (reference, key) pairs, all references in one pass.
+  The pairs are made distinct before and after one shuffle (a key holding a third of all rows is sent once per task),
+  those that are known are taken out by one join with the known pairs, and the rows are marked by what is left. The wide
+  rows never move for a large key set. Right when rows and key sets are both large and most references hold. The caller
+  may store the missing pairs in between, so that the joins see their real size.
 """
 
 from __future__ import annotations
@@ -44,14 +44,14 @@ def flag_by_lookup(df: DataFrame, references: Sequence[Reference]) -> DataFrame:
 
 
 def missing_keys(df: DataFrame, references: Sequence[Reference]) -> DataFrame:
-    """(reference_column, missing_key) for every referenced key that does not exist."""
-
-    def missing(ref: Reference) -> DataFrame:
-        used = df.select(F.col(ref.column).alias("missing_key")).where(F.col("missing_key").isNotNull()).distinct()
-        absent = used.join(_single_column(ref.keys, "missing_key"), "missing_key", "left_anti")
-        return absent.select(F.lit(ref.column).alias("reference_column"), "missing_key")
-
-    return reduce(DataFrame.unionByName, [missing(ref) for ref in references])
+    """(reference_column, missing_key) for every referenced key that does not exist, from one pass over the rows."""
+    pointers = [F.struct(F.lit(ref.column).alias("reference_column"), F.col(ref.column).alias("missing_key")) for ref in references]
+    used = df.select(F.inline(F.array(*pointers))).where(F.col("missing_key").isNotNull()).distinct()
+    known = reduce(DataFrame.unionByName, [
+        _single_column(ref.keys, "missing_key").select(F.lit(ref.column).alias("reference_column"), "missing_key")
+        for ref in references
+    ])
+    return used.join(known, ["reference_column", "missing_key"], "left_anti")
 
 
 def flag_by_exception(df: DataFrame, references: Sequence[Reference], missing: DataFrame) -> DataFrame:

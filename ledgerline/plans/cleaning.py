@@ -17,6 +17,7 @@ from ledgerline.functions.text import (
     accepted_currency,
     card_network,
     currency_code,
+    key_text,
     tidy_currency,
     titled,
     trimmed,
@@ -57,7 +58,7 @@ def with_lineage(df: DataFrame, processed_at: Column | None = None) -> DataFrame
 
 def standardise_merchants(raw: DataFrame) -> DataFrame:
     return raw.select(
-        trimmed("merchant_id").alias("merchant_id"),
+        key_text("merchant_id").alias("merchant_id"),
         titled("merchant_name").alias("merchant_name"),
         titled("merchant_category").alias("merchant_category"),
         titled("country").alias("merchant_home_country"),
@@ -82,7 +83,7 @@ def merchant_rules() -> list[Rule]:
 
 def standardise_customers(raw: DataFrame) -> DataFrame:
     return raw.select(
-        trimmed("customer_id").alias("customer_id"),
+        key_text("customer_id").alias("customer_id"),
         titled("customer_name").alias("customer_name"),
         titled("customer_status").alias("customer_status"),
         trimmed("income").alias("income_bucket"),
@@ -112,11 +113,11 @@ def customer_rules() -> list[Rule]:
 def standardise_cards(raw: DataFrame) -> DataFrame:
     # two steps, so that a text used more than once is computed once per row
     tidy = raw.select(
-        trimmed("card_id").alias("card_id"),
+        key_text("card_id").alias("card_id"),
         titled("card_name").alias("card_name"),
         F.lower("card_name").alias("lower_name"),
         "card_brand_type",
-        trimmed("card_holder_id").alias("card_holder_id"),
+        key_text("card_holder_id").alias("card_holder_id"),
         titled("card_holder_type").alias("card_holder_type"),
         titled("card_rewards_category").alias("card_rewards_category"),
         titled("card_status").alias("card_status"),
@@ -158,10 +159,10 @@ CARD_HELPERS = ("holder_known",)
 
 def standardise_transactions(raw: DataFrame) -> DataFrame:
     tidy = raw.select(
-        trimmed("transaction_id").alias("transaction_id"),
-        trimmed("card_id").alias("card_id"),
-        trimmed("customer_id").alias("customer_id"),
-        trimmed("merchant_id").alias("merchant_id"),
+        key_text("transaction_id").alias("transaction_id"),
+        key_text("card_id").alias("card_id"),
+        key_text("customer_id").alias("customer_id"),
+        key_text("merchant_id").alias("merchant_id"),
         "amount",
         tidy_currency("currency").alias("currency"),
         trimmed("device_channel").alias("device_channel"),

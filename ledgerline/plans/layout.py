@@ -7,41 +7,54 @@ from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
+from ledgerline.plans.progress import LAYOUT, Progress
 from ledgerline.sources.tables import Table
 
+BRONZE, SILVER, GOLD = "ingest_to_bronze", "bronze_to_silver", "silver_to_gold"
+
 
 class Lakehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    """``buckets``: parts of every keyed table, about 128 MB each when the tables are full grown. It holds for the life of
+    the lakehouse: the first run stores it, later ones must agree."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
         self.spark = spark
         self.root = root.rstrip("/")
         self.run_id = uuid4().hex
         self.started_at = datetime.now(timezone.utc)
+        self.buckets = buckets
+        self.progress = Progress(spark, f"{self.root}/control/progress")
+
+    def start(self) -> None:
+        """What every stage does first: see how far the others are."""
+        self.progress.ensure()
+        agreed = self.progress.of(LAYOUT, "buckets").batch
+        if not agreed:
+            self.progress.save(LAYOUT, "buckets", batch=self.buckets)
+        elif agreed != self.buckets:
+            raise ValueError(f"{self.root} has {agreed} buckets, not {self.buckets}")
 
-    def table(self, layer: str, name: str) -> Table:
-        return Table(self.spark, f"{self.root}/{layer}/{name}")
+    def table(self, layer: str, name: str, schema=None) -> Table:
+        return Table(self.spark, f"{self.root}/{layer}/{name}", schema)
 
     def bronze(self, name: str) -> Table:
-        return self.table("bronze", name)
+        return self.table("bronze", name, self.progress.of(BRONZE, f"bronze_{name}").schema)
 
     def silver(self, name: str) -> Table:
-        return self.table("silver", name)
+        return self.table("silver", name, self.progress.of(SILVER, f"silver_{name}").schema)
 
     def gold(self, name: str) -> Table:
-        return self.table("gold", name)
+        return self.table("gold", name, self.progress.of(GOLD, name).schema)
+
+    def staging(self, name: str, schema=None) -> Table:
+        return self.table("staging", name, schema)
 
     def quarantine(self, name: str) -> Table:
         return self.table("quarantine", name)
 
-    @property
-    def metadata(self) -> Table:
-        return self.table("control", "pipeline_metadata")
-
-    @property
-    def batches(self) -> Table:
-        return self.table("control", "batches")
-
-    def pages_read(self, endpoint: str) -> Table:
-        return self.table("control", f"pages_{endpoint}")
+    def intents(self, endpoint: str) -> Table:
+        """The pages of each batch, written before anything else of the batch: (page, batch)."""
+        return self.table("control", f"intents_{endpoint}")
 
     def reports(self, name: str) -> Table:
         return self.table("reports", name)

@@ -1,14 +1,14 @@
 """The stage drivers: landed files -> Bronze -> Silver -> Gold.
 
-Each Silver stage writes its checked batch once to a scratch table and reads everything else (good rows, quarantine,
-report, watermark) from there, so cleaning runs once per batch and nothing has to stay in executor memory. A stage that
-dies is simply run again: appends are labelled with the batch they start from, upserts and history changes are
-idempotent, and progress is recorded last.
-
-Nothing that has landed is left out for its date. Bronze numbers its batches, remembers every page it has read, and Silver
-takes the batches it has not taken yet, whenever their rows are dated; watermarks say how new the data is. A page
-that is unreadable or incomplete, and a row with an unreadable value or dated after the start of the run, goes to
-quarantine with its reason.
+A Silver stage first fixes the Bronze batches it takes, writes its checked rows once to a scratch table and reads everything
+else (good rows, quarantine, report, watermark) from there. Keyed tables are stored by a hash bucket of their key:
+the buckets an update touches follow from its rows, only these are read, joined and rewritten, and the next state stands
+complete in the staging folder before the table is touched. A stage that dies is simply run again: it takes the same
+batches, replaces what it had written, or finishes moving what was staged.
+
+Nothing that has landed is left out for its date. Silver takes the batches it has not taken yet, whenever their rows are
+dated; watermarks say how new the data is. A page that is unreadable or incomplete, and a row with an unreadable value or
+dated after the start of the run, goes to quarantine with its reason.
 """
 
 from __future__ import annotations
@@ -19,176 +19,94 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgerline import schemas
-from ledgerline.functions.business import month_of
 from ledgerline.operators import history, quality, references, watermark
 from ledgerline.operators.references import Reference
-from ledgerline.operators.upsert import touched_partitions, upsert
+from ledgerline.operators.upsert import upsert
 from ledgerline.plans import cleaning, marts
-from ledgerline.plans.layout import Lakehouse
-from ledgerline.sources.landing import FAULT, PAGE, UNREADABLE, read_csv, read_pages, records_of
-from ledgerline.sources.tables import NULL_PARTITION, Table
+from ledgerline.plans.ingestion import BATCH, ENDPOINTS, ingest_batch, ingest_to_bronze, stored_batches
+from ledgerline.plans.layout import GOLD, SILVER, Lakehouse
+from ledgerline.sources.landing import PAGE, UNREADABLE
+from ledgerline.sources.tables import BUCKET, fitted, merged_schema, touched_buckets, with_bucket
 
-# Dimensions of up to this many rows, counted before use, are broadcast. Beyond it, references are checked through their
-# missing keys, and the merchant categories are joined by a shuffle.
-SMALL_DIMENSION = 1_000_000
+# Key sets of up to this many bytes, by the sizes measured before use, are broadcast. Beyond it, references are checked
+# through their missing keys, and the merchant categories are joined by a shuffle.
+SMALL_BYTES = 64 * 1024 * 1024
 
-# Storage partitions: Bronze by batch, so that an incremental read opens new files only; Silver transactions by month of
-# the transaction, so that an update rewrites few of them.
-BATCH = "ingest_batch"
-STORAGE_MONTH = "transaction_month"
+# The label of what a Silver run writes: the first Bronze batch it took.
+TAKEN_FROM = "taken_from"
 
+__all__ = ["BATCH", "ENDPOINTS", "ingest_batch", "ingest_to_bronze", "run_pipeline"]
 
-@dataclass(frozen=True)
-class Endpoint:
-    name: str
-    record: T.StructType
-
-
-ENDPOINTS = (
-    Endpoint("customers", schemas.CUSTOMER_RECORD),
-    Endpoint("cards", schemas.CARD_RECORD),
-    Endpoint("transactions", schemas.TRANSACTION_RECORD),
-)
-
-
-# -- metadata ----------------------------------------------------------------------------------------------------------
-
-def ensure_metadata(lake: Lakehouse) -> None:
-    """Create the progress table on the first run only."""
-    if not lake.metadata.exists():
-        lake.metadata.overwrite(watermark.seed(lake.spark).coalesce(1))
 
+# -- progress ----------------------------------------------------------------------------------------------------------
 
 def last_mark(lake: Lakehouse, pipeline: str, table: str) -> datetime | None:
-    return watermark.mark_value(lake.metadata.read(), pipeline, table)
-
-
-def save_mark(lake: Lakehouse, marks: DataFrame) -> None:
-    lake.metadata.overwrite(watermark.advance(lake.metadata.read(), marks).coalesce(1))
+    lake.progress.refresh()
+    return lake.progress.of(pipeline, table).last_processed_timestamp
 
 
 def batches(lake: Lakehouse, endpoint: str) -> tuple[int, int]:
     """(batches stored in Bronze, batches taken by Silver)."""
-    if not lake.batches.exists():
-        return 0, 0
-    row = lake.batches.read().where(F.col("endpoint") == endpoint).first()
-    return (row["stored"], row["taken"]) if row else (0, 0)
-
-
-def save_batches(lake: Lakehouse, endpoint: str, stored: int, taken: int) -> None:
-    row = lake.spark.createDataFrame([(endpoint, stored, taken)], schemas.BATCHES)
-    if lake.batches.exists():
-        row = row.unionByName(lake.batches.read().where(F.col("endpoint") != endpoint))
-    lake.batches.overwrite(row.coalesce(1))
-
-
-# -- Bronze ------------------------------------------------------------------------------------------------------------
-
-def ingest_merchants(lake: Lakehouse, csv_path: str) -> None:
-    """Small reference file, reloaded whole."""
-    lake.bronze("merchants").overwrite(read_csv(lake.spark, csv_path, schemas.MERCHANT_RECORD))
-
-
-def bronze_after(lake: Lakehouse, endpoint: str, batch: int) -> DataFrame:
-    """Stored records of the batches after this one; the folders of the others are not opened."""
-    return lake.bronze(endpoint).read().where(F.col(BATCH) > batch)
-
-
-def ingest_batch(lake: Lakehouse, endpoint: str, records: DataFrame, number: int | None = None) -> None:
-    """Store one batch of records and move the Bronze watermark to its newest row that is not ahead of time.
-
-    A batch stored again under its number (the next one by default) replaces its rows, unless Silver has taken them: then
-    it becomes a batch of its own.
-    """
-    stored, taken = batches(lake, endpoint)
-    if number is None or number <= taken:
-        number = stored + 1
-    for name, missing in ((PAGE, F.lit(None).cast("string")), (UNREADABLE, F.array().cast("array<string>"))):
-        if name not in records.columns:
-            records = records.withColumn(name, missing)
-    numbered = records.withColumn(BATCH, F.lit(number).cast("long"))
-    lake.bronze(endpoint).append(numbered, f"batch {number}", partition_by=BATCH)
-    save_batches(lake, endpoint, max(stored, number), taken)
-    # read from the stored column, so that the landed files are parsed once
-    newest = watermark.newest(
-        bronze_after(lake, endpoint, number - 1), "ingest_to_bronze", f"bronze_{endpoint}", not_after=lake.started_at
-    )
-    save_mark(lake, newest)
-
-
-def ingest_pages(lake: Lakehouse, endpoint: str, pages: DataFrame, number: int) -> bool:
-    """Store the records of whole pages, quarantine the others, and note all of them as read; False without pages.
+    lake.progress.refresh()
+    return stored_batches(lake, endpoint), lake.progress.of(SILVER, f"silver_{endpoint}").batch
 
-    The pages are written to scratch first: they are parsed once, and what is stored is what was noted.
-    """
-    folder = lake.scratch(f"pages_{endpoint}_{number}")
-    pages.write.mode("overwrite").parquet(folder)
-    pages = lake.spark.read.schema(pages.schema).parquet(folder)
-    if pages.isEmpty():
-        return False
-    label = f"batch {number}"
-    faulty = pages.where(F.col(FAULT).isNotNull()).withColumn("endpoint", F.lit(endpoint))
-    lake.quarantine(f"pages_{endpoint}").append(faulty.select("endpoint", PAGE, FAULT, "count", schemas.CORRUPT), label)
-    ingest_batch(lake, endpoint, records_of(pages), number)
-    lake.pages_read(endpoint).append(pages.select(PAGE, FAULT), label)
-    return True
 
+def bronze_batches(lake: Lakehouse, endpoint: str, after: int, upto: int) -> DataFrame:
+    """Stored records of these batches; the folders of the others are not opened."""
+    return lake.bronze(endpoint).read().where((F.col(BATCH) > after) & (F.col(BATCH) <= upto))
 
-def ingest_endpoint(lake: Lakehouse, endpoint: Endpoint, pages_path: str) -> bool:
-    """Store the landed pages that were not read before; False when there are none.
 
-    A page is known by its path: corrected contents have to land under a new name.
-    """
-    pages = read_pages(lake.spark, pages_path, endpoint.record)
-    read_before = lake.pages_read(endpoint.name)
-    if read_before.exists():
-        pages = pages.join(read_before.read().select(PAGE), PAGE, "left_anti")
-    noted = lake.pages_read(endpoint.name).labels() if read_before.exists() else 0
-    return ingest_pages(lake, endpoint.name, pages, noted + 1)
+def byte_size(df: DataFrame) -> int:
+    """Bytes of the values, from one aggregate: text as long as it is, anything else eight."""
+    def size(name: str, kind: str) -> Column:
+        return F.coalesce(F.octet_length(name), F.lit(0)).cast("long") if kind == "string" else F.lit(8).cast("long")
 
-
-def ingest_to_bronze(lake: Lakehouse, landing: str) -> None:
-    ensure_metadata(lake)
-    ingest_merchants(lake, f"{landing}/merchants")
-    for endpoint in ENDPOINTS:
-        ingest_endpoint(lake, endpoint, f"{landing}/{endpoint.name}")
+    sizes = [size(name, kind) for name, kind in df.dtypes]
+    total = sizes[0]
+    for more in sizes[1:]:
+        total = total + more
+    return df.agg(F.coalesce(F.sum(total), F.lit(0))).first()[0]
 
 
 # -- Silver ------------------------------------------------------------------------------------------------------------
 
 @dataclass(frozen=True)
 class Batch:
-    """What Silver takes in one run: the sound rows, and the label that a repeated run uses again."""
+    """What Silver takes in one run: the sound rows, and the Bronze batches (after, upto] they come from."""
 
     rows: DataFrame
-    stored: int
-    label: str
+    after: int
+    upto: int
 
 
-def _new_rows(lake: Lakehouse, name: str) -> Batch | None:
-    """The batches that Silver has not taken; their rows that cannot be trusted go to quarantine as they landed."""
-    stored, taken = batches(lake, name)
-    if stored == taken or not lake.bronze(name).exists():
+def _take(lake: Lakehouse, name: str) -> Batch | None:
+    """Fix the batches this run takes; their rows that cannot be trusted go to quarantine as they landed."""
+    lake.start()
+    _finish(lake, name)
+    state = lake.progress.of(SILVER, f"silver_{name}")
+    upto = state.pending or stored_batches(lake, name)
+    if upto <= state.batch:
         return None
-    batch = bronze_after(lake, name, taken)
-    if batch.isEmpty():
+    lake.progress.save(SILVER, f"silver_{name}", pending=upto)
+    if not lake.bronze(name).exists():  # batches without a single record
+        lake.progress.save(SILVER, f"silver_{name}", batch=upto, pending=None)
         return None
+    batch = bronze_batches(lake, name, state.batch, upto)
     unread = F.transform(UNREADABLE, lambda field: F.concat(F.lit("unreadable "), field))
     ahead = F.when(F.col("updated_at") > F.lit(lake.started_at), F.lit("updated_at after the start of the run"))
     reasons = F.array_compact(F.concat(F.coalesce(unread, F.array().cast("array<string>")), F.array(ahead)))
     judged = batch.withColumn(quality.REASONS, reasons)
-    label = f"after batch {taken}"
-    lake.quarantine(f"landed_{name}").append(judged.where(F.size(quality.REASONS) > 0), label)
+    lake.quarantine(f"landed_{name}").put(
+        judged.where(F.size(quality.REASONS) > 0), TAKEN_FROM, state.batch + 1
+    )
     sound = judged.where(F.size(quality.REASONS) == 0).drop(quality.REASONS, UNREADABLE, PAGE, BATCH)
-    return Batch(sound, stored, label)
+    return Batch(sound, state.batch, upto)
 
 
-def _taken(lake: Lakehouse, name: str, batch: Batch, checked: DataFrame) -> None:
-    save_mark(lake, watermark.newest(checked, "bronze_to_silver", f"silver_{name}", not_after=lake.started_at))
-    save_batches(lake, name, batches(lake, name)[0], batch.stored)
+def _mark(lake: Lakehouse, name: str, checked: DataFrame) -> datetime | None:
+    newest = watermark.newest(checked, SILVER, f"silver_{name}", not_after=lake.started_at)
+    return newest.first()[watermark.MARK]
 
 
 def _checked(lake: Lakehouse, name: str, cleaned: DataFrame, rules: list[quality.Rule]) -> DataFrame:
@@ -199,23 +117,20 @@ def _checked(lake: Lakehouse, name: str, cleaned: DataFrame, rules: list[quality
     return lake.spark.read.schema(assessed.schema).parquet(folder)
 
 
-def _reference_check(
-    lake: Lakehouse, name: str, rows: DataFrame, key_rows: dict[str, int]
-) -> Callable[[DataFrame, list[Reference]], DataFrame]:
-    """Choose the plan of the referential checks by the measured size of each key set.
-
-    ``rows`` are the standardised rows before deduplication: their distinct keys come from single-column scans.
-    """
+def _reference_check(lake: Lakehouse, name: str, key_bytes: dict[str, int]) -> Callable[[DataFrame, list[Reference]], DataFrame]:
+    """Choose the plan of the referential checks by the measured size of each key set."""
 
     def check(newest: DataFrame, refs: list[Reference]) -> DataFrame:
-        small = [
-            ref._replace(keys=F.broadcast(ref.keys)) for ref in refs if key_rows[ref.column] <= SMALL_DIMENSION
-        ]
-        large = [ref for ref in refs if key_rows[ref.column] > SMALL_DIMENSION]
+        small = [ref._replace(keys=F.broadcast(ref.keys)) for ref in refs if key_bytes[ref.column] <= SMALL_BYTES]
+        large = [ref for ref in refs if key_bytes[ref.column] > SMALL_BYTES]
         if large:
-            # stored, so that the joins below are planned with the real size of the missing keys
+            # stored, so that the rows are deduplicated once and the joins below are planned with the real size of the
+            # missing keys
+            rows = lake.scratch(f"newest_{name}")
+            newest.write.mode("overwrite").parquet(rows)
+            newest = lake.spark.read.schema(newest.schema).parquet(rows)
             folder = lake.scratch(f"missing_{name}")
-            absent = references.missing_keys(rows, large)
+            absent = references.missing_keys(newest, large)
             absent.write.mode("overwrite").partitionBy("reference_column").parquet(folder)
             stored = lake.spark.read.schema(absent.schema).parquet(folder)
             newest = references.flag_by_exception(newest, large, stored)
@@ -224,108 +139,140 @@ def _reference_check(
     return check
 
 
-def _current_customer_keys(lake: Lakehouse) -> DataFrame:
-    return history.current(lake.silver("customers").read()).select("customer_id")
+def _keys_of(lake: Lakehouse, name: str, key: str) -> DataFrame:
+    """The keys of a Silver table; none while it is not there."""
+    if not lake.progress.of(SILVER, f"silver_{name}").batch:
+        return lake.spark.createDataFrame([], f"{key} string")
+    rows = lake.silver(name).read()
+    return (history.current(rows) if name == "customers" else rows).select(key)
 
 
 def _stored_report(lake: Lakehouse, name: str, report: DataFrame) -> DataFrame:
     """The report, kept under the run: later runs neither change nor lose it."""
-    columns = report.columns
-    lake.reports(name).append(report.withColumn("run_id", F.lit(lake.run_id)), f"{lake.run_id} {name}")
-    return lake.reports(name).read().where(F.col("run_id") == lake.run_id).select(*columns)
+    lake.reports(name).put(report, "run_id", lake.run_id)
+    return lake.reports(name).read().where(F.col("run_id") == lake.run_id).select(*report.columns)
 
 
-def process_merchants(lake: Lakehouse) -> DataFrame:
-    raw = lake.bronze("merchants").read()
+# -- moving the next state into a table --------------------------------------------------------------------------------
+
+def _stage(lake: Lakehouse, name: str, batch: Batch, rows: DataFrame, mark: datetime | None) -> None:
+    """Write the next state of the touched buckets (or of the whole table) beside the table, then move it in."""
+    stored = lake.silver(name).schema
+    schema = merged_schema(f"silver_{name}", stored, rows.schema)
+    partition = [BUCKET] if BUCKET in rows.columns else []
+    lake.staging(name).replace(fitted(rows, schema), *partition)
+    lake.progress.save(
+        SILVER, f"silver_{name}", mark, pending=batch.upto, staged=True, table_schema=schema.json()
+    )
+    _finish(lake, name)
+
+
+def _finish(lake: Lakehouse, name: str) -> None:
+    """Move what is staged, if anything is, into the table."""
+    state = lake.progress.of(SILVER, f"silver_{name}")
+    if not state.staged:
+        return
+    staged, table = lake.staging(name, state.schema).read(), lake.silver(name)
+    if BUCKET in state.schema.names and state.batch:
+        table.replace_parts(staged, BUCKET)
+    else:  # the first load, or a table without buckets
+        table.replace(staged, *([BUCKET] if BUCKET in state.schema.names else []))
+    lake.progress.save(SILVER, f"silver_{name}", batch=state.pending, pending=None, staged=False)
+
+
+def _upserted(lake: Lakehouse, name: str, key: str, good: DataFrame, updates: tuple[str, ...]) -> DataFrame:
+    """The next state of the buckets that hold keys of ``good``; no other bucket is opened."""
+    incoming = with_bucket(good, key, lake.buckets)
+    if not lake.progress.of(SILVER, f"silver_{name}").batch:
+        return incoming
+    stored = lake.silver(name).buckets(touched_buckets(incoming))
+    return with_bucket(upsert(stored.drop(BUCKET), good, [key], updates, "updated_at"), key, lake.buckets)
+
+
+# -- the four stages ---------------------------------------------------------------------------------------------------
+
+def process_merchants(lake: Lakehouse) -> DataFrame | None:
+    """The last load of the merchants, whole."""
+    lake.start()
+    _finish(lake, "merchants")
+    upto = stored_batches(lake, "merchants")
+    if not upto:
+        return None
+    raw = bronze_batches(lake, "merchants", upto - 1, upto)
     checked = _checked(lake, "merchants", cleaning.clean_merchants(raw), cleaning.merchant_rules())
-    lake.quarantine("merchants").overwrite(quality.bad_rows_first_reason(checked))
-    lake.silver("merchants").overwrite(quality.good_rows(checked))
+    lake.quarantine("merchants").replace(quality.bad_rows_first_reason(checked))
+    _stage(lake, "merchants", Batch(raw, upto - 1, upto), quality.good_rows(checked), None)
     return _stored_report(lake, "merchants", quality.report(raw, checked))
 
 
 def process_customers(lake: Lakehouse) -> DataFrame | None:
-    """Historised customers, stored by ``is_current``: a run rewrites the current versions and only adds the closed."""
-    batch = _new_rows(lake, "customers")
+    """Historised customers. Every accepted row is kept as a change, by key bucket and run; the versions of the touched buckets
+    are made from all their changes, so rows that arrive late open or correct the version they belong to."""
+    batch = _take(lake, "customers")
     if batch is None:
         return None
     checked = _checked(lake, "customers", cleaning.clean_customers(batch.rows), cleaning.customer_rules())
-    lake.quarantine("customers").append(quality.bad_rows_first_reason(checked), batch.label)
-    good = quality.good_rows(checked)
-    silver = lake.silver("customers")
+    lake.quarantine("customers").put(quality.bad_rows_first_reason(checked), TAKEN_FROM, batch.after + 1)
+    good = with_bucket(quality.good_rows(checked), "customer_id", lake.buckets)
     spec = cleaning.CUSTOMER_HISTORY
-    if silver.exists():
-        versions = history.next_versions(silver.read(), good, spec)
-        silver.replace_partitions(versions, "is_current", ["true"])
+    buckets = touched_buckets(good)
+    first = not batch.after
+    if first:
+        kinds = good.select(F.lit(history.NEW).alias("change_type"))
     else:
-        silver.overwrite(history.first_load(good, spec), partition_by="is_current")
-    _taken(lake, "customers", batch, checked)
+        kinds = history.classify(lake.silver("customers").buckets(buckets), good.drop(BUCKET), spec)
+    _stored_report(lake, "customer_changes", history.change_report(kinds))
+    changes = lake.table("silver", "customer_changes", customer_changes_schema(good))
+    changes.replace_parts(good.withColumn(TAKEN_FROM, F.lit(batch.after + 1).cast("long")), BUCKET, TAKEN_FROM)
+    versions = history.versions_of(changes.buckets(buckets).drop(BUCKET, TAKEN_FROM), spec)
+    versions = with_bucket(versions, "customer_id", lake.buckets)
+    schema = merged_schema("silver_customers", lake.silver("customers").schema, versions.schema)
+    table = lake.table("silver", "customers", schema)
+    # made from the changes alone: a run that dies here makes them again
+    (table.replace if first else table.replace_parts)(fitted(versions, schema), BUCKET)
+    lake.progress.save(
+        SILVER, "silver_customers", _mark(lake, "customers", checked), batch=batch.upto, pending=None,
+        table_schema=schema.json(),
+    )
     return _stored_report(lake, "customers", quality.report(batch.rows, checked))
 
 
+def customer_changes_schema(good: DataFrame):
+    return good.withColumn(TAKEN_FROM, F.lit(0).cast("long")).schema
+
+
 def process_cards(lake: Lakehouse) -> DataFrame | None:
-    batch = _new_rows(lake, "cards")
+    batch = _take(lake, "cards")
     if batch is None:
         return None
-    customer_keys = _current_customer_keys(lake)
-    rows = cleaning.standardise_cards(batch.rows)
-    check = _reference_check(lake, "cards", rows, {"card_holder_id": customer_keys.count()})
+    customer_keys = _keys_of(lake, "customers", "customer_id")
+    check = _reference_check(lake, "cards", {"card_holder_id": byte_size(customer_keys)})
     cleaned = cleaning.clean_cards(batch.rows, customer_keys, check)
     checked = _checked(lake, "cards", cleaned, cleaning.card_rules())
     bad = quality.bad_rows_first_reason(checked).drop(*cleaning.CARD_HELPERS)
-    lake.quarantine("cards").append(bad, batch.label)
+    lake.quarantine("cards").put(bad, TAKEN_FROM, batch.after + 1)
     good = quality.good_rows(checked).drop(*cleaning.CARD_HELPERS)
-    silver = lake.silver("cards")
-    silver.overwrite(
-        upsert(silver.read(), good, ["card_id"], cleaning.CARD_UPDATES, "updated_at") if silver.exists() else good
-    )
-    _taken(lake, "cards", batch, checked)
+    merged = _upserted(lake, "cards", "card_id", good, cleaning.CARD_UPDATES)
+    _stage(lake, "cards", batch, merged, _mark(lake, "cards", checked))
     return _stored_report(lake, "cards", quality.report(batch.rows, checked))
 
 
-def _with_storage_month(transactions: DataFrame) -> DataFrame:
-    return transactions.withColumn(STORAGE_MONTH, month_of(F.col("transaction_timestamp")))
-
-
-def save_transactions(silver: Table, good: DataFrame) -> None:
-    """Upsert into the transactions stored by month, rewriting only the months that the batch touches."""
-    incoming = _with_storage_month(good)
-    if not silver.exists():
-        silver.overwrite(incoming, partition_by=STORAGE_MONTH)
-        return
-    stored = silver.read()
-    # a handful of months, never rows: the list is as long as the business is old
-    months = [row[0] for row in touched_partitions(stored, incoming, ["transaction_id"], STORAGE_MONTH).collect()]
-    if not months:
-        return
-    dated = [month for month in months if month is not None]
-    in_months: Column = F.col(STORAGE_MONTH).isin(dated)
-    if None in months:
-        in_months = in_months | F.col(STORAGE_MONTH).isNull()
-    merged = upsert(
-        stored.where(in_months), incoming, ["transaction_id"], cleaning.TRANSACTION_UPDATES, "updated_at"
-    )
-    names = [NULL_PARTITION if month is None else month.isoformat() for month in months]
-    silver.replace_partitions(_with_storage_month(merged), STORAGE_MONTH, names)
-
-
 def process_transactions(lake: Lakehouse) -> DataFrame | None:
-    batch = _new_rows(lake, "transactions")
+    batch = _take(lake, "transactions")
     if batch is None:
         return None
-    customer_keys = _current_customer_keys(lake)
-    card_keys = lake.silver("cards").read().select("card_id")
-    merchant_keys = lake.silver("merchants").read().select("merchant_id")
-    sizes = {
-        "customer_id": customer_keys.count(), "card_id": card_keys.count(), "merchant_id": merchant_keys.count(),
+    keys = {
+        "customer_id": _keys_of(lake, "customers", "customer_id"), "card_id": _keys_of(lake, "cards", "card_id"),
+        "merchant_id": _keys_of(lake, "merchants", "merchant_id"),
     }
-    check = _reference_check(lake, "transactions", cleaning.standardise_transactions(batch.rows), sizes)
-    cleaned = cleaning.clean_transactions(batch.rows, customer_keys, card_keys, merchant_keys, check)
+    check = _reference_check(lake, "transactions", {column: byte_size(known) for column, known in keys.items()})
+    cleaned = cleaning.clean_transactions(batch.rows, *keys.values(), check)
     checked = _checked(lake, "transactions", cleaned, cleaning.transaction_rules())
     bad = quality.bad_rows(checked).drop(*cleaning.TRANSACTION_HELPERS)
-    lake.quarantine("transactions").append(bad, batch.label)
+    lake.quarantine("transactions").put(bad, TAKEN_FROM, batch.after + 1)
     good = quality.good_rows(checked).drop("is_negative_amount_valid", *cleaning.TRANSACTION_HELPERS)
-    save_transactions(lake.silver("transactions"), good)
-    _taken(lake, "transactions", batch, checked)
+    merged = _upserted(lake, "transactions", "transaction_id", good, cleaning.TRANSACTION_UPDATES)
+    _stage(lake, "transactions", batch, merged, _mark(lake, "transactions", checked))
     return _stored_report(lake, "transactions", quality.report(batch.rows, checked))
 
 
@@ -342,14 +289,17 @@ def bronze_to_silver(lake: Lakehouse) -> dict[str, DataFrame | None]:
 # -- Gold --------------------------------------------------------------------------------------------------------------
 
 def _rebuild(lake: Lakehouse, name: str, mart: DataFrame) -> None:
-    lake.gold(name).overwrite(mart)
-    now = datetime.now(timezone.utc)
-    save_mark(lake, watermark.ran_at(lake.spark, "silver_to_gold", name, now))
+    lake.start()
+    table = lake.table("gold", name, mart.schema)
+    table.replace(mart)
+    lake.progress.save(
+        GOLD, name, datetime.now(), row_count=table.read().count(), table_schema=mart.schema.json()
+    )
 
 
 def build_spend_summary(lake: Lakehouse) -> None:
-    merchants = lake.silver("merchants").read()
-    if merchants.count() <= SMALL_DIMENSION:
+    merchants = lake.silver("merchants").read().select("merchant_id", "merchant_category")
+    if byte_size(merchants) <= SMALL_BYTES:
         merchants = F.broadcast(merchants)
     mart = marts.spend_summary(lake.silver("transactions").read(), merchants)
     _rebuild(lake, "customers_spend_summary", mart)
@@ -375,10 +325,10 @@ def silver_to_gold(lake: Lakehouse, as_of: Column | None = None) -> None:
 
 
 def run_pipeline(
-    spark: SparkSession, warehouse: str, landing: str, as_of: Column | None = None
+    spark: SparkSession, warehouse: str, landing: str, as_of: Column | None = None, buckets: int = 16
 ) -> dict[str, DataFrame | None]:
     """One complete run over whatever has landed since the last one."""
-    lake = Lakehouse(spark, warehouse)
+    lake = Lakehouse(spark, warehouse, buckets)
     ingest_to_bronze(lake, landing)
     reports = bronze_to_silver(lake)
     silver_to_gold(lake, as_of)

@@ -66,9 +66,12 @@ TRACKED_TABLES = (
     ("silver_to_gold", "customer_segmentation_summary"),
 )
 
-# How many batches of an endpoint have been stored, and how many of them Silver has taken.
-BATCHES = T.StructType([
-    T.StructField("endpoint", T.StringType(), False),
-    T.StructField("stored", T.LongType(), False),
-    T.StructField("taken", T.LongType(), False),
+# The metadata with what the stages need to go on after a crash (see plans.progress).
+PROGRESS = T.StructType([
+    *PIPELINE_METADATA.fields,
+    T.StructField("batch", T.LongType()),
+    T.StructField("row_count", T.LongType()),
+    T.StructField("pending", T.LongType()),
+    T.StructField("staged", T.BooleanType()),
+    T.StructField("table_schema", T.StringType()),
 ])

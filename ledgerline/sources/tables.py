@@ -1,109 +1,115 @@
-"""Layer tables kept as Parquet folders with whole-table commits.
+"""Layer tables: plain Parquet folders, most of them partitioned.
 
-Parquet has no MERGE, and overwriting a folder that the same plan reads destroys the input. A commit therefore writes
-new folders next to the old ones and then publishes the list of folders that make up the table:
-
-    <root>/data/v=7/...             the Parquet files written by commit 7 (partition folders below, if any)
-    <root>/versions/v=7/part-*      one line of JSON: the schema and the folders of the table after commit 7
-
-A reader takes the newest published version, so a job that dies half-way leaves the table as it was. Only folders that
-changed are written: an append adds one, and a partitioned commit replaces just the partitions it names.
+Spark writes and reads them like any other folder; nothing lists their files. What a run replaces is a partition: a batch
+of Bronze or of a quarantine, a key bucket of Silver or Gold. The stage drivers see to it that a run that dies
+is repeated or finished (see ``plans.progress``), so a table needs no history of its own.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Iterable
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Spark's folder name for a missing partition value.
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+BUCKET = "bucket"
 
+# From each type to those that hold all its values: Parquet files of the old type are read as the new one.
+WIDER = {
+    "tinyint": ("smallint", "int", "bigint", "double"),
+    "smallint": ("int", "bigint", "double"),
+    "int": ("bigint", "double"),
+    "float": ("double",),
+    "date": ("timestamp_ntz",),
+}
 
-class Table:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
 
-    # -- reading --------------------------------------------------------------------------------------------------
+class SchemaChange(ValueError):
+    """A batch whose columns do not fit the stored ones."""
+
+
+def merged_schema(name: str, stored: T.StructType | None, batch: T.StructType) -> T.StructType:
+    """The stored columns, widened where the batch has a wider type, and the batch's further ones. Refuses, by name, a
+    batch with a type that is narrower than the stored one or has nothing to do with it. All columns may be null."""
+    if stored is None:
+        return T.StructType([T.StructField(f.name, f.dataType) for f in batch.fields])
+    incoming = {field.name: field.dataType for field in batch.fields}
+    fields = []
+    for field in stored.fields:
+        old, new = field.dataType, incoming.pop(field.name, field.dataType)
+        if _plain(new) != _plain(old) and new.simpleString() not in WIDER.get(old.simpleString(), ()):
+            raise SchemaChange(f"{name}.{field.name} is {old.simpleString()}, the batch has {new.simpleString()}")
+        fields.append(T.StructField(field.name, old if _plain(new) == _plain(old) else new))
+    return T.StructType(fields + [T.StructField(name, kind) for name, kind in incoming.items()])
+
+
+def _plain(kind: T.DataType) -> str:
+    return kind.simpleString()
+
+
+def fitted(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """df with exactly these columns; those it lacks are typed NULLs."""
+    def column(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`") if field.name in df.columns else F.lit(None)
+        return value.cast(field.dataType).alias(field.name)
+
+    return df.select(*[column(field) for field in schema.fields])
+
 
-    def _published(self) -> dict | None:
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    return df.withColumn(BUCKET, bucket_of(key, buckets))
+
+
+def touched_buckets(df: DataFrame) -> list[int]:
+    """The buckets these rows fall into: no more values than a table has buckets."""
+    return sorted(row[0] for row in df.select(BUCKET).distinct().collect())
+
+
+class Table:
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType | None = None):
+        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+
+    def exists(self) -> bool:
         try:
-            versions = self.spark.read.schema("value string, v long").text(f"{self.root}/versions")
-            row = versions.agg(F.max_by("value", "v").alias("value")).first()
+            self.read()
         except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return False
             raise
-        return json.loads(row["value"]) if row["value"] else None
-
-    def exists(self) -> bool:
-        return self._published() is not None
+        return True
 
     def read(self) -> DataFrame:
-        """The table as of now. Later commits do not change a DataFrame that was already read."""
-        published = self._published()
-        if published is None:
-            raise FileNotFoundError(f"no published version under {self.root}")
-        schema = T.StructType.fromJson(published["schema"])
-        folders = [f"{self.root}/data/{entry['path']}" for entry in published["folders"]]
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        files = self.spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(*folders)
-        return files.select(*schema.names)
-
-    def labels(self) -> int:
-        """The number of different labels under which rows were appended."""
-        published = self._published()
-        return len({entry["label"] for entry in published["folders"]}) if published else 0
-
-    # -- committing -----------------------------------------------------------------------------------------------
-
-    def overwrite(self, df: DataFrame, partition_by: str | None = None) -> None:
-        self._commit(df, partition_by, None, keep=lambda entry: False)
-
-    def append(self, df: DataFrame, label: str, partition_by: str | None = None) -> None:
-        """Add rows under a label. Appending the same label again replaces its rows, so a rerun adds nothing twice."""
-        self._commit(df, partition_by, label, keep=lambda entry: entry["label"] != label)
-
-    def replace_partitions(self, df: DataFrame, partition_by: str, values: Iterable[str]) -> None:
-        """Rewrite the partitions with these values (as they appear in folder names) and keep all others.
-
-        Values that ``df`` holds but that are not named are added to the partition.
-        """
-        replaced = {f"{partition_by}={value}" for value in values}
-        self._commit(df, partition_by, None, keep=lambda entry: entry["path"].split("/")[-1] not in replaced)
-
-    def _commit(
-        self, df: DataFrame, partition_by: str | None, label: str | None, keep: Callable[[dict], bool]
-    ) -> None:
-        published = self._published() or {"version": 0, "folders": []}
-        version = published["version"] + 1
-        folder = f"{self.root}/data/v={version}"
-        writer = df.write.mode("overwrite")
-        if partition_by is not None:
-            # AQE merges small and splits large partition values into files of a sensible size
-            writer = df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by)
-        writer.parquet(folder)
-        written = self._written_folders(folder, version, df.schema, partition_by)
-        entries = [entry for entry in published["folders"] if keep(entry)]
-        entries += [{"path": path, "label": label} for path in written]
-        self._publish({"version": version, "schema": json.loads(df.schema.json()), "folders": entries})
-
-    def _written_folders(
-        self, folder: str, version: int, schema: T.StructType, partition_by: str | None
-    ) -> list[str]:
-        if partition_by is None:
-            return [f"v={version}"]
-        # Only the partition column is read: one value for each partition reaches the driver, not one for each file.
-        values = self.spark.read.schema(schema).parquet(folder).select(F.col(partition_by).cast("string")).distinct()
-        names = [NULL_PARTITION if row[0] is None else row[0] for row in values.collect()]
-        return sorted(f"v={version}/{partition_by}={name}" for name in names)
-
-    def _publish(self, state: dict) -> None:
-        line = self.spark.range(1, numPartitions=1).select(F.lit(json.dumps(state)).alias("value"))
-        line.write.mode("overwrite").text(f"{self.root}/versions/v={state['version']}")
+        """The table as it is when the result is computed. Columns that older files lack are NULL, narrower types are
+        read as the present ones."""
+        if self.schema is None:
+            return self.spark.read.option("mergeSchema", True).parquet(self.root)
+        return self.spark.read.schema(self.schema).parquet(self.root)
+
+    def buckets(self, numbers: Sequence[int]) -> DataFrame:
+        """Only the files of these buckets."""
+        return self.read().where(F.col(BUCKET).isin(list(numbers)))
+
+    def replace(self, df: DataFrame, *partition_by: str) -> None:
+        """The whole table anew. df must not read it."""
+        _writer(df, partition_by).parquet(self.root)
+
+    def replace_parts(self, df: DataFrame, *partition_by: str) -> None:
+        """The partitions that df has rows for; each appears whole, by a rename. The others stay, df must not read these."""
+        _writer(df, partition_by).option("partitionOverwriteMode", "dynamic").parquet(self.root)
+
+    def put(self, df: DataFrame, partition: str, value: object) -> None:
+        """One partition, also where df is empty and there are rows to remove."""
+        df.write.mode("overwrite").parquet(f"{self.root}/{partition}={value}")
+
+
+def _writer(df: DataFrame, partition_by: Sequence[str]):
+    if not partition_by:
+        return df.write.mode("overwrite")
+    # AQE merges small and splits large partition values into files of a sensible size
+    return df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)

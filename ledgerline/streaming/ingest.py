@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerline.plans.ingestion import ENDPOINTS, Endpoint, ingest_micro_batch
 from ledgerline.plans.layout import Lakehouse
-from ledgerline.plans.pipeline import ENDPOINTS, Endpoint, ensure_metadata, ingest_pages
 from ledgerline.schemas import CORRUPT, page_of
 from ledgerline.sources.landing import with_faults
 
@@ -32,18 +32,13 @@ def ingest_available(
 ) -> StreamingQuery:
     """Store all pages that landed since the last call in Bronze, as one batch or more.
 
-    A micro-batch repeated after a failure holds the same pages; those that are already noted as read are left out, so
-    nothing is stored twice, also where the batch driver has read them. Silver takes every stored batch, whatever
-    the dates of its rows, and picks the newest row of each key.
+    The stream's checkpoint and the intents of Bronze agree through the pages: those that any batch holds, also one of the
+    batch driver, are left out, so a micro-batch repeated after a failure stores nothing twice.
     """
-    ensure_metadata(lake)
+    lake.start()
 
     def write(batch: DataFrame, _: int) -> None:
-        read_before = lake.pages_read(endpoint.name)
-        if read_before.exists():
-            batch = batch.join(read_before.read().select("page"), "page", "left_anti")
-        noted = read_before.labels() if read_before.exists() else 0
-        ingest_pages(lake, endpoint.name, batch, noted + 1)
+        ingest_micro_batch(lake, endpoint, batch, pages_path)
 
     stream = page_stream(lake.spark, endpoint, pages_path, files_per_batch)
     return (

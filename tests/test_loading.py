@@ -8,7 +8,8 @@ from datetime import datetime
 import pytest
 
 from ledgerline import schemas
-from ledgerline.plans.pipeline import batches, bronze_to_silver, ingest_merchants, ingest_to_bronze, last_mark
+from ledgerline.plans.ingestion import ingest_merchants, ingest_to_bronze
+from ledgerline.plans.pipeline import batches, bronze_to_silver, last_mark
 from ledgerline.sources.landing import read_csv
 from ledgerline.streaming.ingest import ingest_landing
 from test_pipeline import World, card, customer, transaction

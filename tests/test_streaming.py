@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from test_pipeline import World, card, customer, transaction
 
+from ledgerline.plans.ingestion import ingest_merchants
 from ledgerline.plans.layout import Lakehouse
-from ledgerline.plans.pipeline import bronze_to_silver, ingest_merchants
+from ledgerline.plans.pipeline import bronze_to_silver
 from ledgerline.streaming.ingest import ingest_landing
 
 

@@ -334,8 +334,7 @@ def pipeline_two_runs(layers: Layers) -> DataFrame:
     """Bronze, Silver and the spend mart as stored tables: a first load, then a run over the later transactions."""
     spark = layers.spark
     lake = scratch_lake(spark, "two_runs")
-    pipeline.ensure_metadata(lake)
-    lake.bronze("merchants").overwrite(layers.merchants_raw())
+    pipeline.ingest_batch(lake, "merchants", layers.merchants_raw())
     for endpoint, raw in (
         ("customers", layers.customers_raw()),
         ("cards", layers.cards_raw()),
@@ -382,8 +381,7 @@ def landed_pages(layers: Layers) -> DataFrame:
 def stored_quarantine(layers: Layers) -> DataFrame:
     """What one stored run has put into the quarantine tables."""
     lake = scratch_lake(layers.spark, "quarantine")
-    pipeline.ensure_metadata(lake)
-    lake.bronze("merchants").overwrite(layers.merchants_raw())
+    pipeline.ingest_batch(lake, "merchants", layers.merchants_raw())
     for endpoint, raw in (
         ("customers", layers.customers_raw()), ("cards", layers.cards_raw()), ("transactions", layers.transactions_raw()),
     ):
