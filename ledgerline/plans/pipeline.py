@@ -155,12 +155,14 @@ def _stored_report(lake: Lakehouse, name: str, report: DataFrame) -> DataFrame:
 
 # -- moving the next state into a table --------------------------------------------------------------------------------
 
-def _stage(lake: Lakehouse, name: str, batch: Batch, rows: DataFrame, mark: datetime | None) -> None:
+def _stage(
+    lake: Lakehouse, name: str, batch: Batch, rows: DataFrame, mark: datetime | None, in_place: bool = False
+) -> None:
     """Write the next state of the touched buckets (or of the whole table) beside the table, then move it in."""
     stored = lake.silver(name).schema
     schema = merged_schema(f"silver_{name}", stored, rows.schema)
     partition = [BUCKET] if BUCKET in rows.columns else []
-    lake.staging(name).replace(fitted(rows, schema), *partition)
+    lake.staging(name).replace(fitted(rows, schema), *partition, in_place=in_place)
     lake.progress.save(
         SILVER, f"silver_{name}", mark, pending=batch.upto, staged=True, table_schema=schema.json()
     )
@@ -180,13 +182,23 @@ def _finish(lake: Lakehouse, name: str) -> None:
     lake.progress.save(SILVER, f"silver_{name}", batch=state.pending, pending=None, staged=False)
 
 
-def _upserted(lake: Lakehouse, name: str, key: str, good: DataFrame, updates: tuple[str, ...]) -> DataFrame:
-    """The next state of the buckets that hold keys of ``good``; no other bucket is opened."""
+def _upserted(
+    lake: Lakehouse, name: str, key: str, good: DataFrame, updates: tuple[str, ...], small: bool = False
+) -> DataFrame:
+    """The next state of the buckets that hold keys of ``good``; no other bucket is opened. For a batch that is ``small``
+    the stored rows are not moved either."""
     incoming = with_bucket(good, key, lake.buckets)
     if not lake.progress.of(SILVER, f"silver_{name}").batch:
         return incoming
     stored = lake.silver(name).buckets(touched_buckets(incoming))
-    return with_bucket(upsert(stored.drop(BUCKET), good, [key], updates, "updated_at"), key, lake.buckets)
+    return upsert(stored, incoming, [key], updates, "updated_at", source_is_small=small)
+
+
+def _save(
+    lake: Lakehouse, name: str, key: str, batch: Batch, good: DataFrame, updates: tuple[str, ...], mark: datetime | None
+) -> None:
+    small = bool(batch.after) and byte_size(good) <= SMALL_BYTES
+    _stage(lake, name, batch, _upserted(lake, name, key, good, updates, small), mark, in_place=small)
 
 
 # -- the four stages ---------------------------------------------------------------------------------------------------
@@ -252,8 +264,7 @@ def process_cards(lake: Lakehouse) -> DataFrame | None:
     bad = quality.bad_rows_first_reason(checked).drop(*cleaning.CARD_HELPERS)
     lake.quarantine("cards").put(bad, TAKEN_FROM, batch.after + 1)
     good = quality.good_rows(checked).drop(*cleaning.CARD_HELPERS)
-    merged = _upserted(lake, "cards", "card_id", good, cleaning.CARD_UPDATES)
-    _stage(lake, "cards", batch, merged, _mark(lake, "cards", checked))
+    _save(lake, "cards", "card_id", batch, good, cleaning.CARD_UPDATES, _mark(lake, "cards", checked))
     return _stored_report(lake, "cards", quality.report(batch.rows, checked))
 
 
@@ -271,8 +282,8 @@ def process_transactions(lake: Lakehouse) -> DataFrame | None:
     bad = quality.bad_rows(checked).drop(*cleaning.TRANSACTION_HELPERS)
     lake.quarantine("transactions").put(bad, TAKEN_FROM, batch.after + 1)
     good = quality.good_rows(checked).drop("is_negative_amount_valid", *cleaning.TRANSACTION_HELPERS)
-    merged = _upserted(lake, "transactions", "transaction_id", good, cleaning.TRANSACTION_UPDATES)
-    _stage(lake, "transactions", batch, merged, _mark(lake, "transactions", checked))
+    mark = _mark(lake, "transactions", checked)
+    _save(lake, "transactions", "transaction_id", batch, good, cleaning.TRANSACTION_UPDATES, mark)
     return _stored_report(lake, "transactions", quality.report(batch.rows, checked))
 
 

@@ -89,15 +89,16 @@ class Table:
         read as the present ones."""
         if self.schema is None:
             return self.spark.read.option("mergeSchema", True).parquet(self.root)
-        return self.spark.read.schema(self.schema).parquet(self.root)
+        return self.spark.read.schema(self.schema).parquet(self.root).select(*self.schema.names)
 
     def buckets(self, numbers: Sequence[int]) -> DataFrame:
         """Only the files of these buckets."""
         return self.read().where(F.col(BUCKET).isin(list(numbers)))
 
-    def replace(self, df: DataFrame, *partition_by: str) -> None:
-        """The whole table anew. df must not read it."""
-        _writer(df, partition_by).parquet(self.root)
+    def replace(self, df: DataFrame, *partition_by: str, in_place: bool = False) -> None:
+        """The whole table anew. df must not read it. ``in_place`` writes the rows where they are, without a shuffle: for
+        rows that stand together by partition already."""
+        _writer(df, partition_by, in_place).parquet(self.root)
 
     def replace_parts(self, df: DataFrame, *partition_by: str) -> None:
         """The partitions that df has rows for; each appears whole, by a rename. The others stay, df must not read these."""
@@ -108,8 +109,8 @@ class Table:
         df.write.mode("overwrite").parquet(f"{self.root}/{partition}={value}")
 
 
-def _writer(df: DataFrame, partition_by: Sequence[str]):
+def _writer(df: DataFrame, partition_by: Sequence[str], in_place: bool = False):
     if not partition_by:
         return df.write.mode("overwrite")
     # AQE merges small and splits large partition values into files of a sensible size
-    return df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
+    return (df if in_place else df.hint("rebalance", *partition_by)).write.mode("overwrite").partitionBy(*partition_by)

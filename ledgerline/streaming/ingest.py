@@ -10,25 +10,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline.plans.ingestion import ENDPOINTS, Endpoint, ingest_micro_batch
+from ledgerline.plans.ingestion import ENDPOINTS, PAGES_PER_BATCH, Endpoint, ingest_micro_batch
 from ledgerline.plans.layout import Lakehouse
-from ledgerline.schemas import CORRUPT, page_of
-from ledgerline.sources.landing import with_faults
+from ledgerline.sources.landing import page_path
 
 
-def page_stream(spark: SparkSession, endpoint: Endpoint, pages_path: str, files_per_batch: int) -> DataFrame:
-    pages = (
-        spark.readStream.schema(page_of(endpoint.record))
-        .option("multiLine", True)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(pages_path)
-    )
-    return with_faults(pages, pages_path)
+#: Fixed: the columns of Spark's binary file source.
+FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def page_stream(spark: SparkSession, pages_path: str, files_per_batch: int) -> DataFrame:
+    """The paths of newly landed pages. The stream opens no page: a batch reads those that it announces."""
+    files = spark.readStream.format("binaryFile").schema(FILE).option("maxFilesPerTrigger", files_per_batch)
+    return files.load(pages_path).select(page_path(pages_path))
 
 
 def ingest_available(
-    lake: Lakehouse, endpoint: Endpoint, pages_path: str, files_per_batch: int = 100_000
+    lake: Lakehouse, endpoint: Endpoint, pages_path: str, files_per_batch: int = PAGES_PER_BATCH
 ) -> StreamingQuery:
     """Store all pages that landed since the last call in Bronze, as one batch or more.
 
@@ -40,7 +38,7 @@ def ingest_available(
     def write(batch: DataFrame, _: int) -> None:
         ingest_micro_batch(lake, endpoint, batch, pages_path)
 
-    stream = page_stream(lake.spark, endpoint, pages_path, files_per_batch)
+    stream = page_stream(lake.spark, pages_path, files_per_batch)
     return (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", f"{lake.root}/checkpoints/{endpoint.name}")

@@ -6,12 +6,17 @@ import json
 from datetime import datetime
 
 import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline import schemas
-from ledgerline.plans.ingestion import ingest_merchants, ingest_to_bronze
+from ledgerline.plans import ingestion
+from ledgerline.plans.ingestion import BATCH, ENDPOINTS, ingest_batch, ingest_endpoint, ingest_merchants, ingest_to_bronze
 from ledgerline.plans.pipeline import batches, bronze_to_silver, last_mark
 from ledgerline.sources.landing import read_csv
-from ledgerline.streaming.ingest import ingest_landing
+from ledgerline.sources.tables import SchemaChange, Table
+from ledgerline.streaming.ingest import ingest_available, ingest_landing
 from test_pipeline import World, card, customer, transaction
 
 
@@ -95,3 +100,138 @@ def test_a_report_read_later_is_still_the_run_s_own(spark, tmp_path):
     world.land("customers", customer("C3", "2024-02-01 00:00:00"))
     ingest(world, False)
     assert first.first()["rows_loaded"] == 4
+
+
+# -- exactly once, whatever dies ---------------------------------------------------------------------------------------
+
+class Died(Exception):
+    pass
+
+
+def writes_that_die(monkeypatch, at):
+    """Die after the at-th write of a stored table (or of progress), or before the first one where ``at`` is 0."""
+    seen = []
+    for name in ("replace", "replace_parts", "put"):
+        real = getattr(Table, name)
+
+        def write(self, *args, _real=real, **options):
+            seen.append(self.root)
+            if at == 0:
+                raise Died
+            _real(self, *args, **options)
+            if len(seen) == at:
+                raise Died
+
+        monkeypatch.setattr(Table, name, write)
+
+
+def bronze_ids(world, endpoint="customers", key="customer_id"):
+    return sorted(r[0] for r in world.lake.bronze(endpoint).read().select(key).collect())
+
+
+@pytest.mark.parametrize("streamed", [False, True])
+def test_ingestion_that_dies_after_any_write_loses_and_repeats_nothing(spark, tmp_path, monkeypatch, streamed):
+    """Three loads of one page each, the second of which dies; once after every write it makes."""
+    endpoint = ENDPOINTS[0]
+    seed = World(spark, tmp_path / "seed")
+    seed.land("customers", customer("C1", "2024-01-01 00:00:00"))
+
+    def load(world):
+        folder = f"{world.landing}/customers"
+        if streamed:
+            ingest_available(world.lake, endpoint, folder).awaitTermination()
+        else:
+            ingest_endpoint(world.lake, endpoint, folder)
+
+    load(seed)
+    at, died = 0, True
+    while died:
+        if streamed:  # a stream's checkpoint names its folder
+            world = World(spark, tmp_path / f"at {at}")
+            world.land("customers", customer("C1", "2024-01-01 00:00:00"))
+            load(world)
+        else:
+            world = seed.copy(tmp_path / f"at {at}")
+        world.land("customers", customer("C2", "2024-01-02 00:00:00"))
+        (world.landing / "customers" / "cut[1] +a.json").write_text('{"data": [')
+        with monkeypatch.context() as patch:
+            writes_that_die(patch, at)
+            try:
+                load(world)
+                died = False
+            except (Died, StreamingQueryException):
+                pass
+        world.land("customers", customer("C3", "2024-01-03 00:00:00"))
+        load(world)
+        assert bronze_ids(world) == ["C1", "C2", "C3"], at
+        assert world.lake.quarantine("pages_customers").read().count() == 1, at
+        assert last_mark(world.lake, "ingest_to_bronze", "bronze_customers") == datetime(2024, 1, 3), at
+        at += 1
+    assert at == 5  # intent, quarantine, records, progress, and one load that did not die
+
+
+def test_all_ways_in_share_one_numbering(spark, tmp_path):
+    world = World(spark, tmp_path)
+    lake, endpoint, folder = world.lake, ENDPOINTS[0], f"{world.landing}/customers"
+    page = [T.StructField("customer_id", T.StringType()), T.StructField("updated_at", T.TimestampType())]
+    direct = spark.createDataFrame([("C1", datetime(2024, 1, 1))], T.StructType(page))
+    assert ingest_batch(lake, "customers", direct) == 1
+    world.land("customers", customer("C2", "2024-01-02 00:00:00"))
+    assert ingest_endpoint(lake, endpoint, folder) == 1
+    world.land("customers", customer("C3", "2024-01-03 00:00:00"))
+    ingest_available(lake, endpoint, folder).awaitTermination()
+    ingest_batch(lake, "customers", direct.replace("C1", "C4"))
+    assert bronze_ids(world) == ["C1", "C2", "C3", "C4"]
+    assert {(r[0], r[1]) for r in lake.bronze("customers").read().select("customer_id", BATCH).collect()} == {
+        ("C1", 1), ("C2", 2), ("C3", 3), ("C4", 4)}
+
+
+def test_many_pages_come_in_several_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingestion, "PAGES_PER_BATCH", 2)
+    world = World(spark, tmp_path)
+    for i in range(5):
+        world.land("customers", customer(f"C{i}", "2024-01-01 00:00:00"))
+    assert ingest_endpoint(world.lake, ENDPOINTS[0], f"{world.landing}/customers") == 3
+    assert bronze_ids(world) == [f"C{i}" for i in range(5)]
+
+
+def test_a_column_added_between_runs(spark, tmp_path):
+    """Old and new batches are read together, an older one again after a crash; a narrower type is refused by name."""
+    world = World(spark, tmp_path)
+    lake = world.lake
+    old = spark.createDataFrame([("K1", 1, datetime(2024, 1, 1))], "card_id string, points int, updated_at timestamp")
+    new = spark.createDataFrame(
+        [("K2", 2**40, datetime(2024, 1, 2), "gold")], "card_id string, points bigint, updated_at timestamp, tier string")
+    ingest_batch(lake, "cards", old)
+    ingest_batch(lake, "cards", new)
+    ingest_batch(lake, "cards", old.drop("points").replace("K1", "K3").withColumn("points", F.lit(7).cast("bigint")))
+    rows = {r["card_id"]: (r["points"], r["tier"]) for r in world.lake.bronze("cards").read().collect()}
+    assert rows == {"K1": (1, None), "K2": (2**40, "gold"), "K3": (7, None)}
+    with pytest.raises(SchemaChange, match="bronze_cards.points is bigint, the batch has int"):
+        ingest_batch(lake, "cards", old)
+    assert batches(world.lake, "cards") == (3, 0)
+
+
+def test_csv_records_that_do_not_fit_their_header(spark, tmp_path):
+    world = World(spark, tmp_path)
+    (world.landing / "merchants" / "more.csv").write_text(
+        "merchant_id,merchant_name,merchant_category,country,mcc_code,merchant_city\n"
+        "M4,shop,two,food,IN,1,Pune\nM5,short\n"
+        'M6,"two\nlines, one name",misc,india,7,pune\n"",blank,misc,india,1,delhi\n   ,blank,misc,india,1,delhi\n'
+    )
+    ingest_merchants(world.lake, f"{world.landing}/merchants")
+    bronze_to_silver(world.lake)
+    silver = world.silver("merchants")
+    assert set(silver) == {"M1", "M2", "M6"} and silver["M6"]["merchant_name"] == "Two\nlines, One Name"
+    faulty = {(r["page"], r["_corrupt_record"].strip()) for r in world.lake.quarantine("rows_merchants").read().collect()}
+    assert faulty == {("more.csv", "M4,shop,two,food,IN,1,Pune"), ("more.csv", "M5,short")}
+    bad = [r["failed_reason"] for r in world.lake.quarantine("merchants").read().collect()]
+    assert sorted(bad) == ["merchant_id_missing", "merchant_id_missing", "merchant_name_missing"]
+
+
+def test_blank_keys_are_no_keys(spark, tmp_path):
+    world = World(spark, tmp_path)
+    world.land("customers", *[customer(key, "2024-01-01 00:00:00") for key in ("", " ", "  ", None, "C1")])
+    ingest(world, False)
+    assert set(world.silver("customers")) == {"C1"}
+    assert world.lake.quarantine("customers").read().where("customer_id IS NULL").count() == 4

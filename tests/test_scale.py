@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import quality, references
 from ledgerline.operators.dedup import top_per_group, total_order
-from ledgerline.plans import cleaning, marts
-from ledgerline.plans.pipeline import save_transactions
-from ledgerline.sources.tables import Table
+from ledgerline.plans import cleaning, marts, pipeline
+from ledgerline.plans.layout import Lakehouse
+from ledgerline.sources.tables import touched_buckets, with_bucket
 
 HOT = 3
 
@@ -120,13 +120,43 @@ def test_verdict_is_compiled_and_reasons_are_not_built_for_good_rows(stored):
     assert "filter(" not in plan and "lambda" not in plan
 
 
-def test_an_update_rewrites_only_the_months_it_touches(spark, stored, tmp_path):
-    silver = Table(spark, str(tmp_path / "silver"))
-    save_transactions(silver, stored[0])
-    first = {entry["path"] for entry in silver._published()["folders"]}
+def files(table):
+    return {name.split("/bucket=")[1] for name in table.read().inputFiles()}
+
+
+def test_a_two_row_batch_opens_and_rewrites_only_its_buckets(spark, stored, tmp_path):
+    lake = Lakehouse(spark, str(tmp_path), buckets=16)
+    lake.start()
+    updates = cleaning.TRANSACTION_UPDATES
+
+    def saved(rows, number):
+        pipeline._save(lake, "transactions", "transaction_id", pipeline.Batch(rows, number - 1, number), rows, updates, None)
+
+    saved(stored[0], 1)
+    silver = lake.silver("transactions")
+    first = files(silver)
     batch = stored[0].where("transaction_id IN ('t5', 't6')").withColumn("transaction_status", F.lit("Reversed"))
-    save_transactions(silver, batch)
-    second = {entry["path"] for entry in silver._published()["folders"]}
-    assert len(first - second) == 1 and len(second - first) == 1 and len(first & second) > 3
+    batch = batch.withColumn("updated_at", F.col("updated_at") + F.expr("INTERVAL 1 DAY"))
+    buckets = {str(b) for b in touched_buckets(with_bucket(batch, "transaction_id", 16))}
+    assert 0 < len(buckets) <= 2
+
+    for small in (True, False):
+        plan = physical(pipeline._upserted(lake, "transactions", "transaction_id", batch, updates, small))
+        scans = [line for line in plan.splitlines() if "FileScan" in line and "bucket#" in line]
+        assert scans and all("bucket" in line[line.index("PartitionFilters"):line.index("PushedFilters")] for line in scans)
+        assert (plan.count("Exchange hashpartitioning") == 0) == small  # a small batch is brought to the stored rows
+    saved(batch, 2)
+    second = files(silver)
+    assert {name.split("/")[0] for name in first ^ second} == buckets
     after = silver.read()
     assert after.count() == 60_000 and after.where("transaction_status = 'Reversed'").count() == 2
+
+
+def test_upsert_gives_the_same_for_a_small_source(spark, stored):
+    old, new = (stored[0].where(f"transaction_id LIKE 't{i}%'").select("transaction_id", "amount", "updated_at") for i in (1, 12))
+    new = new.withColumn("amount", F.lit(-1.0)).union(spark.sql("SELECT 'new', 2.0D, TIMESTAMP'2024-01-01'"))
+    new = new.withColumn("updated_at", F.expr("CASE WHEN transaction_id LIKE '%9' THEN NULL ELSE updated_at END"))
+    from ledgerline.operators.upsert import upsert
+
+    both = [sorted(map(tuple, upsert(old, new, ["transaction_id"], None, "updated_at", small).collect())) for small in (False, True)]
+    assert both[0] == both[1] and any(row[0] == "new" for row in both[0])
