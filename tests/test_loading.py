@@ -167,7 +167,7 @@ def test_ingestion_that_dies_after_any_write_loses_and_repeats_nothing(spark, tm
         assert world.lake.quarantine("pages_customers").read().count() == 1, at
         assert last_mark(world.lake, "ingest_to_bronze", "bronze_customers") == datetime(2024, 1, 3), at
         at += 1
-    assert at == 5  # intent, quarantine, records, progress, and one load that did not die
+    assert at == 6  # dies at first, after intent, quarantine, records and progress, then not at all
 
 
 def test_all_ways_in_share_one_numbering(spark, tmp_path):

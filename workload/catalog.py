@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,8 +16,8 @@ from ledgerline.operators import history, quality, watermark
 from ledgerline.operators.dedup import newest_per_key
 from ledgerline.operators.references import flag_by_exception, flag_by_lookup, missing_keys
 from ledgerline.operators.upsert import touched_partitions, upsert
-from ledgerline.plans import cleaning, marts, pipeline, reports
-from ledgerline.plans.layout import Lakehouse
+from ledgerline.plans import cleaning, ingestion, marts, pipeline, reports
+from ledgerline.plans.layout import GOLD, Lakehouse
 from ledgerline.sources.landing import read_csv, read_pages, records_of
 from workload import inputs
 
@@ -171,8 +172,7 @@ class Layers:
 # -- scans, watermarks, writes -----------------------------------------------------------------------------------------
 
 def incremental_scan(layers: Layers) -> DataFrame:
-    raw = layers.transactions_raw()
-    return raw.where(F.col("updated_at") > F.lit(inputs.CUTOFF).cast("timestamp_ntz"))
+    return watermark.since(layers.transactions_raw(), datetime.fromisoformat(inputs.CUTOFF))
 
 
 def _progress(layers: Layers) -> DataFrame:
@@ -268,9 +268,9 @@ def currency_normalise(layers: Layers) -> DataFrame:
 
 
 def txn_ref_check_by_exception(layers: Layers) -> DataFrame:
-    rows = cleaning.standardise_transactions(layers.transactions_raw())
+    newest = _newest(cleaning.standardise_transactions(layers.transactions_raw()), "transaction_id")
     refs = cleaning.transaction_references(layers.customer_keys(), layers.card_keys(), layers.merchant_keys())
-    checked = flag_by_exception(_newest(rows, "transaction_id"), refs, missing_keys(rows, refs))
+    checked = flag_by_exception(newest, refs, missing_keys(newest, refs))
     return checked.select("transaction_id", *cleaning.TRANSACTION_HELPERS)
 
 
@@ -323,6 +323,12 @@ def scd_report(layers: Layers) -> DataFrame:
     return history.change_report(scd_classify(layers))
 
 
+def scd_any_order(layers: Layers) -> DataFrame:
+    """The history that the rows of both batches make up, the second one read first."""
+    first = cleaning.clean_customers(layers.customer_updates(inputs.FIRST_BATCH), keep_keyless=False)
+    return history.versions_of(layers.history_incoming().unionByName(first), cleaning.CUSTOMER_HISTORY)
+
+
 # -- the stored pipeline -----------------------------------------------------------------------------------------------
 
 def scratch_lake(spark: SparkSession, name: str) -> Lakehouse:
@@ -349,33 +355,93 @@ def pipeline_two_runs(layers: Layers) -> DataFrame:
     return lake.gold("customers_spend_summary").read()
 
 
+def change_counts(layers: Layers) -> DataFrame:
+    """What the second of two loads of customers changed, as the stored pipeline reports it."""
+    lake = scratch_lake(layers.spark, "change_counts")
+    for where in (inputs.FIRST_BATCH, inputs.SECOND_BATCH):
+        pipeline.ingest_batch(lake, "customers", layers.customer_updates(where))
+        pipeline.process_customers(lake)
+    run = lake.reports("customer_changes").read().where(F.col("run_id") == lake.run_id)
+    return run.select("change_type", "row_count")
+
+
 # -- landing -----------------------------------------------------------------------------------------------------------
 
 PAGE_ROWS = 5_000
 
 
+def land_csv(df: DataFrame, folder: str) -> None:
+    """CSV files with their columns in alphabetical order, some records of which lack fields or have too many."""
+    df = df.select(*sorted(df.columns))
+    df.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(folder)
+    ragged = df.select(F.format_string("%s,%s", *[F.coalesce(name, F.lit("x")) for name in df.columns[:2]]).alias("value"))
+    longer = df.select(F.concat_ws(",", F.lit("a"), *[F.lit("b")] * len(df.columns)).alias("value"))
+    header = df.sparkSession.range(1, numPartitions=1).select(F.lit(",".join(df.columns)).alias("value"))
+    header.union(ragged.unionByName(longer)).coalesce(1).write.mode("append").text(folder)
+
+
+def land_pages(df: DataFrame, folder: str) -> None:
+    """API pages of at most PAGE_ROWS records, one file each."""
+    numbered = df.withColumn("sheet", F.floor(F.monotonically_increasing_id() / PAGE_ROWS))
+    pages = numbered.groupBy("sheet").agg(F.collect_list(F.struct(*df.columns)).alias("data"))
+    text = F.to_json(F.struct("data", F.size("data").alias("count")))
+    pages.select("sheet", text.alias("value")).write.mode("append").partitionBy("sheet").text(folder)
+
+
+def landing_folder(layers: Layers, name: str) -> str:
+    return Lakehouse(layers.spark, layers.spark.conf.get("spark.sql.warehouse.dir")).scratch(name)
+
+
 def landed_csv(layers: Layers) -> DataFrame:
-    """The merchants written as CSV with their columns in another order, and read back by name."""
-    folder = Lakehouse(layers.spark, layers.spark.conf.get("spark.sql.warehouse.dir")).scratch("landed_csv")
-    raw = layers.merchants_raw()
-    shuffled = raw.select(*sorted(raw.columns))
-    shuffled.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(folder)
+    """The merchants written as CSV and read back by name, without the records that do not fit the header."""
+    folder = landing_folder(layers, "landed_csv")
+    land_csv(layers.merchants_raw(), folder)
     return read_csv(layers.spark, folder, schemas.MERCHANT_RECORD)
 
 
+def _as_given(records: DataFrame) -> DataFrame:
+    return records.withColumn("transaction_timestamp", F.col("transaction_timestamp").try_cast("timestamp"))
+
+
 def landed_pages(layers: Layers) -> DataFrame:
-    """The transactions written as API pages, one file each, and read back as typed records."""
-    folder = Lakehouse(layers.spark, layers.spark.conf.get("spark.sql.warehouse.dir")).scratch("landed_pages")
-    raw = layers.transactions_raw()
-    sheets = max(1, -(-raw.count() // PAGE_ROWS))
-    numbered = raw.withColumn("sheet", F.pmod(F.xxhash64(*raw.columns), F.lit(sheets)))
-    pages = numbered.groupBy("sheet").agg(F.collect_list(F.struct(*raw.columns)).alias("data"))  # about PAGE_ROWS each
-    text = F.to_json(F.struct("data", F.size("data").alias("count")))
-    pages.select("sheet", text.alias("value")).write.partitionBy("sheet").text(folder)
+    """The transactions written as API pages and read back as typed records."""
+    folder = landing_folder(layers, "landed_pages")
+    land_pages(layers.transactions_raw(), folder)
     records = records_of(read_pages(layers.spark, folder, schemas.TRANSACTION_RECORD))
-    return records.select(*schemas.TRANSACTION_RECORD.names).withColumn(
-        "transaction_timestamp", F.col("transaction_timestamp").try_cast("timestamp")
-    )
+    return _as_given(records.select(*schemas.TRANSACTION_RECORD.names))
+
+
+def ingest_two_runs(layers: Layers) -> DataFrame:
+    """Bronze after two ingestions, the second of which finds the pages of the first still there."""
+    lake, folder = scratch_lake(layers.spark, "ingest"), landing_folder(layers, "ingest_pages")
+    endpoint = next(e for e in ingestion.ENDPOINTS if e.name == "transactions")
+    for run, where in enumerate((inputs.FIRST_TRANSACTIONS, inputs.SECOND_TRANSACTIONS)):
+        land_pages(layers.transactions_raw(where), f"{folder}/transactions/run{run}")
+        ingestion.ingest_endpoint(lake, endpoint, f"{folder}/transactions")
+    stored = lake.bronze("transactions").read()
+    return _as_given(stored.select(*schemas.TRANSACTION_RECORD.names, F.col(ingestion.BATCH).cast("int")))
+
+
+def _full_run(layers: Layers, name: str) -> Lakehouse:
+    """Everything landed as files, then one run of the whole pipeline."""
+    lake, folder = scratch_lake(layers.spark, name), landing_folder(layers, f"{name}_landing")
+    land_csv(layers.merchants_raw(), f"{folder}/merchants")
+    land_pages(layers.customers_raw(), f"{folder}/customers")
+    land_pages(layers.cards_raw(), f"{folder}/cards")
+    land_pages(layers.transactions_raw(), f"{folder}/transactions")
+    pipeline.run_pipeline(layers.spark, lake.root, folder, F.lit(AS_OF).cast("date"), lake.buckets)
+    return lake
+
+
+def pipeline_full(layers: Layers) -> DataFrame:
+    """The risk mart, which rests on all tables, from landed files."""
+    return _full_run(layers, "pipeline_full").gold("portfolio_risk_summary").read()
+
+
+def gold_run_marks(layers: Layers) -> DataFrame:
+    """What the marts' runs have noted: that they ran, and the rows they wrote."""
+    rows = _full_run(layers, "gold_run_marks").progress.table.read().where(F.col("pipeline_name") == GOLD)
+    return rows.select("table_name", "row_count", F.col(watermark.MARK).isNotNull().alias("has_run"))
 
 
 def stored_quarantine(layers: Layers) -> DataFrame:
@@ -415,6 +481,9 @@ PLANS: dict[str, Callable[[Layers], DataFrame]] = {
     "upsert_touched_months": upsert_touched_months,
     "landed_csv": landed_csv,
     "landed_pages": landed_pages,
+    "ingest_two_runs": ingest_two_runs,
+    "pipeline_full": pipeline_full,
+    "gold_run_marks": gold_run_marks,
     "stored_quarantine": stored_quarantine,
     # cleaning
     "dedup_merchants": lambda x: _newest(x.merchants_raw(), "merchant_id", []),
@@ -445,6 +514,8 @@ PLANS: dict[str, Callable[[Layers], DataFrame]] = {
     "scd2_apply": scd2_apply,
     "scd1_apply": scd1_apply,
     "scd_report": scd_report,
+    "scd_any_order": scd_any_order,
+    "change_counts": change_counts,
     # Silver tables
     "silver_merchants": lambda x: x.merchants(),
     "silver_customers": scd_history,

@@ -43,7 +43,7 @@ SILVER_TRANSACTION_COLUMNS = [c for c in TRANSACTION_COLUMNS if c != "is_negativ
 # -- merchants ---------------------------------------------------------------------------------------------------------
 
 CTES["merchants_raw"] = inputs.view_sql(inputs.MERCHANTS)
-CTES["merchants_std"] = f"""SELECT trim(merchant_id) AS merchant_id, {title('merchant_name')} AS merchant_name,
+CTES["merchants_std"] = f"""SELECT nullif(trim(merchant_id), '') AS merchant_id, {title('merchant_name')} AS merchant_name,
     {title('merchant_category')} AS merchant_category, {title('country')} AS merchant_home_country,
     trim(mcc_code) AS mcc_code, {title('merchant_city')} AS merchant_city FROM merchants_raw"""
 CTES["merchants_clean"] = newest("merchants_std", "merchant_id", MERCHANT_COLUMNS, None)
@@ -57,7 +57,7 @@ CTES["merchants_bad"] = """SELECT 'merchants' AS table_name, merchant_id AS row_
 
 def add_customers(tag: str, view: str) -> None:
     CTES[f"customers_raw{tag}"] = view
-    CTES[f"customers_std{tag}"] = f"""SELECT trim(customer_id) AS customer_id,
+    CTES[f"customers_std{tag}"] = f"""SELECT nullif(trim(customer_id), '') AS customer_id,
         {title('customer_name')} AS customer_name, {title('customer_status')} AS customer_status,
         trim(income) AS income_bucket, total_cards_issued, joining_date, {title('city')} AS customer_city,
         {title('occupation')} AS occupation, {title('risk_grade')} AS risk_grade, updated_at
@@ -108,6 +108,25 @@ CTES["history"] = f"""
     SELECT {_NEW}, data_source, updated_at, CAST(NULL AS TIMESTAMP), TRUE FROM changes
     WHERE change_type IN ('new', 'type2')"""
 
+# all versions from the accepted rows of both batches, whichever came first
+_TRACKED = ("customer_status", "customer_city", "income_bucket", "occupation", "risk_grade")
+_SAME = " AND ".join(f"{c} IS NOT DISTINCT FROM lag({c}) OVER by_time" for c in _TRACKED)
+_FIRST = ", ".join(
+    f"{'last' if c in ('customer_name', 'total_cards_issued') else 'first'}({c} ORDER BY nth) AS {c}"
+    for c in CUSTOMER_COLUMNS[1:] + ["data_source"]
+)
+CTES["customer_changes"] = "SELECT * FROM customers_clean_1 UNION ALL SELECT * FROM customers_clean_2"
+CTES["customer_rows"] = f"""SELECT *, row_number() OVER by_time AS nth,
+    CASE WHEN row_number() OVER by_time > 1 AND {_SAME} THEN 0 ELSE 1 END AS opens FROM (
+        SELECT *, row_number() OVER (PARTITION BY customer_id, updated_at ORDER BY {", ".join(
+            f"{c} ASC NULLS LAST" for c in CUSTOMER_COLUMNS[1:-1] + ["data_source"])}) AS same_time FROM customer_changes) n
+    WHERE same_time = 1 WINDOW by_time AS (PARTITION BY customer_id ORDER BY updated_at NULLS FIRST)"""
+CTES["customer_islands"] = """SELECT *, sum(opens) OVER (PARTITION BY customer_id ORDER BY nth) AS island FROM customer_rows"""
+CTES["versions"] = f"""SELECT *, updated_at AS valid_from, lead(updated_at) OVER later AS valid_till,
+    lead(island) OVER later IS NULL AS is_current FROM (
+        SELECT customer_id, island, {_FIRST} FROM customer_islands GROUP BY customer_id, island) v
+    WINDOW later AS (PARTITION BY customer_id ORDER BY island)"""
+
 # -- cards -------------------------------------------------------------------------------------------------------------
 
 
@@ -121,23 +140,24 @@ def brand(name: str, otherwise: str) -> str:
 
 def add_cards(tag: str, view: str) -> None:
     CTES[f"cards_raw{tag}"] = view
-    CTES[f"cards_std{tag}"] = f"""SELECT trim(card_id) AS card_id, {title('card_name')} AS card_name,
-        {brand('card_name', title('card_brand_type'))} AS card_brand_type, trim(card_holder_id) AS card_holder_id,
+    CTES[f"cards_std{tag}"] = f"""SELECT nullif(trim(card_id), '') AS card_id, {title('card_name')} AS card_name,
+        {brand('card_name', title('card_brand_type'))} AS card_brand_type, nullif(trim(card_holder_id), '') AS card_holder_id,
         {title('card_holder_type')} AS card_holder_type, {title('card_rewards_category')} AS card_rewards_category,
         {title('card_status')} AS card_status, credit_limit, expiry_date, updated_at FROM cards_raw{tag}"""
     CTES[f"cards_newest{tag}"] = newest(f"cards_std{tag}", "card_id", CARD_COLUMNS)
     CTES[f"cards_clean{tag}"] = f"""SELECT k.*, 'bronze' AS data_source, c.customer_id IS NOT NULL AS holder_known
         FROM cards_newest{tag} k LEFT JOIN customers c ON c.customer_id = k.card_holder_id"""
     CTES[f"cards{tag}"] = f"""SELECT * EXCLUDE (holder_known) FROM cards_clean{tag}
-        WHERE card_id IS NOT NULL AND holder_known"""
+        WHERE card_id IS NOT NULL AND holder_known AND NOT coalesce(abs(credit_limit) >= 1e15, FALSE)"""
 
 
 add_cards("", inputs.view_sql(inputs.CARDS))
 add_cards("_1", inputs.view_sql(inputs.CARDS, inputs.FIRST_BATCH))
 add_cards("_2", inputs.view_sql(inputs.CARD_UPDATES, inputs.UPDATED_CARDS))
 CTES["cards_bad"] = """SELECT * EXCLUDE (holder_known),
-    CASE WHEN card_id IS NULL THEN 'card_id_missing' ELSE 'cardholder_not_found' END AS failed_reason
-    FROM cards_clean WHERE card_id IS NULL OR NOT holder_known"""
+    CASE WHEN card_id IS NULL THEN 'card_id_missing' WHEN NOT holder_known THEN 'cardholder_not_found'
+         ELSE 'credit_limit_out_of_range' END AS failed_reason
+    FROM cards_clean WHERE card_id IS NULL OR NOT holder_known OR abs(credit_limit) >= 1e15"""
 
 
 def upserted(stored: str, incoming: str, key: str, columns: list[str], updates: set[str]) -> str:
@@ -174,8 +194,8 @@ FAILURES = (
 
 def add_transactions(tag: str, view: str) -> None:
     CTES[f"transactions_raw{tag}"] = view
-    CTES[f"transactions_std{tag}"] = f"""SELECT trim(transaction_id) AS transaction_id, trim(card_id) AS card_id,
-        trim(customer_id) AS customer_id, trim(merchant_id) AS merchant_id, amount, {CURRENCY} AS currency,
+    CTES[f"transactions_std{tag}"] = f"""SELECT nullif(trim(transaction_id), '') AS transaction_id, nullif(trim(card_id), '') AS card_id,
+        nullif(trim(customer_id), '') AS customer_id, nullif(trim(merchant_id), '') AS merchant_id, amount, {CURRENCY} AS currency,
         trim(device_channel) AS device_channel, {title('status')} AS transaction_status,
         {title('transaction_type')} AS transaction_type, transaction_timestamp,
         coalesce((lower(trim(transaction_type)) = 'refund' AND amount < 0)
@@ -373,6 +393,14 @@ FINAL: dict[str, str] = {
     "scd1_apply": "SELECT * FROM history WHERE customer_id IN (SELECT customer_id FROM changes "
                   "WHERE change_type = 'type1')",
     "scd_report": "SELECT change_type, count(*) AS row_count FROM changes GROUP BY change_type",
+    "scd_any_order": "SELECT * EXCLUDE (island) FROM versions",
+    "change_counts": "SELECT change_type, count(*) AS row_count FROM changes GROUP BY change_type",
+    "ingest_two_runs": """SELECT *, 1 AS ingest_batch FROM transactions_raw_1
+        UNION ALL SELECT *, 2 FROM transactions_raw_2""",
+    "pipeline_full": "SELECT * FROM risk",
+    "gold_run_marks": """SELECT 'customers_spend_summary' AS table_name, count(*) AS row_count, TRUE AS has_run FROM spend
+        UNION ALL SELECT 'portfolio_risk_summary', count(*), TRUE FROM risk
+        UNION ALL SELECT 'customer_segmentation_summary', count(*), TRUE FROM segments""",
     "silver_merchants": "SELECT * FROM merchants",
     "silver_customers": "SELECT * FROM history",
     "silver_cards": "SELECT * FROM cards_upserted",

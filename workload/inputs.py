@@ -21,6 +21,7 @@ UPDATED_CARDS = f"({SECOND_BATCH} OR o_orderkey % 3 = 0)"
 
 MERCHANT_ROWS = """
 SELECT CASE WHEN p_partkey % 89 = 0 THEN CAST(NULL AS STRING)
+            WHEN p_partkey % 83 = 0 THEN '   '
             WHEN p_partkey % 17 = 0 THEN concat(' ', CAST(p_partkey AS STRING), ' ')
             ELSE CAST(p_partkey AS STRING) END AS merchant_id,
        CASE WHEN p_partkey % 97 = 0 THEN CAST(NULL AS STRING) ELSE concat('  ', p_name, ' ') END AS merchant_name,
@@ -34,6 +35,7 @@ MERCHANTS = f"{MERCHANT_ROWS} UNION ALL {MERCHANT_ROWS} WHERE p_partkey % 13 = 0
 
 CUSTOMER_ROWS = """
 SELECT CASE WHEN c_custkey % 67 = 0 THEN CAST(NULL AS STRING)
+            WHEN c_custkey % 71 = 0 THEN '  '
             WHEN c_custkey % 19 = 0 THEN concat(' ', CAST(c_custkey AS STRING))
             ELSE CAST(c_custkey AS STRING) END AS customer_id,
        CASE WHEN c_custkey % 61 = 0 THEN CAST(NULL AS STRING) ELSE c_name END AS customer_name,
@@ -74,7 +76,7 @@ WHERE {where}
 """
 
 CARDS = """
-SELECT CASE WHEN o_orderkey % 103 = 0 THEN CAST(NULL AS STRING) WHEN o_orderkey % 29 = 0
+SELECT CASE WHEN o_orderkey % 103 = 0 THEN CAST(NULL AS STRING) WHEN o_orderkey % 107 = 0 THEN ' ' WHEN o_orderkey % 29 = 0
             THEN concat(CAST(o_orderkey AS STRING), ' ') ELSE CAST(o_orderkey AS STRING) END AS card_id,
        concat(CASE WHEN o_orderkey % 7 = 0 THEN 'Store' WHEN o_orderkey % 3 = 0 THEN 'RuPay' WHEN o_orderkey % 3 = 1 THEN 'Visa' ELSE 'Mastercard' END,
               ' ', o_orderpriority) AS card_name,
@@ -84,7 +86,7 @@ SELECT CASE WHEN o_orderkey % 103 = 0 THEN CAST(NULL AS STRING) WHEN o_orderkey
            AS card_holder_type,
        lower(o_orderpriority) AS card_rewards_category,
        CASE o_orderstatus WHEN 'F' THEN 'Active' WHEN 'O' THEN 'Blocked' ELSE 'Lost' END AS card_status,
-       o_totalprice / 20 AS credit_limit,
+       CASE WHEN o_orderkey % 509 = 0 THEN CAST(1e15 AS DOUBLE) ELSE o_totalprice / 20 END AS credit_limit,
        CAST(o_orderdate AS DATE) AS expiry_date,
        o_orderdate AS updated_at
 FROM {orders}
@@ -108,13 +110,13 @@ WHERE {where}
 """
 
 TRANSACTIONS = """
-SELECT CASE WHEN l_orderkey % 211 = 0 THEN CAST(NULL AS STRING)
+SELECT CASE WHEN l_orderkey % 211 = 0 THEN CAST(NULL AS STRING) WHEN l_orderkey % 223 = 0 THEN '    '
             ELSE concat(CASE WHEN l_orderkey % 37 = 0 THEN ' ' ELSE '' END, CAST(l_orderkey AS STRING), '-',
                         CAST(l_linenumber AS STRING)) END AS transaction_id,
        CAST(l_orderkey AS STRING) AS card_id,
        CAST(o_custkey AS STRING) AS customer_id,
        CAST(l_partkey AS STRING) AS merchant_id,
-       CASE WHEN l_partkey % 31 = 0 THEN CAST(NULL AS DOUBLE) ELSE l_extendedprice * (CASE WHEN o_custkey % 50 = 0 THEN CAST(4.0 AS DOUBLE) ELSE CAST(0.25 AS DOUBLE) END)
+       CASE WHEN l_partkey % 31 = 0 THEN CAST(NULL AS DOUBLE) WHEN l_partkey % 101 = 0 THEN CAST(1e15 AS DOUBLE) ELSE l_extendedprice * (CASE WHEN o_custkey % 50 = 0 THEN CAST(4.0 AS DOUBLE) ELSE CAST(0.25 AS DOUBLE) END)
            * (CASE WHEN l_returnflag = 'R' AND l_suppkey % 11 <> 0 THEN -1 ELSE 1 END) END AS amount,
        CASE (l_suppkey + l_linenumber) % 16
             WHEN 0 THEN ' inr' WHEN 1 THEN '$' WHEN 2 THEN 'Yen' WHEN 3 THEN 'xyz' WHEN 4 THEN CAST(NULL AS STRING)
