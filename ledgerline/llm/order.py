@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import once
-from .shared import small_batches
+from .shared import gathered, small_batches, stored
 from .words import word_encoder
 
 ROUNDS = 6
@@ -64,6 +64,13 @@ def filesystem_of(folder: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
 
 
+def into_place(filesystem: pa.fs.FileSystem, made: str, name: str) -> None:
+    """Rename a finished file. Not every file system renames onto a file that an earlier attempt has left."""
+    if filesystem.get_file_info(name).type != pa.fs.FileType.NotFound:
+        filesystem.delete_file(name)
+    filesystem.move(made, name)
+
+
 def read_slots(
     folder: str, total: int, start: int = 0, length: int = 4096, width: int = 1, per_shard: int = 4096
 ) -> Iterator[tuple[int, bytes]]:
@@ -98,10 +105,9 @@ def token_ids(df: DataFrame, tokenizer: str, end_id: int = 0xFFFF, text: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = once(("words", tokenizer), lambda: word_encoder(tokenizer))
-        for batch in batches:
+        for batch in gathered(batches, 0):
             rows = []
-            for ids in encoder.encode([t or "" for t in batch.column(0).to_pylist()]):
-                wide = np.frombuffer(ids, "<i4")
+            for wide in encoder.encode([t or "" for t in batch.column(0).to_pylist()]):
                 if wide.size and wide.max() >= 0xFFFF:
                     raise ValueError(f"id {wide.max()} does not fit two bytes")
                 rows.append(wide.astype("<u2").tobytes() + last)
@@ -114,14 +120,15 @@ def materialise(
     df: DataFrame, folder: str, length: int = 4096, width: int = 1, per_shard: int = 4096, key: int = 20_26, pad: int = 255,
     ids: str = "ids",
 ) -> DataFrame:
-    """Write the shards to ``folder`` (any place that executors share) when the result is computed; return the manifest:
-    slot, sequence, shard, position (byte in the shard's file), n_ids (without padding), ids_crc32 (of these).
+    """Write the shards to ``folder`` (any place that executors share) and return the stored manifest: slot, sequence,
+    shard, position (byte in the shard's file), n_ids (without padding), ids_crc32 (of these).
 
     ids: binary column of little-endian ids of ``width`` bytes. A null or empty one adds nothing. Only the last sequence of
     each input partition is padded, with the byte ``pad``. Repeated rows are written as often as they occur; other
     columns are not read. An empty df writes nothing. The input's partitions must come out the same each time, as those
-    of a table scan do; a task that finds another number of ids than was counted fails. A rerun task writes the
-    same file under another name first, so losing executors leaves no half-written shard.
+    of a table scan do; a task that finds another number of ids than was counted fails. A task writes its file under
+    another name first and then moves it into place, over the same file of an earlier attempt if there is one, so losing
+    executors leaves no half-written shard.
     """
     spark, stride = df.sparkSession, length * width
     small_batches(spark)
@@ -146,8 +153,10 @@ def materialise(
             numbers = np.arange(number, number + len(pieces))
             number += len(pieces)
             slots = order(numbers)
+            sizes = pa.array(map(len, pieces), pa.int64())
+            packed = [pa.compress(piece, codec="zstd", asbytes=True) for piece in pieces]  # for the shuffle
             return pa.RecordBatch.from_arrays(
-                [pa.array(slots), pa.array(numbers), pa.array(pieces, pa.binary())], ["slot", "sequence", "ids"]
+                [pa.array(slots), pa.array(numbers), sizes, pa.array(packed, pa.binary())], ["slot", "sequence", "size", "ids"]
             )
 
         for batch in batches:
@@ -171,14 +180,15 @@ def materialise(
         def close() -> None:
             if out is not None:
                 out.close()
-                filesystem.move(name(shard) + f".{attempt}", name(shard))
+                into_place(filesystem, name(shard) + f".{attempt}", name(shard))
 
         def name(number: int) -> str:
             return f"{base}/shard-{number:08d}.bin"
 
         for batch in batches:
             rows = []
-            for slot, sequence, payload in zip(batch["slot"], batch["sequence"], batch["ids"]):
+            for slot, sequence, size, packed in zip(batch["slot"], batch["sequence"], batch["size"], batch["ids"]):
+                payload = pa.decompress(packed, size, codec="zstd", asbytes=True)
                 if slot // per_shard != shard:
                     close()
                     shard, at = slot // per_shard, 0
@@ -191,9 +201,9 @@ def materialise(
             yield pd.DataFrame(rows, columns=MANIFEST.names).astype("int64")
         close()
 
-    sequences = data.mapInArrow(cut, "slot long, sequence long, ids binary")
+    sequences = data.mapInArrow(cut, "slot long, sequence long, size long, ids binary")
     shards = -(-total // per_shard)
     if not shards:
         return spark.createDataFrame([], MANIFEST)
     by_slot = sequences.repartitionById(shards, F.floor(F.col("slot") / per_shard).cast("int"))
-    return by_slot.sortWithinPartitions("slot").mapInPandas(write, MANIFEST)
+    return stored(by_slot.sortWithinPartitions("slot").mapInPandas(write, MANIFEST), "manifest")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .bpe import once
-from .shared import small_batches
+from .shared import gathered, small_batches
 from .words import word_encoder
 
 MOST_OPEN = 4096
@@ -131,11 +131,11 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = once(("words", tokenizer), lambda: word_encoder(tokenizer))
         packer, made, keys_type = SumOfSquares(length), TaskContext.get().partitionId() << 32, None
-        for batch in batches:
+        for batch in gathered(batches, 1):
             keys_type = batch.schema.field(0).type
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
-                packer.add(doc, ids + last)
+                packer.add(doc, ids.tobytes() + last)
             yield from rows(packer.closed, made, keys_type)
             made += len(packer.closed)
             packer.closed = []

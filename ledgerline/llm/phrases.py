@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import free_name, new_folder, small_batches, stored
+from .shared import Numbered, free_name, new_folder, small_batches, stored
 
 WINDOW = 10
 BLOCK_CHARACTERS = 2 << 20
@@ -44,14 +44,6 @@ def words_of(text: str | None) -> list[bytes]:
     return WORD.findall(text.encode("utf-8", "surrogatepass").lower()) if text else []
 
 
-class Terms(dict):
-    """Numbers its keys in the order in which they are asked for first."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
-
-
 def index(df: DataFrame, key: str = "doc_id", text: str = "text", block_characters: int = BLOCK_CHARACTERS) -> DataFrame:
     """The stored index of all texts, one row for each block: block, keys, sizes (words of each document), terms (joined by
     spaces), counts (of each term), positions (uint32, term after term).
@@ -68,7 +60,7 @@ def index(df: DataFrame, key: str = "doc_id", text: str = "text", block_characte
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, keys, sizes, held, terms, codes, kind = TaskContext.get().partitionId() << 32, [], [], 0, Terms(), [], None
+        block, keys, sizes, held, terms, codes, kind = TaskContext.get().partitionId() << 32, [], [], 0, Numbered(), [], None
 
         def made() -> pa.RecordBatch:
             code = np.concatenate(codes) if codes else np.zeros(0, np.int32)
@@ -85,7 +77,7 @@ def index(df: DataFrame, key: str = "doc_id", text: str = "text", block_characte
                 words = words_of(text)
                 if keys and held + len(text or "") > block_characters:
                     yield made()
-                    block, keys, sizes, held, terms, codes = block + 1, [], [], 0, Terms(), []
+                    block, keys, sizes, held, terms, codes = block + 1, [], [], 0, Numbered(), []
                 codes.append(np.fromiter(map(terms.__getitem__, words), np.int32, len(words)))
                 keys.append(doc)
                 sizes.append(len(words))
@@ -100,7 +92,7 @@ class Windows:
     """The distinct windows of the words of some items: ``length`` words in a row, or all of a shorter item."""
 
     def __init__(self, items: list[tuple[str | None, str | None]], length: int):
-        self.vocabulary, found = Terms(), {}
+        self.vocabulary, found = Numbered(), {}
         for name, text in items:
             words = [self.vocabulary[word] for word in words_of(text)]
             for at in range(max(1, len(words) - length + 1) if words else 0):

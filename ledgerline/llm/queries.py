@@ -93,22 +93,13 @@ def op9_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The operator on bytes instead of ids: one byte each, and 255, which no UTF-8 text holds, at the end of each document.
-    Not registered: op10_token_order is."""
-    folder = new_folder(spark, "training-order")
-    ends = F.concat(F.coalesce(F.col("text").cast("binary"), F.lit(bytearray())), F.lit(bytearray(b"\xff")))
-    documents = table(spark, sf_dir, "documents").select(ends.alias("ids"))
-    return order.materialise(documents, folder).withColumn("folder", F.lit(folder))
-
-
-def op10_token_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of the word tokenizer, two bytes each, and 65535, which the vocabulary lacks, at the end of each document.
 
     The texts are encoded once; the stored ids are counted, cut and written.
     """
     folder = new_folder(spark, "training-order")
     ids = order.token_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
-    return order.materialise(stored(ids, "ids"), folder, width=2).withColumn("folder", F.lit(folder))
+    return order.materialise(stored(ids, "ids", compression="zstd"), folder, width=2).withColumn("folder", F.lit(folder))
 
 
 OPENINGS = 5  # conversations that share an opening
@@ -235,7 +226,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_sum_of_squares": op7_sum_of_squares,
     "op8_counterfactual": op8_counterfactual,
     "op9_multi_index": op9_multi_index,
-    "op10_training_order": op10_token_order,
+    "op10_training_order": op10_training_order,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_positional_index": op12_positional_index,
     "op13_spectrum_slicing": op13_spectrum_slicing,

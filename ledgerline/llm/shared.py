@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,13 +20,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write df once and read it back: later steps neither repeat its work nor depend on lost executors.
+def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write df once (with Parquet ``options``) and read it back: later steps neither repeat its work nor depend on lost
+    executors.
 
     The folder belongs to the caller's run; results that are still unread may need it, so it is not removed here.
     """
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -52,3 +55,25 @@ def free_name(df: DataFrame, wanted: str) -> str:
     while wanted.lower() in taken:
         wanted += "_"
     return wanted
+
+
+def gathered(batches: Iterator[pa.RecordBatch], text: int, size_wanted: int = 12 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches joined until their texts (column number ``text``) hold about so many bytes: work on distinct words pays
+    for larger groups."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(text).nbytes
+        if size >= size_wanted:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if any(batch.num_rows for batch in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+class Numbered(dict):
+    """Numbers its keys in the order in which they are asked for first."""
+
+    def __missing__(self, key) -> int:
+        self[key] = number = len(self)
+        return number

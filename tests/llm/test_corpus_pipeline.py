@@ -63,7 +63,7 @@ def test_packing_covers_what_is_left(stages):
     before, after = stages["packing"]
     rows = before.collect()
     encoded = words.word_encoder(public_tokenizers.path("word_bpe_49k.json")).encode([r.text for r in rows])
-    sizes = {r.doc_id: len(e) // 4 + 1 for r, e in zip(rows, encoded)}
+    sizes = {r.doc_id: len(e) + 1 for r, e in zip(rows, encoded)}
     pieces = [(r.doc_id, r.start, r.length, r.doc_tokens, r.sequence_id, r.offset) for r in after.collect()]
     windows = whole(pieces, 2048, sizes)
     assert windows <= sum(sizes.values()) / 2048 + after.rdd.getNumPartitions()

@@ -49,15 +49,23 @@ def test_round_trip_with_wide_ids(spark):
     assert order.materialise(df.limit(0), folder).count() == 0
 
 
-def test_query_covers_all_texts(spark):
-    sf_dir = "/root/testdata/sf0.001"
-    texts = [(r.text or "").encode() + b"\xff" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
-    rows = op10_training_order(spark, sf_dir).collect()
-    assert sum(r.n_ids for r in rows) == sum(map(len, texts))
-    assert sorted(r.slot for r in rows) == list(range(len(rows)))
-    folder = rows[0].folder
-    whole = b"".join(read(folder, r.slot, 4096, 4096)[: r.n_ids] for r in sorted(rows, key=lambda r: r.sequence))
-    assert sorted(whole.split(b"\xff")[:-1]) == sorted(t[:-1] for t in texts)
+def test_shards_are_there_after_the_call_and_written_once(spark):
+    df = spark.createDataFrame([(bytes(range(200)),)], "ids binary").cache()
+    folder = new_folder(spark, "order")
+    manifest = order.materialise(df, folder, length=8, per_shard=5)
+    shards = sorted(Path(folder.removeprefix("file://")).glob("*"))
+    assert [s.name for s in shards] == [f"shard-{i:08d}.bin" for i in range(5)]
+    times = [s.stat().st_mtime_ns for s in shards]
+    assert manifest.limit(1).count() == 1 and manifest.count() == 25
+    assert times == [s.stat().st_mtime_ns for s in shards]
+
+
+def test_a_repeated_task_replaces_its_shard(tmp_path):
+    filesystem, base = order.filesystem_of(str(tmp_path))
+    for content in (b"first", b"second"):
+        (tmp_path / "made").write_bytes(content)
+        order.into_place(filesystem, f"{base}/made", f"{base}/shard")
+        assert (tmp_path / "shard").read_bytes() == content and not (tmp_path / "made").exists()
 
 
 def test_registered_query_writes_token_ids(spark):

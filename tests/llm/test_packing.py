@@ -34,7 +34,7 @@ def test_ids_are_the_library_s(library):
     texts = ["".join(draw.choices(letters, k=draw.randint(0, 40))) for _ in range(3000)]
     texts += ["", "a" * 5000, "<|endoftext|>", "word " * 300_000]
     wanted = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
-    got = [np.frombuffer(p, "<i4").tolist() for p in words.word_encoder(PATH).encode(texts)]
+    got = [p.tolist() for p in words.word_encoder(PATH).encode(texts)]
     assert got == wanted
 
 
@@ -116,3 +116,21 @@ def test_query_against_the_library(spark, library):
     pieces = [(r.doc_id, r.start, r.length, r.doc_tokens, r.sequence_id, r.offset) for r in got]
     windows = whole(pieces, 2048, {d: len(x) for d, x in ids.items()})
     assert windows <= sum(map(len, ids.values())) / 2048 + 1
+
+
+@pytest.mark.parametrize(("most_bytes", "characters"), [(0, 50), (1000, 7), (1 << 20, 1 << 20)])
+def test_memory_and_groups_do_not_show(library, most_bytes, characters):
+    draw = random.Random(8)
+    texts = ["".join(draw.choices(["ab", "Cd ", "é", " ", "\n", "1", "'s", "Σ"], k=draw.randint(0, 90))) for _ in range(200)]
+    encoder = words.word_encoder(PATH)
+    encoder.most_bytes, encoder.characters = most_bytes, characters
+    got = [ids.tolist() for text in (texts[:100], texts[100:], texts) for ids in encoder.encode(text)]
+    assert got == [e.ids for e in library.encode_batch(texts + texts, add_special_tokens=False)]
+
+
+def test_long_texts_without_spaces_are_forgotten():
+    encoder = words.word_encoder(PATH)
+    for i in range(12):
+        encoder.encode([f"{i}" + "qz" * 20_000 for i in range(4 * i, 4 * i + 4)])
+        encoder.most_bytes = 400_000
+        assert encoder.held < 1_500_000  # what one group brings, beyond the limit

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from compare import difference, duckdb_on
-from ledgerline.llm import phrases, queries
+from ledgerline.llm import phrases, queries, shared
 
 SCHEMA = "doc_id long, text string"
 ITEMS = "item_id long, text string"
@@ -115,7 +115,7 @@ def test_empty_tables(rows):
 
 def test_a_common_word_is_searched_in_groups(spark, monkeypatch):
     monkeypatch.setattr(phrases, "STARTS_AT_ONCE", 10)
-    terms = phrases.Terms()
+    terms = shared.Numbered()
     codes = [terms[w] for w in (b"a", b"b") * 50]
     order = sorted(range(100), key=lambda i: (codes[i], i))
     import numpy as np
