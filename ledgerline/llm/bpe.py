@@ -21,15 +21,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .shared import small_batches
+from .shared import Memory, small_batches
 
 NEVER = np.iinfo(np.int64).max
 ID_BITS = 20
 WIDEST = 192
-#: Symbols in one matrix, chunks handled together, and remembered chunks per Python worker: bounds of its memory.
+#: Symbols in one matrix and chunks handled together: bounds of a Python worker's memory.
 MATRIX_CELLS = 1 << 20
 CHUNKS_AT_ONCE = 120_000
-REMEMBERED = 400_000
 #: Fixed: Unicode's White_Space, which the tokenizer's pattern means by \s.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Cuts a text only where the tokenizer's pattern always cuts it, too.
@@ -185,10 +184,10 @@ class Encoder:
 
     def __init__(
         self, chunks: re.Pattern, new: Callable[[list[str]], list[bytes]],
-        split: Callable[[str], list[str]] | None = None, remembered: int = REMEMBERED,
+        split: Callable[[str], list[str]] | None = None, known: Memory | None = None,
     ):
-        self.chunks, self.new, self.known = chunks, new, {}
-        self.split, self.remembered = split or chunks.findall, remembered
+        self.chunks, self.new, self.known = chunks, new, Memory() if known is None else known
+        self.split = split or chunks.findall
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text. Texts go through in groups of bounded size, a very long text in several parts."""
@@ -212,11 +211,9 @@ class Encoder:
 
     def _group(self, group: list[list[str]]) -> list[bytes]:
         distinct = set().union(*group) if group else set()
+        self.known.make_room()
         unseen = [chunk for chunk in distinct if chunk not in self.known]
-        if len(self.known) + len(unseen) > self.remembered:
-            self.known.clear()
-            unseen = list(distinct)
-        self.known.update(zip(unseen, self.new(unseen)))
+        self.known.keep(zip(unseen, self.new(unseen)))
         get = self.known.__getitem__
         return [b"".join(map(get, chunks)) for chunks in group]
 

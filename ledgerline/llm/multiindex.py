@@ -15,6 +15,7 @@ block gives, for each vector, its number of links and the root of its component
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -225,7 +226,8 @@ def search(classes: DataFrame, grid: Grid, dimension: int, visits: int, threshol
                 ["node", "times", "vector", "own", "cells"],
             )
 
-    placed = stored(classes.mapInArrow(place, "node long, times long, vector array<float>, own int, cells array<int>"), "placed")
+    placed_as = f"node long, times long, vector {classes.schema['vector'].dataType.simpleString()}, own int, cells array<int>"
+    placed = stored(classes.mapInArrow(place, placed_as), "placed")
     visitors = placed.select("node", "times", "vector", "own", F.explode("cells").alias("cell"))
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     # One short row for each cell in use: at most the square of MOST_CODEWORDS.
@@ -249,20 +251,37 @@ def search(classes: DataFrame, grid: Grid, dimension: int, visits: int, threshol
 def near_vectors(df: DataFrame, threshold: float = 0.9, target: float = TARGET, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """key, n_links (other vectors linked directly), component_id (smallest key reachable), kept, for every row.
 
-    A vector that is null, empty, zero, of another length than most, or holds a null or non-finite component links with
-    nothing. Rows that share a key are one document for the component. A row without a key is compared with nothing: its
+    A vector that is null, empty, zero, or holds a null or non-finite component links with nothing, vectors of different
+    lengths not with each other: every length has an index of its own. Cosines are taken in double precision, from vectors of
+    the precision they come in. Rows that share a key are one document for the component. A row without a key is compared with nothing: its
     component is null, it is kept. Other columns are dropped, whatever their names; an empty df gives no rows.
     """
-    rows = df.select(F.col(key).alias("id"), F.col(vector).cast("array<float>").alias("vector"))
+    kind = df.schema[vector].dataType.elementType.simpleString()
+    kind = kind if kind == "float" else "double"
+    rows = df.select(F.col(key).alias("id"), F.col(vector).cast(f"array<{kind}>").alias("vector"))
     odd = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     sound = F.col("id").isNotNull() & F.col("vector").isNotNull() & ~F.exists("vector", odd) & F.exists("vector", lambda x: x != 0)
     rows = rows.select("id", F.when(F.coalesce(sound, F.lit(False)), F.col("vector")).alias("vector"))
-    lengths = rows.filter("vector is not null").groupBy(F.size("vector").alias("n")).agg(F.count(F.lit(1)).alias("rows"))
-    common = lengths.orderBy(F.desc("rows"), "n").first()
-    if common is None or common["n"] < 2:
+    lengths = sorted(r[0] for r in rows.filter("vector is not null").select(F.size("vector")).distinct().collect())
+    if not lengths:
         return rows.select(F.col("id").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"),
                            F.lit(True).alias("kept"))
-    dimension = common["n"]
+    parts = [_linked(rows, dimension, threshold, target) for dimension in lengths]
+    classes, found = (reduce(DataFrame.union, tables) for tables in zip(*parts))
+    counts = found.groupBy("dimension", "node").agg(F.sum("links").alias("links"))
+    roots = components(found.filter("node <> root").select("node", F.col("root").alias("other")))
+    known = classes.join(counts, ["dimension", "node"], "left").join(roots, "node", "left").select(
+        "vector", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("links"), F.coalesce("root", "node").alias("component")
+    )
+    component = F.coalesce("component", "id")
+    return rows.join(known, "vector", "left").select(
+        F.col("id").alias(key), F.coalesce("links", F.lit(0)).alias("n_links"),
+        component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
+    )
+
+
+def _linked(rows: DataFrame, dimension: int, threshold: float, target: float) -> tuple[DataFrame, DataFrame]:
+    """The distinct vectors of this length, and the links found between them."""
     classes = stored(
         rows.filter(F.size("vector") == dimension).groupBy("vector")
         .agg(F.min("id").cast("long").alias("node"), F.count(F.lit(1)).alias("times")).select("node", "times", "vector"), "classes"
@@ -272,13 +291,5 @@ def near_vectors(df: DataFrame, threshold: float = 0.9, target: float = TARGET,
     grid = Grid(unit(np.stack(fitted["vector"])), words)
     visits = traversal_length(classes, grid, dimension, threshold, target)
     found = stored(search(classes, grid, dimension, visits, threshold), "found")
-    counts = found.groupBy("node").agg(F.sum("links").alias("links"))
-    roots = components(found.filter("node <> root").select("node", F.col("root").alias("other")))
-    known = classes.join(counts, "node", "left").join(roots, "node", "left").select(
-        "vector", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("links"), F.coalesce("root", "node").alias("component")
-    )
-    component = F.coalesce("component", "id")
-    return rows.join(known, "vector", "left").select(
-        F.col("id").alias(key), F.coalesce("links", F.lit(0)).alias("n_links"),
-        component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
-    )
+    of_length = F.lit(dimension).alias("dimension")
+    return classes.select("*", of_length), found.select("*", of_length)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,6 +72,31 @@ def gathered(batches: Iterator[pa.RecordBatch], text: int, size_wanted: int = 12
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
+class Memory(dict):
+    """What a Python worker remembers of the words it has seen, in about so many bytes and those of the last group."""
+
+    def __init__(self, most_bytes: int = 128 << 20):
+        super().__init__()
+        self.most_bytes, self.held = most_bytes, 0
+
+    def make_room(self) -> bool:
+        """Called before a group: forget all where the bound is reached."""
+        if self.held <= self.most_bytes:
+            return False
+        self.clear()
+        self.held = 0
+        return True
+
+    def keep(self, entries: Iterable[tuple]) -> None:
+        for key, value in entries:
+            self[key] = value
+            self.held += sys.getsizeof(key) + sys.getsizeof(value) + ENTRY_BYTES
+
+
+#: An entry of a dictionary, beside its key and value.
+ENTRY_BYTES = 100
+
+
 class Numbered(dict):
     """Numbers its keys in the order in which they are asked for first."""
 

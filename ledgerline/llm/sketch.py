@@ -2,7 +2,7 @@
 
 A text's shingles (five words each; the whole word sequence if it has fewer) are hashed to 64 bits, and every hash below
 a fixed fraction of the hash space is retained. Two fingerprints are comparable whatever their texts' lengths, and the
-fingerprint of a union of texts is the union of their fingerprints. A text none of whose hashes lies below the threshold
+fingerprint of several texts' shingles follows from their fingerprints (``merged``). A text none of whose hashes lies below the threshold
 keeps its smallest one, so that only texts without words have an empty fingerprint. DataFrame functions only.
 """
 
@@ -55,9 +55,10 @@ def retained(all_hashes: Column, fraction: float = FRACTION) -> Column:
     return let(all_hashes, chosen)
 
 
-def merged(first: Column, second: Column) -> Column:
-    """The fingerprint of two texts together."""
-    return F.array_sort(F.array_union(first, second))
+def merged(first: Column, second: Column, fraction: float = FRACTION) -> Column:
+    """The fingerprint of two texts together: a hash that one of them keeps for want of one below the threshold goes, if the
+    other has one."""
+    return retained(F.concat(first, second), fraction)
 
 
 def containment(first: Column, second: Column) -> Column:

@@ -22,14 +22,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .quality import sample
-from .shared import small_batches
+from .shared import Memory, small_batches
 
 BUCKETS = 1 << 20
 GROUP = 4
 #: Most labelled rows that the model is fitted on.
 FIT_ROWS = 5000
-#: Words remembered in each Python worker.
-REMEMBERED = 400_000
 WORD = re.compile(r"[^\W\d_]+")
 
 #: Terms that name groups of people, and neutral words in their place.
@@ -58,18 +56,18 @@ class Model:
 
     weights: dict[int, float]
     bias: float
-    known: set[str] = field(default_factory=set, repr=False)
+    known: Memory = field(default_factory=Memory, repr=False)
     active: dict[str, frozenset[int]] = field(default_factory=dict, repr=False)
 
     def logit(self, text: str) -> float:
         words = words_of(text)
-        unseen = words - self.known
-        if len(self.known) + len(unseen) > REMEMBERED:
-            self.known, self.active, unseen = set(), {}, words
+        if self.known.make_room():
+            self.active = {}
+        unseen = words - self.known.keys()
         for word in unseen:
             if hit := features(word) & self.weights.keys():
                 self.active[word] = frozenset(hit)
-        self.known |= unseen
+        self.known.keep((word, None) for word in unseen)
         found = set().union(*(self.active[word] for word in words & self.active.keys()))
         return self.bias + sum(self.weights[f] for f in sorted(found))
 

@@ -21,11 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import once
-from .shared import small_batches
+from .shared import Memory, small_batches
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-REMEMBERED = 600_000
 #: Words handled together, a bound of memory for long texts.
 WORDS_AT_ONCE = 200_000
 WORD = regex.compile(f"{MARK}?[^{MARK}]+|{MARK}")
@@ -49,7 +48,7 @@ class Counter:
             self.pieces.add_word(piece, (len(piece), score))
         self.pieces.make_automaton()
         self.unknown = min([0.0] + [score for _, score in pieces]) - UNKNOWN_PENALTY
-        self.known: dict[str, tuple[int, bool, bool]] = {}
+        self.known = Memory()
 
     def word(self, word: str) -> int:
         """The number of pieces on the best way through the word."""
@@ -105,12 +104,9 @@ class Counter:
         return self._sum([MARK + word for word in rest])
 
     def _sum(self, words: list[str]) -> int:
+        self.known.make_room()
         unseen = set(words).difference(self.known)
-        if len(self.known) + len(unseen) > REMEMBERED:
-            self.known.clear()
-            unseen = set(words)
-        for word in unseen:
-            self.known[word] = self.word(word)
+        self.known.keep((word, self.word(word)) for word in unseen)
         return sum(map(self.known.__getitem__, words))
 
 

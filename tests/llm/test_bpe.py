@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -66,3 +67,17 @@ def test_query_against_the_library(spark, library):
         assert row.n_tokens == len(ids)
         assert row.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256(texts[row.doc_id].encode()).hexdigest()
+
+
+def test_memory_is_bounded_in_bytes():
+    """Long texts without spaces are not held beyond the bound and one group."""
+    from ledgerline.llm.shared import Memory
+    from ledgerline.llm.viterbi import Counter
+
+    encoder = bpe.Encoder(re.compile("[^ ]+"), lambda chunks: [c.encode() for c in chunks], known=Memory(1 << 20))
+    counter = Counter([("a", -1.0), ("b", -1.5), ("ab", -2.0)])
+    counter.known = Memory(1 << 20)
+    for i in range(60):
+        text = f"{i}" + "ab" * 20_000
+        assert encoder.encode([text]) == [text.encode()] and counter.text(text) > 20_000
+        assert encoder.known.held < (1 << 20) + 200_000 and counter.known.held < (1 << 20) + 200_000

@@ -88,3 +88,14 @@ def test_odd_rows(spark):
     assert np.isin([r.doc_id or 0 for r in corpus_pipeline.packed(spark, left, SF_DIR).collect()], [0, 1, 2, 3, 5]).all()
     for _, stage in corpus_pipeline.STAGES[2:]:
         assert stage(spark, docs.limit(0), SF_DIR).count() == 0
+
+
+def test_different_texts_of_one_id_are_different_documents(spark):
+    texts = [" ".join(f"{word}{i}" for i in range(12)) for word in "abcd"]
+    rows = [(1, texts[0]), (2, texts[0]), (2, texts[1]), (3, texts[2]), (3, texts[3]), (4, texts[3] + " more"), (3, texts[2]), (0, texts[1].upper())]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), n) for n, (i, t) in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, document int")
+    left = corpus_pipeline.one_of_each(spark, docs, SF_DIR)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == sorted([
+        (0, texts[1].upper()), (1, texts[0]), (3, texts[2]), (3, texts[3])])

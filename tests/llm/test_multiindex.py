@@ -109,3 +109,15 @@ def test_query_on_the_given_table(spark):
     got = {r.vec_id: r for r in op9_multi_index(spark, sf_dir).collect()}
     assert [got[r.vec_id].n_links for r in table] == links.tolist()
     assert [got[r.vec_id].component_id for r in table] == roots.tolist()
+
+
+def test_double_precision_every_length_and_dimension_one(spark):
+    rows = [
+        (1, [1e300, 1e300]), (2, [2e300, 2e300]), (3, [1e-60, 0.0]), (4, [2e-60, 0.0]), (5, [1.0, 2.0, 3.0]), (6, [1.0, 2.0, 3.0]),
+        (7, [1.0]), (8, [2.0]), (9, [-2.0]), (10, [1e300, 1e300 * (1 + 1e-12)]), (11, [3.0, -1.0, 0.0]), (12, []), (13, None),
+        (14, [0.0, 0.0]), (15, [float("nan"), 1.0]), (16, [1.0, None]), (17, [0.0]),
+    ]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in
+           multiindex.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    linked = {1: (2, 1), 2: (2, 1), 10: (2, 1), 3: (1, 3), 4: (1, 3), 5: (1, 5), 6: (1, 5), 7: (1, 7), 8: (1, 7)}
+    assert got == {key: linked.get(key, (0, key)) for key, _ in rows}

@@ -88,3 +88,14 @@ def test_text_form_and_merging(rows):
     ).select("both", sketch.merged(F.col("a"), F.col("b")).alias("merged"),
              sketch.from_text(sketch.as_text(F.col("a"))).alias("back"), "a").first()
     assert sorted(r.both) == sorted(r.merged) and list(r.back) == list(r.a)
+
+
+def test_merged_fingerprints_of_short_and_long_texts(spark):
+    """Also where one text has kept a hash for want of one below the threshold."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(n)) for i in range(40) for n in (1, 6, 7, 60)]
+    rows = [(a, b) for a, b in zip(texts, texts[1:])]
+    a, b = sketch.hashes(F.col("a")), sketch.hashes(F.col("b"))
+    found = spark.createDataFrame(rows, "a string, b string").select(
+        sketch.merged(sketch.retained(a), sketch.retained(b)).alias("merged"), sketch.retained(F.concat(a, b)).alias("together"),
+        F.size(sketch.retained(a)).alias("n")).collect()
+    assert all(r.merged == r.together for r in found) and {1} < {r.n for r in found}
