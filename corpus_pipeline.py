@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import neardup, packing, quality, toxicity
 from ledgerline.llm.queries import remainder
-from ledgerline.llm.shared import free_name, stored, table
+from ledgerline.llm.shared import free_name, stored, table, whole_text
 
 GOOD_ENOUGH = 0.7
 TOXIC = 0.5
@@ -37,16 +37,20 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest id in each group linked by a Jaccard similarity of 0.8, once if its row repeats."""
-    judged = stored(neardup.near_duplicates(docs, SIMILAR_PERCENT).select("doc_id", "kept"), "judged")
-    left = docs.join(judged.filter("not kept").select("doc_id").distinct(), "doc_id", "left_anti")
-    repeated = judged.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    """Keeps the document of smallest id in each group linked by a Jaccard similarity of 0.8, once if its row repeats.
+
+    Different texts of one id are different documents.
+    """
+    key, number = free_name(docs, "document"), free_name(docs, "number")
+    document = F.struct("doc_id", F.xxhash64(whole_text("text")).alias("text"))
+    keyed = docs.withColumn(key, F.when(F.col("doc_id").isNotNull(), document))
+    judged = stored(neardup.near_duplicates(keyed, SIMILAR_PERCENT, key).select(key, "kept"), "judged")
+    left = keyed.join(judged.filter("not kept").select(key).distinct(), key, "left_anti")
+    repeated = judged.filter(F.col("kept") & F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").select(key)
     if not repeated.isEmpty():
-        number = free_name(docs, "number")
-        order = Window.partitionBy("doc_id").orderBy("text", *[F.xxhash64(name) for name in names(docs)])
-        several = left.join(repeated.select("doc_id"), "doc_id", "left_semi").withColumn(number, F.row_number().over(order))
-        single = left.join(repeated.select("doc_id"), "doc_id", "left_anti")
-        left = single.unionByName(several.filter(F.col(number) == 1).drop(number))
+        order = Window.partitionBy(key).orderBy("text", *[F.xxhash64(name) for name in names(docs)])
+        several = left.join(repeated, key, "left_semi").withColumn(number, F.row_number().over(order))
+        left = left.join(repeated, key, "left_anti").unionByName(several.filter(F.col(number) == 1).drop(number))
     return left.select(*names(docs))
 
 
