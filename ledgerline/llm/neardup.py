@@ -70,8 +70,9 @@ def linked_classes(df: DataFrame, percent: int, key: str, text: str) -> tuple[Da
     classes = stored(classes, "classes")
 
     lists = stored(_lists(classes, t, percent), "lists")
-    sizes = lists.groupBy("value").agg(F.count(F.lit(1)).alias("members"))
-    sized = lists.join(sizes.filter("members > 1"), "value")
+    # Stored, so that the join below is no part of the counting: Spark may then split the rows of a long list.
+    sizes = stored(lists.groupBy("value").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "sizes")
+    sized = lists.join(sizes, "value")
     short, long = sized.filter(F.col("members") <= LONG_LIST), sized.filter(F.col("members") > LONG_LIST)
     pairs = stored(_filtered(_pairs(short, percent), classes, t, percent), "pairs")
     long = stored(long.select("value", "node", "n"), "long")
@@ -178,9 +179,12 @@ def _further(differ: DataFrame, hubs: DataFrame, roots: DataFrame, percent: int)
     With Dx and Dy as their differences from the core C, X and Y differ in |Dx| + |Dy| - 2 |Dx & Dy| shingles, and a link
     allows c (|X| + |Y|), c = (1 - t) / (1 + t). Where Y is far from the core, |Dy| > c (|Y| + |C|), a link needs
     |Dx & Dy| > (|Dx| + c (|C| - |X|)) / 2: one of all but so many of the shingles in Dx, rarest first, lies in Dy. As
-    a difference is small and partly a member's own, few meet. The few that are near the core and yet outside meet all
-    members whose differences are not too many more or fewer. Where two meet, their differences give the exact
-    Jaccard similarity of the full sets, so that the join yields links only.
+    a difference is small and partly a member's own, few meet.
+
+    Where Y is near the core, let f(X) = |Dx| - c |X|. If f(X) + f(Y) <= 0, X and Y are linked whatever they share, and so is
+    each of them with the member Z of least f, as f(Z) + f(X) <= f(Y) + f(X): links with Z give the same components.
+    Otherwise they share (f(X) + f(Y)) / 2 differences or more, and meet in the list of one of each one's rarest. Where two meet, their differences give
+    the exact Jaccard similarity of the full sets, so that the join yields links only.
     """
     c = (100 - percent) / (100 + percent)
     placed = differ.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(hubs, "lead")
@@ -204,11 +208,23 @@ def _further(differ: DataFrame, hubs: DataFrame, roots: DataFrame, percent: int)
     both = F.col("one.n") + F.col("two.n")
     linked = _fit(percent) & ((both - apart) * 100 >= (both + apart) * percent)
     met = one.alias("one").join(two.alias("two"), (F.col("one.hash") == F.col("two.hash")) & linked)
-    near = whole.filter("outside and not far").alias("two")
-    gap = F.abs(F.col("one.size") - F.col("two.size")) <= c * both + 1e-6
-    beside = whole.alias("one").join(near, gap & linked)
+    # Near the core: without a shared difference, by way of the member nearest to it ...
+    excess = F.col("size") - c * F.col("n")
+    nearest = whole.groupBy("lead").agg(F.min(F.struct(excess.alias("excess"), "node", "n", "root", "size", "d")).alias("best"))
+    nearest = nearest.select("lead", "best.*").drop("excess")
+    through = nearest.alias("one").join(whole.alias("two"), linked)
+    # ... and with one, through the lists of the rarest: two that are linked share (f(X) + f(Y)) / 2 differences at least.
+    least = whole.groupBy("lead").agg(F.min(excess).alias("least"))
+    excessive = (F.col("size") - c * F.col("n") + F.col("least")) / 2
+    overlap = F.greatest(F.ceil(excessive - 1e-6), F.lit(1))
+    places = F.col("size") - overlap + 1 - (F.col("size") - F.size("values"))
+    rarest = F.slice("values", F.lit(1), F.greatest(places, F.lit(0)).cast("int"))
+    listed = lists.join(least, "lead").select("lead", "node", F.explode(rarest).alias("e"))
+    listed = stored(listed.select("lead", "node", "e.hash").join(whole, ["lead", "node"]), "listed")
+    near = listed.filter("outside and not far")
+    beside = listed.alias("one").join(near.alias("two"), (F.col("one.hash") == F.col("two.hash")) & linked)
     ends = lambda df: df.select(F.least("one.node", "two.node").alias("a"), F.greatest("one.node", "two.node").alias("b"))
-    return ends(met).union(ends(beside)).distinct()
+    return ends(met).union(ends(through)).union(ends(beside)).distinct()
 
 
 def _fit(percent: int) -> Column:

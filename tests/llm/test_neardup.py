@@ -120,3 +120,18 @@ def test_components(rows):
 
 def test_chance_bound():
     assert neardup.at_least(32, 0.8) >= 8 and neardup.at_least(64, 0.85) >= 32
+
+
+@pytest.mark.parametrize(("edits", "pool"), [(6, 10**9), (5, 10**9), (6, 40), (5, 12)])
+def test_form_letters(spark, edits, pool):
+    """A template with a few words changed in each text: all near the group's core, most not near each other."""
+    draw, base = random.Random(edits + pool), [f"w{i}" for i in range(274)]
+    texts = {}
+    for i in range(220):
+        words = list(base)
+        for place in draw.sample(range(5, 270, 9), edits):
+            words[place] = f"u{draw.randrange(pool)}"
+        texts[i] = " ".join(words)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(df, 80).collect()}
+    assert got == brute(texts, 80)
