@@ -63,7 +63,7 @@ class Model:
         words = words_of(text)
         if self.known.make_room():
             self.active = {}
-        unseen = words - self.known.keys()
+        unseen = [word for word in words if word not in self.known]
         for word in unseen:
             if hit := features(word) & self.weights.keys():
                 self.active[word] = frozenset(hit)

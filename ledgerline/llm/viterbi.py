@@ -105,7 +105,7 @@ class Counter:
 
     def _sum(self, words: list[str]) -> int:
         self.known.make_room()
-        unseen = set(words).difference(self.known)
+        unseen = [word for word in set(words) if word not in self.known]
         self.known.keep((word, self.word(word)) for word in unseen)
         return sum(map(self.known.__getitem__, words))
 
