@@ -24,6 +24,7 @@ from .shared import stored, whole_text
 from .sketch import hashes, let
 
 SKETCH, LISTED, LONG_LIST = 64, 32, 64
+HOPS = 3
 CHANCE = 1e-9
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -148,8 +149,7 @@ def _long_lists(long: DataFrame, sets: DataFrame, classes: DataFrame, links: Dat
     own = single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
     members = long.join(own, "node", "left").select("value", "node", "n", F.coalesce("own", F.lit(0)).alias("own"))
     members = stored(members.filter((F.col("n") - F.col("own")) * 100 >= F.col("n") * percent), "members")
-    leads = members.groupBy("value").agg(F.min(F.struct("own", "node")).alias("lead")).select("value", F.col("lead.node").alias("lead"))
-    groups = stored(members.join(leads, "value").select("lead", "node", "n").distinct(), "groups")
+    groups = stored(_groups(members), "groups")
     differ = stored(_differences(groups, sets), "differences")
     hubs = differ.groupBy("lead").agg(F.min(F.struct("size", "node")).alias("hub")).select("lead", F.col("hub.node").alias("hub"))
     spokes = groups.join(hubs, "lead").filter("node <> hub")
@@ -160,6 +160,22 @@ def _long_lists(long: DataFrame, sets: DataFrame, classes: DataFrame, links: Dat
     return links.union(_further(differ, hubs, roots, percent)).distinct()
 
 
+def _groups(members: DataFrame) -> DataFrame:
+    """(lead, node, n): the members of each list, by the list's lead, its member with least of its own.
+
+    Lists of one group of copies have different leads at first, and a member of several would be worked on once for each.
+    A lead is a member of other lists too, and takes over the least lead of those: HOPS such steps join most lists of a group.
+    Members of one list stay together, which is all that the links need; larger groups are as right.
+    """
+    leads = members.groupBy("value").agg(F.min(F.struct("own", "node")).alias("lead"))
+    of_member = stored(members.join(leads, "value").groupBy("node").agg(F.min("lead").alias("least")), "leads")
+    least = of_member.select(F.col("node").alias("lead_node"), "least")
+    for _ in range(HOPS):
+        leads = leads.withColumn("lead_node", F.col("lead.node")).join(least, "lead_node").select("value", F.col("least").alias("lead"))
+    leads = leads.select("value", F.col("lead.node").alias("lead"))
+    return members.join(leads, "value").select("lead", "node", "n").distinct()
+
+
 def _differences(groups: DataFrame, sets: DataFrame) -> DataFrame:
     """(lead, node, n, core_n, size, d): where each member differs from its group's core, that is the shingles that more
     than half of the members hold (fewer than twice the shingles of an average member)."""
