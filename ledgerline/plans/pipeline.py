@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 from ledgerline.operators import history, quality, references, watermark
 from ledgerline.operators.references import Reference
 from ledgerline.operators.upsert import upsert
-from ledgerline.plans import cleaning, marts
-from ledgerline.plans.ingestion import BATCH, ENDPOINTS, ingest_batch, ingest_to_bronze, stored_batches
-from ledgerline.plans.layout import GOLD, SILVER, Lakehouse
+from ledgerline.plans import cleaning, gold
+from ledgerline.plans.ingestion import BATCH, ENDPOINTS, bronze_batches, ingest_batch, ingest_to_bronze, stored_batches
+from ledgerline.plans.layout import SILVER, Lakehouse
 from ledgerline.sources.landing import PAGE, UNREADABLE
-from ledgerline.sources.tables import BUCKET, fitted, merged_schema, touched_buckets, with_bucket
+from ledgerline.sources.tables import BUCKET, byte_size, fitted, merged_schema, touched_buckets, with_bucket
 
 # Key sets of up to this many bytes, by the sizes measured before use, are broadcast. Beyond it, references are checked
 # through their missing keys, and the merchant categories are joined by a shuffle.
@@ -52,23 +52,6 @@ def batches(lake: Lakehouse, endpoint: str) -> tuple[int, int]:
     return stored_batches(lake, endpoint), lake.progress.of(SILVER, f"silver_{endpoint}").batch
 
 
-def bronze_batches(lake: Lakehouse, endpoint: str, after: int, upto: int) -> DataFrame:
-    """Stored records of these batches; the folders of the others are not opened."""
-    return lake.bronze(endpoint).read().where((F.col(BATCH) > after) & (F.col(BATCH) <= upto))
-
-
-def byte_size(df: DataFrame) -> int:
-    """Bytes of the values, from one aggregate: text as long as it is, anything else eight."""
-    def size(name: str, kind: str) -> Column:
-        return F.coalesce(F.octet_length(name), F.lit(0)).cast("long") if kind == "string" else F.lit(8).cast("long")
-
-    sizes = [size(name, kind) for name, kind in df.dtypes]
-    total = sizes[0]
-    for more in sizes[1:]:
-        total = total + more
-    return df.agg(F.coalesce(F.sum(total), F.lit(0))).first()[0]
-
-
 # -- Silver ------------------------------------------------------------------------------------------------------------
 
 @dataclass(frozen=True)
@@ -299,33 +282,16 @@ def bronze_to_silver(lake: Lakehouse) -> dict[str, DataFrame | None]:
 
 # -- Gold --------------------------------------------------------------------------------------------------------------
 
-def _rebuild(lake: Lakehouse, name: str, mart: DataFrame) -> None:
-    lake.start()
-    table = lake.table("gold", name, mart.schema)
-    table.replace(mart)
-    lake.progress.save(
-        GOLD, name, datetime.now(), row_count=table.read().count(), table_schema=mart.schema.json()
-    )
-
-
 def build_spend_summary(lake: Lakehouse) -> None:
-    merchants = lake.silver("merchants").read().select("merchant_id", "merchant_category")
-    if byte_size(merchants) <= SMALL_BYTES:
-        merchants = F.broadcast(merchants)
-    mart = marts.spend_summary(lake.silver("transactions").read(), merchants)
-    _rebuild(lake, "customers_spend_summary", mart)
+    gold.build_spend(lake, SMALL_BYTES)
 
 
 def build_risk_summary(lake: Lakehouse) -> None:
-    spend = lake.gold("customers_spend_summary").read()
-    mart = marts.risk_summary(lake.silver("customers").read(), lake.silver("cards").read(), spend)
-    _rebuild(lake, "portfolio_risk_summary", mart)
+    gold.build_risk(lake, SMALL_BYTES)
 
 
 def build_segmentation_summary(lake: Lakehouse, as_of: Column | None = None) -> None:
-    spend = lake.gold("customers_spend_summary").read()
-    mart = marts.segmentation_summary(lake.silver("customers").read(), lake.silver("cards").read(), spend, as_of)
-    _rebuild(lake, "customer_segmentation_summary", mart)
+    gold.build_segmentation(lake, SMALL_BYTES, as_of)
 
 
 def silver_to_gold(lake: Lakehouse, as_of: Column | None = None) -> None:

@@ -30,6 +30,9 @@ KEYS = ("pipeline_name", "table_name")
 # Rows of this name hold what is agreed for the whole lakehouse.
 LAYOUT = "layout"
 
+# Rows of this name hold how far each mart, and each copy that marts are made from, has taken its sources.
+MARTS = "marts"
+
 
 class State(NamedTuple):
     last_processed_timestamp: datetime | None = None
@@ -79,7 +82,7 @@ class Progress:
 
     def metadata(self) -> DataFrame:
         """The watermarks: (pipeline_name, table_name, last_processed_timestamp)."""
-        return self.table.read().where(F.col("pipeline_name") != LAYOUT).select(*PIPELINE_METADATA.names)
+        return self.table.read().where(~F.col("pipeline_name").isin(LAYOUT, MARTS)).select(*PIPELINE_METADATA.names)
 
     def row_counts(self) -> DataFrame:
         """Rows of the last write of each table that was written."""
