@@ -425,6 +425,7 @@ FINAL: dict[str, str] = {
     "gold_risk_summary": "SELECT * FROM risk",
     "gold_segmentation": "SELECT * FROM segments",
     "pipeline_two_runs": "SELECT * FROM spend_2",
+    "gold_spend_update": "SELECT * FROM spend_2",
     "kpi_spend": f"""SELECT round({money_sum('total_spend')} / 10000000, 6) AS total_transaction_volume_cr,
         round({money_sum('total_spend')} / count(total_spend), 6) AS average_monthly_spend,
         round({money_sum('total_refunded')} / 10000000, 6) AS total_refunded_cr,
