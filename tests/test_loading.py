@@ -14,7 +14,7 @@ from ledgerline import schemas
 from ledgerline.plans import ingestion
 from ledgerline.plans.ingestion import BATCH, ENDPOINTS, ingest_batch, ingest_endpoint, ingest_merchants, ingest_to_bronze
 from ledgerline.plans.pipeline import batches, bronze_to_silver, last_mark
-from ledgerline.sources.landing import read_csv
+from ledgerline.sources.landing import read_csv, read_pages
 from ledgerline.sources.tables import SchemaChange, Table
 from ledgerline.streaming.ingest import ingest_available, ingest_landing
 from test_pipeline import World, card, customer, transaction
@@ -235,3 +235,26 @@ def test_blank_keys_are_no_keys(spark, tmp_path):
     ingest(world, False)
     assert set(world.silver("customers")) == {"C1"}
     assert world.lake.quarantine("customers").read().where("customer_id IS NULL").count() == 4
+
+
+def test_numbers_in_pages_keep_their_text_and_are_not_fetched_one_by_one(spark, tmp_path):
+    """A page's bytes are read about once, however many numbers it holds."""
+    record = T.StructType([T.StructField("a", T.StringType())])
+    (tmp_path / "pages").mkdir()
+    spellings = ["1.10", "1e5", "-0.0", "12345678901234567890.123456789", '{"b":  [1.0, 2]}', "007"]
+    numbers = ",\n".join(f'{{"a": {i}.50}}' for i in range(3000))
+    (tmp_path / "pages" / "many.json").write_text(f'{{"data": [{numbers}],\r\n "count": 3000}}')
+    odd = ", ".join(f'{{"a": {text}}}' for text in spellings[:-1])
+    (tmp_path / "pages" / "odd.json").write_text(f'{{"data": [{odd}], "count": {len(spellings) - 1}}}')
+    (tmp_path / "pages" / "bad.json").write_text('{"data": [{"a": 007}],\n\n "count": 1}')
+    (tmp_path / "pages" / "empty.json").write_text("")
+    statistics = spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file")
+    before = statistics.getLong("bytesRead")
+    pages = {r["page"]: r for r in read_pages(spark, str(tmp_path / "pages"), record).collect()}
+    read = statistics.getLong("bytesRead") - before
+    assert set(pages) == {"many.json", "odd.json", "bad.json"}
+    assert [row["a"] for row in pages["odd.json"]["data"]] == spellings[:-1]
+    assert [row["a"] for row in pages["many.json"]["data"]] == [f"{i}.50" for i in range(3000)]
+    assert pages["bad.json"]["page_fault"] == "page unreadable"
+    assert pages["bad.json"]["_corrupt_record"] == '{"data": [{"a": 007}],\n\n "count": 1}'
+    assert 0 < read < 10 * sum(file.stat().st_size for file in (tmp_path / "pages").iterdir())
