@@ -160,3 +160,24 @@ def test_upsert_gives_the_same_for_a_small_source(spark, stored):
 
     both = [sorted(map(tuple, upsert(old, new, ["transaction_id"], None, "updated_at", small).collect())) for small in (False, True)]
     assert both[0] == both[1] and any(row[0] == "new" for row in both[0])
+
+
+def test_a_first_load_is_written_once_and_bronze_without_a_shuffle(spark, stored, tmp_path):
+    """A batch is one partition, so its rows stay where they are; the first state of a table needs no staging."""
+    lake = Lakehouse(spark, str(tmp_path), buckets=4)
+    raw = stored[0].select(
+        "transaction_id", "card_id", "customer_id", "merchant_id", "amount", "currency", "device_channel",
+        F.col("transaction_status").alias("status"), "transaction_type", "transaction_timestamp", "updated_at",
+    )
+    pipeline.ingest_batch(lake, "transactions", raw.repartition(8))
+    assert len(lake.bronze("transactions").read().inputFiles()) == 8
+
+    rows = stored[0].limit(100)
+    batch = pipeline.Batch(rows, 0, 1)
+    pipeline._save(lake, "transactions", "transaction_id", batch, rows, cleaning.TRANSACTION_UPDATES, None)
+    assert lake.silver("transactions").read().count() == 100
+    assert not lake.staging("transactions").exists()
+    again = rows.withColumn("transaction_status", F.lit("Reversed"))
+    batch = pipeline.Batch(again, 1, 2)
+    pipeline._save(lake, "transactions", "transaction_id", batch, again, cleaning.TRANSACTION_UPDATES, None)
+    assert lake.silver("transactions").read().where("transaction_status = 'Reversed'").count() == 100
