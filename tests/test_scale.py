@@ -181,3 +181,12 @@ def test_a_first_load_is_written_once_and_bronze_without_a_shuffle(spark, stored
     batch = pipeline.Batch(again, 1, 2)
     pipeline._save(lake, "transactions", "transaction_id", batch, again, cleaning.TRANSACTION_UPDATES, None)
     assert lake.silver("transactions").read().where("transaction_status = 'Reversed'").count() == 100
+
+
+def test_reference_checks_of_the_registered_queries_do_not_move_the_wide_rows(spark):
+    """Beyond the shuffles of the input join and of the deduplication, whatever Spark thinks of the key sets' sizes."""
+    from workload.catalog import Layers
+
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plan = physical(Layers(spark, "/root/testdata/sf0.001").transactions_cleaned())
+    assert plan.count("Exchange hashpartitioning") == 3

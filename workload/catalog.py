@@ -100,10 +100,19 @@ class Layers:
     @cache
     def transactions_cleaned(self, raw: DataFrame | None = None, keyless: bool = True) -> DataFrame:
         raw = self.transactions_raw() if raw is None else raw
+        missing = self.missing_references()
         return cleaning.clean_transactions(
-            raw, self.customer_keys(), self.card_keys(), self.merchant_keys(), flag_by_lookup, keep_keyless=keyless
+            raw, self.customer_keys(), self.card_keys(), self.merchant_keys(),
+            lambda newest, refs: flag_by_exception(newest, refs, missing), keep_keyless=keyless,
         )
 
+    @cache
+    def missing_references(self) -> DataFrame:
+        """The keys that transactions of any batch point to and that do not exist, found once and stored."""
+        refs = cleaning.transaction_references(self.customer_keys(), self.card_keys(), self.merchant_keys())
+        rows = cleaning.standardise_transactions(self.transactions_raw())
+        return pipeline.stored_missing(scratch_lake(self.spark, "references"), "transactions", rows, refs)
+
     @cache
     def transactions_checked(self, raw: DataFrame | None = None, keyless: bool = True) -> DataFrame:
         return quality.assess(self.transactions_cleaned(raw, keyless), cleaning.transaction_rules())
