@@ -28,8 +28,13 @@ BUCKETS = 1 << 20
 GROUP = 4
 #: Most labelled rows that the model is fitted on.
 FIT_ROWS = 5000
+#: Entries that a step of the training works on at once: its temporary arrays are this long, not as long as all texts.
+BLOCK = 1 << 18
 WORD = re.compile(r"[^\W\d_]+")
 
+#: The parts of an example, as columns.
+SETS = ("every", "first", "second")
+
 #: Terms that name groups of people, and neutral words in their place.
 IDENTITY_TERMS = (
     "women", "men", "girls", "boys", "muslim", "muslims", "christian", "christians", "jewish", "jews", "hindu",
@@ -90,10 +95,31 @@ def example(
     return tuple(np.array(sorted(part), np.int32) for part in parts)
 
 
-def _rows(sets: list[np.ndarray], dense: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Entries of each row, and the places in ``dense`` of all entries that have one."""
-    kept = [d[d >= 0] for d in (dense[s] for s in sets)]
-    return np.array([len(k) for k in kept]), np.concatenate(kept).astype(np.intp)
+def _blocks(sets: list[np.ndarray], dense: np.ndarray) -> list[tuple[slice, np.ndarray, np.ndarray]]:
+    """Runs of rows: which they are, the entries of each, and the places in ``dense`` of all entries that have one."""
+    blocks, held, first = [], [], 0
+    for end, places in enumerate((dense[s] for s in sets), 1):
+        held.append(places[places >= 0])
+        if end == len(sets) or sum(map(len, held)) >= BLOCK:
+            blocks.append((slice(first, end), np.array([len(h) for h in held]), np.concatenate(held)))
+            held, first = [], end
+    return blocks
+
+
+def _by_row(blocks: list[tuple[slice, np.ndarray, np.ndarray]], theta: np.ndarray, n: int) -> np.ndarray:
+    out = np.zeros(n)
+    for rows, sizes, col in blocks:
+        out[rows] = np.bincount(np.repeat(np.arange(len(sizes)), sizes), theta[col], len(sizes))
+    return out
+
+
+def _by_entry(blocks: list[tuple[slice, np.ndarray, np.ndarray]], values: np.ndarray, n: int) -> np.ndarray:
+    """The sum over the rows with each entry. A block adds to the sums so far, in the order of the rows: where blocks end
+    changes nothing."""
+    out, own = np.zeros(n), np.arange(n, dtype=np.int32)
+    for rows, sizes, col in blocks:
+        out = np.bincount(np.concatenate([own, col]), np.concatenate([out, np.repeat(values[rows], sizes)]), n)
+    return out
 
 
 def best_cut(logit: np.ndarray, y: np.ndarray) -> float:
@@ -123,36 +149,34 @@ def train(
     used = np.flatnonzero(count >= 2)
     dense = np.full(BUCKETS, -1, np.int32)
     dense[used] = np.arange(len(used))
-    sizes, col = _rows([e[0] for e in examples], dense)
-    row = np.repeat(np.arange(n, dtype=np.int32), sizes)
-    swaps = []
-    for part, sign in ((1, 1.0), (2, -1.0)):
-        swap_sizes, c = _rows([e[part] for e in examples], dense)
-        swaps.append((np.repeat(np.arange(n), swap_sizes), c, sign))
+    entries = _blocks([e[0] for e in examples], dense)
+    swaps = [(_blocks([e[part] for e in examples], dense), sign) for part, sign in ((1, 1.0), (2, -1.0))]
     y = np.array(labels, np.float64)
     theta, square = np.zeros(len(used)), np.full(len(used), 1e-3)
     bias_square, lasso = 1e-3, 0.5 + n / 4000
     for _ in range(steps):
-        logit = bias + np.bincount(row, theta[col], n)
+        logit = bias + _by_row(entries, theta, n)
         error = 1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y
-        gradient = np.bincount(col, error[row], len(used))
-        change = sum(sign * np.bincount(r, theta[c], n) for r, c, sign in swaps)
-        for r, c, sign in swaps:
-            gradient += 2 * swap_penalty * sign * np.bincount(c, change[r], len(used))
+        gradient = _by_entry(entries, error, len(used))
+        change = sum(sign * _by_row(blocks, theta, n) for blocks, sign in swaps)
+        for blocks, sign in swaps:
+            gradient += 2 * swap_penalty * sign * _by_entry(blocks, change, len(used))
         square += gradient**2
         step = rate / np.sqrt(square)
         theta = theta - step * gradient
         theta = np.maximum(theta - step * lasso, 0)
         bias_square += error.sum() ** 2
         bias -= rate * error.sum() / np.sqrt(bias_square)
-    bias -= best_cut(bias + np.bincount(row, theta[col], n), y)
+    bias -= best_cut(bias + _by_row(entries, theta, n), y)
     return Model({int(used[i]): float(theta[i]) for i in np.flatnonzero(theta)}, float(bias))
 
 
 def fit(documents: DataFrame, labels: DataFrame, keep: Column, key: str = "doc_id", text: str = "text",
         label: str = "toxic", rows: int = FIT_ROWS) -> Model:
     """Train on at most ``rows`` labelled documents (a documented bound). Null texts count as empty; without two kinds of
-    label the model answers with a smoothed share of label 1 that stays below a half where there is none."""
+    label the model answers with a smoothed share of label 1 that stays below a half where there is none.
+
+    Features come to the driver as bytes, four each: a list of them would be Python numbers, of about forty."""
     small_batches(documents.sparkSession)
     chosen = sample(labels, label, keep, rows, key)
     joined = documents.join(chosen, F.col(key) == F.col("_key")).select("_key", "_label", F.col(text).alias("_text"))
@@ -162,12 +186,13 @@ def fit(documents: DataFrame, labels: DataFrame, keep: Column, key: str = "doc_i
             parts = [example(t or "") for t in batch["_text"]]
             yield pd.DataFrame({
                 "key": batch["_key"].astype("string"), "label": batch["_label"],
-                **{name: [p[i] for p in parts] for i, name in enumerate(("every", "first", "second"))},
+                **{name: [p[i].astype("<i4").tobytes() for p in parts] for i, name in enumerate(SETS)},
             })
 
-    made = joined.mapInPandas(examples, "key string, label int, every array<int>, first array<int>, second array<int>").toPandas()
+    made = joined.mapInPandas(examples, "key string, label int, every binary, first binary, second binary").toPandas()
     made = made.sort_values(["key", "label"], kind="stable").reset_index(drop=True)
-    return train(list(zip(made["every"], made["first"], made["second"])), made["label"].tolist())
+    sets = ([np.frombuffer(packed, "<i4") for packed in made[name]] for name in SETS)
+    return train(list(zip(*sets)), made["label"].tolist())
 
 
 def scored(df: DataFrame, model: Model, text: str = "text", into: str = "toxicity") -> DataFrame:

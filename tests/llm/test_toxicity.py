@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+import string
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -55,3 +57,31 @@ def test_odd_rows(rows):
     assert scored.columns == docs.columns and [0 <= r.toxicity < 0.5 for r in scored.collect()] == [True] * 4
     assert toxicity.scored(docs.limit(0), model).count() == 0
     assert not toxicity.fit(docs.limit(0), none.limit(0), F.lit(True)).weights
+
+
+def test_driver_holds_features_as_bytes(rows):
+    """The driver needs a few bytes for each feature of the texts it is fitted on, not a Python number."""
+    draw = random.Random(3)
+    vocabulary = ["".join(draw.choices(string.ascii_lowercase, k=9)) for _ in range(20_000)]
+    texts = [" ".join(draw.sample(vocabulary, 3000)) for _ in range(120)]
+    docs = rows("doc_id long, text string", *enumerate(texts))
+    labels = rows("doc_id long, toxic int", *((i, i % 2) for i in range(len(texts))))
+    entries = sum(len(toxicity.example(text)[0]) for text in texts)
+    tracemalloc.start()
+    model = toxicity.fit(docs, labels, F.lit(True))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model.weights) > 0 and entries > 1_500_000
+    assert peak < 24 * entries + (20 << 20), (peak, entries)
+
+
+def test_blocks_change_nothing(monkeypatch):
+    draw = random.Random(4)
+    texts = [" ".join(draw.choices(["river", "stone", "vilething", "paper", "women", "trashling", "men"], k=4)) for _ in range(200)]
+    labels = [int("vilething" in text or "trashling" in text) for text in texts]
+    examples = [toxicity.example(text) for text in texts]
+    models = []
+    for block in (1, 50, 1 << 18):
+        monkeypatch.setattr(toxicity, "BLOCK", block)
+        models.append(toxicity.train(examples, labels))
+    assert models[0].weights and all((m.weights, m.bias) == (models[0].weights, models[0].bias) for m in models)
