@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Rows are stored with instants; a fixed zone keeps text timestamps and months the same on every cluster.
@@ -36,6 +39,21 @@ def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSes
     return spark
 
 
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries made in here remove their shuffle files when they end. Otherwise the files stay until the driver happens to
+    collect its garbage, so that a job of many queries fills the disks with the shuffles of all of them."""
+    before = spark.conf.get(FREED, None)
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FREED) if before is None else spark.conf.set(FREED, before)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     builder = (

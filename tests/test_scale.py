@@ -190,3 +190,29 @@ def test_reference_checks_of_the_registered_queries_do_not_move_the_wide_rows(sp
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         plan = physical(Layers(spark, "/root/testdata/sf0.001").transactions_cleaned())
     assert plan.count("Exchange hashpartitioning") == 3
+
+
+def shuffle_files(spark):
+    """Names of the shuffle files on disk just now."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [files.apply(i).getName() for i in range(files.size())]
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_landed_pages_are_small_on_disk_and_leave_no_shuffle_files(spark, tmp_path):
+    from ledgerline.schemas import TRANSACTION_RECORD
+    from ledgerline.sources.landing import read_pages, records_of
+    from workload.catalog import PAGE_ROWS, land_pages
+
+    i = F.col("id")
+    texts = spark.range(3 * PAGE_ROWS, numPartitions=2).select(*[
+        F.concat(F.lit(f"{name} "), (i * 7919) % 100_003).alias(name) for name in TRANSACTION_RECORD.names[:4]
+    ])
+    before = shuffle_files(spark)
+    land_pages(texts, str(tmp_path / "pages"))
+    assert not shuffle_files(spark) - before
+    size = sum(file.stat().st_size for file in (tmp_path / "pages").rglob("*part-*"))
+    text = sum(len(row[0]) for row in texts.select(F.to_json(F.struct("*"))).collect())
+    assert size < text / 3
+    stored = records_of(read_pages(spark, str(tmp_path / "pages"), TRANSACTION_RECORD)).select(*texts.columns)
+    assert sorted(stored.collect()) == sorted(texts.collect())

@@ -18,6 +18,7 @@ from ledgerline.operators.references import flag_by_exception, flag_by_lookup, m
 from ledgerline.operators.upsert import touched_partitions, upsert
 from ledgerline.plans import cleaning, ingestion, marts, pipeline, reports
 from ledgerline.plans.layout import GOLD, Lakehouse
+from ledgerline.session import freed_shuffles
 from ledgerline.sources.landing import read_csv, read_pages, records_of
 from workload import inputs
 
@@ -400,11 +401,13 @@ def land_csv(df: DataFrame, folder: str) -> None:
 
 
 def land_pages(df: DataFrame, folder: str) -> None:
-    """API pages of at most PAGE_ROWS records, one file each."""
+    """API pages of at most PAGE_ROWS records, one compressed file each."""
     numbered = df.withColumn("sheet", F.floor(F.monotonically_increasing_id() / PAGE_ROWS))
     pages = numbered.groupBy("sheet").agg(F.collect_list(F.struct(*df.columns)).alias("data"))
     text = F.to_json(F.struct("data", F.size("data").alias("count")))
-    pages.select("sheet", text.alias("value")).write.mode("append").partitionBy("sheet").text(folder)
+    with freed_shuffles(df.sparkSession):
+        written = pages.select("sheet", text.alias("value")).write.mode("append").option("compression", "gzip")
+        written.partitionBy("sheet").text(folder)
 
 
 def landing_folder(layers: Layers, name: str) -> str:
