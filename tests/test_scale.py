@@ -216,3 +216,35 @@ def test_landed_pages_are_small_on_disk_and_leave_no_shuffle_files(spark, tmp_pa
     assert size < text / 3
     stored = records_of(read_pages(spark, str(tmp_path / "pages"), TRANSACTION_RECORD)).select(*texts.columns)
     assert sorted(stored.collect()) == sorted(texts.collect())
+
+
+def test_broadcasts_are_measured_as_they_are_held_and_share_one_limit(spark, stored, tmp_path, monkeypatch):
+    """5,000 keys of at most five characters are 25 KB of text, but 560 KB in the hash map that the driver makes of them."""
+    from ledgerline.sources.tables import broadcast_bytes, fitting
+
+    known = {
+        "customer_id": spark.range(5000).select(F.concat(F.lit("c"), F.col("id")).alias("customer_id")),
+        "card_id": spark.range(990).select(F.concat(F.lit("k"), F.col("id")).alias("card_id")),
+        "merchant_id": spark.range(700).select(F.concat(F.lit("m"), F.col("id")).alias("merchant_id")),
+    }
+    sizes = {column: broadcast_bytes(keys) for column, keys in known.items()}
+    assert sizes["customer_id"] >= 5000 * 100
+    assert fitting(sizes, 200_000) == {"card_id", "merchant_id"} and fitting(sizes, sizes["merchant_id"]) == {"merchant_id"}
+    assert fitting(sizes, -1) == set()
+
+    rows = stored[0]
+    lake = Lakehouse(spark, str(tmp_path), buckets=4)
+    refs = cleaning.transaction_references(*known.values())
+    columns = ["transaction_id", *cleaning.TRANSACTION_HELPERS]
+    checked = []
+    for limit in (64 * 1024 * 1024, 200_000, 79_000, -1):
+        monkeypatch.setattr(pipeline, "SMALL_BYTES", limit)
+        check = pipeline._reference_check(lake, f"transactions_{limit}", rows, sizes)
+        result = check(rows, refs).select(columns)
+        plan = physical(result)
+        # the known keys that fit, and of the others the missing ones if there is room left
+        assert plan.count("BroadcastHashJoin") == {79_000: 2, -1: 0}.get(limit, 3)
+        assert ("SortMergeJoin" in plan) == (limit in (79_000, -1))
+        checked.append(sorted(map(tuple, result.collect())))
+    assert checked[0] == checked[1] == checked[2] == checked[3]
+    assert {row[1:] for row in checked[0]} > {(True, True, True), (False, True, False)}
