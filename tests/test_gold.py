@@ -172,3 +172,27 @@ def test_marts_of_an_older_layout_are_made_anew(spark, world):
     build(world)
     assert stored(world) == anew(world)
     assert Lakehouse(spark, world.warehouse, 4).gold(SPEND).read().columns == schema.names
+
+
+@pytest.mark.parametrize("everywhere", [False, True])
+def test_a_large_batch_that_touches_every_bucket_makes_the_copy_anew(spark, world, monkeypatch, everywhere):
+    """Also after a run that died while writing it. A batch in some buckets still goes through the staging folder."""
+    monkeypatch.setattr(pipeline, "SMALL_BYTES", -1)
+    if everywhere:
+        world.land("transactions", *[
+            transaction(f"T{i}-{month}", f"2024-0{month}-20 00:00:00", customer_id=f"C{i}", card_id=f"K{i}", status="failed")
+            for i in range(12) for month in (1, 3)
+        ])
+        world.run_silver()
+    else:
+        second_batch(world)
+    expected = anew(world)
+    with monkeypatch.context() as patch:
+        writes_that_die(patch, 1)
+        with pytest.raises(Died):
+            build(world)
+    build(world)
+    assert stored(world) == expected
+    assert world.lake.staging("by_customer_transactions").exists() != everywhere
+    copy = gold.by_customer(world.lake, gold.TRANSACTIONS).read().select(*gold.TRANSACTIONS.columns)
+    assert state(copy) == state(world.lake.silver("transactions").read().select(*gold.TRANSACTIONS.columns))

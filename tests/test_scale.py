@@ -248,3 +248,35 @@ def test_broadcasts_are_measured_as_they_are_held_and_share_one_limit(spark, sto
         checked.append(sorted(map(tuple, result.collect())))
     assert checked[0] == checked[1] == checked[2] == checked[3]
     assert {row[1:] for row in checked[0]} > {(True, True, True), (False, True, False)}
+
+
+def test_a_run_gives_its_shuffles_and_scratch_folders_back(spark, tmp_path, monkeypatch):
+    from test_pipeline import World, first_load, transaction
+
+    monkeypatch.setattr(Lakehouse, "scratch", lambda lake, name: f"{lake.root}/scratch/{lake.run_id}/{name}")
+    world = World(spark, tmp_path)
+    before, setting = shuffle_files(spark), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    first_load(world)
+    world.land("transactions", transaction("T1", "2024-03-10 00:00:00"), transaction("T7", "2024-03-11 00:00:00"))
+    world.run()
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == setting
+    folders = [*(tmp_path / "warehouse" / "scratch").glob("*/*"), *(tmp_path / "warehouse" / "staging").glob("*")]
+    assert {"checked_transactions", "pages_transactions_2", "rows_merchants", "by_customer_transactions"} <= {f.name for f in folders}
+    assert [f.name for f in folders if spark.read.parquet(str(f)).count()] == []
+    assert {"T1", "T7"} <= set(world.silver("transactions"))
+
+
+def test_rows_move_into_few_buckets_without_a_shuffle(spark, stored, tmp_path, monkeypatch):
+    """Eight files of rows become eight of each bucket; where buckets are many, each is brought together first."""
+    found = []
+    for few in (16, 15):
+        monkeypatch.setattr(pipeline, "FEW_BUCKETS", few)
+        lake = Lakehouse(spark, str(tmp_path / str(few)), buckets=16)
+        lake.start()
+        batch = pipeline.Batch(stored[0], 0, 1)
+        pipeline._save(lake, "transactions", "transaction_id", batch, stored[0], cleaning.TRANSACTION_UPDATES, None)
+        rows = lake.silver("transactions").read()
+        found.append((len(rows.inputFiles()), sorted(row[0] for row in rows.select("transaction_id").collect())))
+    assert found[0][0] == 16 * 8 and found[1][0] < 16 * 4
+    assert found[0][1] == found[1][1] and len(found[0][1]) == 60_000
